@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from folioforge.llm import line_dedup, secret_scan
+from folioforge.llm import decontam, fertility, language_id, line_dedup, packing, secret_scan
 
 QUERIES = {
+    "op2_decontamination": decontam.op2_decontamination,
     "op5_line_dedup": line_dedup.op5_line_dedup,
+    "op6_packing": packing.op6_packing,
+    "op7_quality_rules": fertility.op7_quality_rules,
+    "op8_language_id": language_id.op8_language_id,
     "op10_secret_scan": secret_scan.op10_secret_scan,
 }
 SQL = {
