@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from folioforge.llm import decontam, fertility, kneser_ney, language_id, license_scan, line_dedup, packing, secret_scan
+from folioforge.llm import decontam, fertility, kneser_ney, language_id, license_scan, line_dedup, ngram_join, packing, secret_scan
 
 QUERIES = {
     "op1_license_scan": license_scan.op1_license_scan,
     "op2_decontamination": decontam.op2_decontamination,
     "op3_lm_scoring": kneser_ney.op3_lm_scoring,
+    "op4_ngram_join": ngram_join.op4_ngram_join,
     "op5_line_dedup": line_dedup.op5_line_dedup,
     "op6_packing": packing.op6_packing,
     "op7_quality_rules": fertility.op7_quality_rules,
