@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from folioforge.llm import decontam, fertility, kneser_ney, language_id, license_scan, line_dedup, ngram_join, packing, secret_scan
+from folioforge.llm import decontam, fertility, kneser_ney, language_id, license_scan, line_dedup, ngram_join, packing, secret_scan, substring_dedup
 
 QUERIES = {
     "op1_license_scan": license_scan.op1_license_scan,
@@ -13,6 +13,7 @@ QUERIES = {
     "op6_packing": packing.op6_packing,
     "op7_quality_rules": fertility.op7_quality_rules,
     "op8_language_id": language_id.op8_language_id,
+    "op9_substring_dedup": substring_dedup.op9_substring_dedup,
     "op10_secret_scan": secret_scan.op10_secret_scan,
 }
 SQL = {
