@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 #: characters of text that one call of a batch function gets; a longer text comes alone
-BATCH_CHARS = 4 << 20
+BATCH_CHARS = 1 << 20
 
 
 def documents(spark, sf_dir: str) -> DataFrame:

@@ -35,7 +35,7 @@ from folioforge.llm.components import components
 
 U64, U32, I64 = np.uint64, np.uint32, np.int64
 SIZE, PERCENT, HOT, FRAGMENTS = 5, 75, 64, 8
-FLUSH = 3_000_000
+FLUSH = 1_200_000
 
 
 def shingles(texts: list, size: int = SIZE) -> list[np.ndarray]:
@@ -123,7 +123,7 @@ def _shared(docs: DataFrame, size: int) -> DataFrame:
             for k in range(0, len(out), 64):
                 yield _exchange.rows(out[k : k + 64])
 
-        for _, texts in _exchange.in_batches(it):
+        for _, texts in _exchange.in_batches(it, limit=1 << 20):
             for s in shingles(texts, size):
                 if len(s) and (d := digest(s)) not in seen:
                     seen.add(d)
