@@ -13,9 +13,9 @@ documents first. Steps:
 4. The classes that share a prefix shingle form a bucket. Round one pairs each member with the bucket's hub (its
    least member), which is linear; the global order is cut into fragments, each fragment counts the overlap
    of its part of a pair's sets, and the parts are summed for each pair (a join and a sum).
-5. Components of the links so far; round two pairs members of one bucket that are still in different components
-   and that the size and own-shingle bounds leave possible, and counts them the same way. So no group is expanded
-   into all its pairs, and every link between different components is found.
+5. Components of the links so far; further rounds pair more hubs of a bucket with the members that are still in other
+   components and that bounds leave possible (sizes, own shingles, bitmaps of the sets), and the last round pairs every member so.
+   So a group of copies is not expanded into all its pairs, and every link between different components is found.
 
 Defined cases: null, empty and blank texts have an empty set and link with nothing; texts of fewer words are one
 shingle; the least id among copies names a class; a null id is never the least id, so it is its own (null) component only
@@ -34,7 +34,11 @@ from folioforge.llm import _arrow, _exchange, _store, _words
 from folioforge.llm.components import components
 
 U64, U32, I64 = np.uint64, np.uint32, np.int64
-SIZE, PERCENT, HOT, FRAGMENTS = 5, 75, 64, 8
+SIZE, PERCENT, HOT, FRAGMENTS = 5, 75, 64, 4
+#: members of a bucket that are compared with the rest of it, in rounds after the first; None: every member
+HUBS = (8, None)
+#: bits of the bitmap by which pairs are ruled out
+BITS = 2048
 FLUSH = 1_200_000
 
 
@@ -176,12 +180,18 @@ def _block_table(pairs) -> pa.Table:
     return pa.Table.from_batches([_exchange.rows(pairs)], schema=_exchange.ARROW)
 
 
-#: a surviving class: its size, its number of shared shingles, those in its prefix, and all in fragments
-SURVIVOR = "cls long, n long, shared long, prefix array<long>, parts array<array<long>>"
+#: a surviving class: its size, its number of shared shingles, those in its prefix, all in fragments, and their bitmap
+SURVIVOR = "cls long, n long, shared long, prefix array<long>, parts array<array<long>>, bits binary"
+
+
+def bitmap(s: np.ndarray) -> bytes:
+    """Parities of the numbers of hashes in BITS slots: two sets differ by as many hashes as their bitmaps by bits, or more."""
+    slot = (_words.mix(s) >> U64(16)).astype(I64) % BITS
+    return np.packbits((np.bincount(slot, minlength=BITS) & 1).astype(np.uint8)).tobytes()
 
 
 def _survivors(shared: DataFrame, percent: int) -> DataFrame:
-    kinds = pa.schema([("cls", pa.int64()), ("n", pa.int64()), ("shared", pa.int64()), ("prefix", pa.list_(pa.int64())), ("parts", pa.list_(pa.list_(pa.int64())))])
+    kinds = pa.schema([("cls", pa.int64()), ("n", pa.int64()), ("shared", pa.int64()), ("prefix", pa.list_(pa.int64())), ("parts", pa.list_(pa.list_(pa.int64()))), ("bits", pa.binary())])
 
     def classes(_, payloads):
         sizes = [_exchange.decode(p[1:]) for p in payloads if p[:1] == b"n"]
@@ -203,11 +213,12 @@ def _survivors(shared: DataFrame, percent: int) -> DataFrame:
             if take <= 0 or own * 100 < percent * n:
                 continue
             s = h[lo:hi]
-            part = (s >> U64(61)).astype(I64)
+            part = (s >> U64(62)).astype(I64)
             rows["cls"].append(c)
             rows["n"].append(n)
             rows["shared"].append(own)
             rows["prefix"].append(s[:take].view(I64))
+            rows["bits"].append(bitmap(s))
             rows["parts"].append([np.sort(s[part == f].view(I64)) for f in range(FRAGMENTS)])
         return pa.table(rows, schema=kinds)
 
@@ -225,64 +236,91 @@ def _overlaps(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _hub_pairs(sets: DataFrame) -> DataFrame:
-    entry = sets.select(F.explode("prefix").alias("h"), "cls", "n")
+    """Each member of a prefix bucket with the bucket's hub: the member with the least share of shingles of its own.
+
+    Where a bucket holds variants of one text, that is the variant nearest to their common origin, with which
+    most of the others link.
+    """
+    entry = sets.select(F.explode("prefix").alias("h"), "cls", "n", "shared")
+    central = F.struct((F.lit(1.0) - F.col("shared") / F.col("n")).alias("own"), "cls", "n")
     # partial minima first; the join back is split by adaptive execution where one shingle is hot
-    hub = entry.groupBy("h").agg(F.min(F.struct("cls", "n")).alias("hub"), F.max("cls").alias("last")).where("hub.cls <> last")
+    hub = entry.groupBy("h").agg(F.min(central).alias("hub"), F.min("cls").alias("low"), F.max("cls").alias("high")).where("low <> high")
     hub = hub.select(F.col("h").bitwiseXOR(F.lit(0)).alias("hh"), F.col("hub.cls").alias("a"), F.col("hub.n").alias("na"))
     return entry.join(hub, F.col("h") == F.col("hh")).where("cls <> a").select("a", F.col("cls").alias("b"), "na", F.col("n").alias("nb"))
 
 
-def _cross_pairs(sets: DataFrame, comp: DataFrame, percent: int) -> DataFrame:
-    """Pairs of one prefix bucket in different components that the bounds leave possible, each once."""
+def _cross_pairs(sets: DataFrame, comp: DataFrame, percent: int, hubs: int | None = None) -> DataFrame:
+    """Pairs of one prefix bucket in different components that the bounds leave possible, each once.
+
+    With ``hubs`` only the pairs of that many most central members of each bucket, which is linear in its size.
+    """
     spark = sets.sparkSession
     n = _exchange.buckets(spark)
     labelled = sets.join(comp, sets["cls"] == comp["node"], "left").select(
-        "cls", "n", "shared", "prefix", F.coalesce("component", "cls").alias("comp")
+        "cls", "n", "shared", "prefix", "bits", F.coalesce("component", "cls").alias("comp")
     )
 
     def by_hash(it):
         for batch in it:
             if not batch.num_rows:
                 continue
-            c = {k: batch.column(k).to_numpy(zero_copy_only=False) for k in ("cls", "n", "shared", "comp")}
+            about = np.stack([batch.column(k).to_numpy(zero_copy_only=False) for k in ("cls", "n", "shared", "comp")], axis=1).astype(I64)
+            bits = np.frombuffer(b"".join(batch.column("bits").to_pylist()), dtype=np.uint8).reshape(-1, BITS // 8)
             prefix = batch.column("prefix")
             lens = np.diff(prefix.offsets.to_numpy())
-            h = prefix.flatten().to_numpy().view(U64)
-            who = np.repeat(np.arange(len(lens)), lens)
+            h, who = prefix.flatten().to_numpy().view(U64), np.repeat(np.arange(len(lens)), lens)
             order = np.argsort(h, kind="stable")
             h, who = h[order], who[order]
             places = _exchange.cut(h, n)
-            yield _exchange.rows(
-                [
-                    (b, _exchange.encode(h[o], *(c[k][who[o]].astype(I64) for k in ("cls", "n", "shared", "comp"))))
-                    for b in range(n)
-                    if places[b] < places[b + 1]
-                    for o in [slice(places[b], places[b + 1])]
-                ]
-            )
+            out = []
+            for b in range(n):
+                if places[b] < places[b + 1]:
+                    own = slice(places[b], places[b + 1])
+                    rows, small = np.unique(who[own], return_inverse=True)
+                    out.append((b, _exchange.encode(_exchange.deltas(h[own]), small.astype(U32), about[rows].ravel(), bits[rows].ravel())))
+            yield _exchange.rows(out)
 
     kinds = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def pairs(_, payloads):
-        parts = [_exchange.decode(p) for p in payloads]
-        h, cls, size, shared, comp_ = (np.concatenate([p[k] for p in parts]) for k in range(5))
-        order = np.lexsort((size, h))
-        h, cls, size, shared, comp_ = h[order], cls[order], size[order], shared[order], comp_[order]
+        h, who, about, bits = [], [], [], []
+        shift = 0
+        for p in payloads:
+            x, small, a, raw = _exchange.decode(p)
+            h.append(np.cumsum(x, dtype=U64))
+            who.append(small.astype(I64) + shift)
+            about.append(a.reshape(-1, 4))
+            bits.append(raw.reshape(-1, BITS // 8))
+            shift += len(about[-1])
+        h, who, about = np.concatenate(h), np.concatenate(who), np.concatenate(about)
+        bits = np.ascontiguousarray(np.concatenate(bits)).view(U64)
+        order = np.lexsort((about[who, 1], h))
+        h, who = h[order], who[order]
         at = np.append(_exchange.firsts(h), len(h))
         found = []
         for lo, hi in zip(at[:-1].tolist(), at[1:].tolist(), strict=True):
-            c = comp_[lo:hi]
+            members_ = who[lo:hi]
+            ids, s, sh, c = about[members_].T
             if hi - lo < 2 or (c == c[0]).all():
                 continue
-            s, sh, ids = size[lo:hi], shared[lo:hi], cls[lo:hi]
             top = np.searchsorted(s, s * 100 // percent, side="right")  # members are sorted by size
-            for i in range(hi - lo):
-                j = slice(i + 1, top[i])
-                need = (s[i] + s[j]) * percent  # overlap k links when k (100 + percent) >= need
-                ok = (c[j] != c[i]) & (np.minimum(sh[j], sh[i]) * (100 + percent) >= need)
-                if ok.any():
-                    other = ids[j][ok]
-                    found.append(np.stack([np.minimum(other, ids[i]), np.maximum(other, ids[i])], axis=1))
+            low = np.searchsorted(s, -(-s * percent // 100), side="left")
+            if hubs is None:
+                todo = [(i, i + 1) for i in range(hi - lo)]
+            else:
+                todo = [(i, low[i]) for i in np.lexsort((ids, -sh / s))[:hubs].tolist()]
+            for i, start in todo:
+                j = np.arange(start, top[i])
+                both = s[i] + s[j]
+                # an overlap of k links when k (100 + percent) >= percent (sum of sizes)
+                j = j[(c[j] != c[i]) & (np.minimum(sh[j], sh[i]) * (100 + percent) >= both * percent)]
+                if not len(j):
+                    continue
+                apart = np.bitwise_count(bits[members_[j]] ^ bits[members_[i]]).sum(axis=1, dtype=I64)
+                most = (sh[j] + sh[i] - apart) // 2
+                j = j[most * (100 + percent) >= (s[i] + s[j]) * percent]
+                if len(j):
+                    found.append(np.stack([np.minimum(ids[j], ids[i]), np.maximum(ids[j], ids[i])], axis=1))
             if len(found) > 2000:
                 found = [np.unique(np.concatenate(found), axis=0)]
         got = np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 2), dtype=I64)
@@ -300,11 +338,12 @@ def class_components(docs: DataFrame, text_col: str = "text", size: int = SIZE,
     fits = (F.col("na") * 100 >= F.col("nb") * percent) & (F.col("nb") * 100 >= F.col("na") * percent)
     hubs = _hub_pairs(sets).where(fits).select("a", "b").distinct()
     links = _store.written(_overlaps(hubs, sets, percent), folder, "links-1")
-    comp = components(links, f"{folder}/first")
-    cross = _store.written(_cross_pairs(sets, comp, percent), folder, "cross")
-    more = _store.written(_overlaps(cross, sets, percent), folder, "links-2")
-    every = links.unionByName(more)
-    return components(every, f"{folder}/second"), every
+    comp = components(links, f"{folder}/links-1-components")
+    for k, hubs in enumerate(HUBS, 2):
+        pairs = _store.written(_cross_pairs(sets, comp, percent, hubs), folder, f"pairs-{k}")
+        links = _store.written(_overlaps(pairs, sets, percent).unionByName(links), folder, f"links-{k}")
+        comp = components(links, f"{folder}/links-{k}-components")
+    return comp, links
 
 
 def _labels(slim: DataFrame, comp: DataFrame, id_col: str) -> DataFrame:
