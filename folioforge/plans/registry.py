@@ -2,5 +2,7 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-SQL: dict = {}
+from folioforge.plans import documents
+
+QUERIES: dict = {**documents.QUERIES}
+SQL: dict = {**documents.SQL}
