@@ -33,9 +33,12 @@ from folioforge.llm.gsaca import suffix_array
 U64, U32, I64 = np.uint64, np.uint32, np.int64
 LENGTH, K = 50, 26
 HOT_DOCS, WIDE, SALTS = 4096, 64, 16
-FLUSH_ANCHORS, FLUSH_BYTES, FLUSH_TEXT = 2_500_000, 16 << 20, 16 << 20
+FLUSH_ANCHORS, FLUSH_BYTES, FLUSH_TEXT = 1_000_000, 5 << 20, 8 << 20
 BATCH = 1 << 20
 SA_SYMBOLS = 60_000
+PLACE_BITS = 26
+_UPPER = U64(0xFFFFFFFFFFFFFFFF << PLACE_BITS & 0xFFFFFFFFFFFFFFFF)
+_FACTORS = _words.mix(np.arange(11, 16, dtype=U64)) | U64(1)
 NULL_ID = np.iinfo(np.int64).max
 
 
@@ -44,21 +47,34 @@ def stretches(buf: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, ...]:
     none = np.zeros(0, dtype=I64)
     if len(buf) < LENGTH:
         return none, none, none, np.zeros(0, dtype=U64), none
-    base = _words._BASE
-    h1 = _words._BYTE[buf]
-    h2 = _words.mix(h1[:-1] * base + h1[1:])
-    h4 = h2[:-2] * base + h2[2:]
-    h8 = _words.mix(h4[:-4] * base + h4[4:])
-    h16 = h8[:-8] * base + h8[8:]
-    value = h = _words.mix(h16[: -(K - 16)] * base + h16[K - 16 :])
-    at = np.arange(len(h), dtype=np.int32)
+    # hash of K bytes from halves: a sum of the bytes' random numbers, each by its own odd factor
+    part = _words._BYTE[buf]
+    for step, factor in zip((1, 2, 4, 8, K - 16), _FACTORS, strict=True):
+        left = part[:-step] * factor
+        left += part[step:]
+        part = left
+    h = part
+    h ^= h >> U64(32)
+    h *= _words._M1
+    h ^= h >> U64(29)
+    # least hash of the window's parts, by its upper bits, the left one on ties
     have, need = 1, LENGTH - K + 1
-    while have < need:  # least of ``have`` parts -> least of twice as many, the left one on ties
-        step = min(have, need - have)
-        less = value[step:] < value[:-step]
-        value = np.where(less, value[step:], value[:-step])
-        at = np.where(less, at[step:], at[:-step])
-        have += step
+    at = np.arange(len(h), dtype=U64)
+    if len(h) < 1 << PLACE_BITS:  # bits and place in one number
+        value = (h & _UPPER) | at
+        while have < need:
+            step = min(have, need - have)
+            value = np.minimum(value[:-step], value[step:])
+            have += step
+        at = value & ~_UPPER
+    else:
+        value = h & _UPPER
+        while have < need:
+            step = min(have, need - have)
+            less = value[step:] < value[:-step]
+            value = np.where(less, value[step:], value[:-step])
+            at = np.where(less, at[step:], at[:-step])
+            have += step
     ends = starts[1:] - LENGTH  # the text's end is one before the next start
     real = np.flatnonzero(ends > starts[:-1])
     flag = np.zeros(len(at) + 1, dtype=np.int8)
@@ -73,7 +89,8 @@ def stretches(buf: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, ...]:
     first = np.flatnonzero(new)
     last = np.append(first[1:], len(window)) - 1
     lo, hi, place = window[first], window[last], anchor[first]
-    return lo, hi, place, h[place], np.searchsorted(starts, lo, side="right") - 1
+    # the least hashes are small numbers: mixed again, they spread over all buckets
+    return lo, hi, place, _words.mix(h[place]), np.searchsorted(starts, lo, side="right") - 1
 
 
 class Shared:
