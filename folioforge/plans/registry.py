@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from folioforge.plans import documents
+from folioforge.plans import documents, tables
 
-QUERIES: dict = {**documents.QUERIES}
-SQL: dict = {**documents.SQL}
+QUERIES: dict = {**documents.QUERIES, **tables.QUERIES}
+SQL: dict = {**documents.SQL, **tables.SQL}
