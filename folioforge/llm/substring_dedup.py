@@ -37,6 +37,8 @@ FLUSH_ANCHORS, FLUSH_BYTES, FLUSH_TEXT = 1_000_000, 5 << 20, 8 << 20
 BATCH = 1 << 20
 SA_SYMBOLS = 60_000
 PLACE_BITS = 26
+#: bits of an anchor's hash by which it is counted; a clash only makes an anchor a candidate that it need not be
+COUNT_BITS = 48
 _UPPER = U64(0xFFFFFFFFFFFFFFFF << PLACE_BITS & 0xFFFFFFFFFFFFFFFF)
 _FACTORS = _words.mix(np.arange(11, 16, dtype=U64)) | U64(1)
 NULL_ID = np.iinfo(np.int64).max
@@ -104,7 +106,7 @@ class Shared:
 
     def find(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Whether each hash is shared, and hot."""
-        distinct, back = np.unique(h, return_inverse=True)
+        distinct, back = np.unique(h >> U64(64 - COUNT_BITS) << U64(64 - COUNT_BITS), return_inverse=True)
         there, hot = np.zeros(len(distinct), dtype=bool), np.zeros(len(distinct), dtype=bool)
         places = _exchange.cut(distinct, len(self.sizes))
         for b, size in enumerate(self.sizes):
@@ -136,7 +138,7 @@ def shared_anchors(src: DataFrame, hot_docs: int = HOT_DOCS) -> Shared:
 
         def flush():
             h, c = _sum_sorted(np.concatenate([x for x, _ in held]), np.concatenate([x for _, x in held]))
-            at = _exchange.cut(h, n)
+            at = _exchange.cut(h << U64(64 - COUNT_BITS), n)
             for b in range(n):
                 if at[b] < at[b + 1]:
                     own = slice(at[b], at[b + 1])
@@ -145,6 +147,7 @@ def shared_anchors(src: DataFrame, hot_docs: int = HOT_DOCS) -> Shared:
         for _, texts in _exchange.in_batches(it, limit=BATCH):
             buf, starts = _words.pack(texts, lower=False)
             _, _, _, h, doc = stretches(buf, starts)
+            h = h >> U64(64 - COUNT_BITS)
             order = np.argsort(h, kind="stable")
             h, doc = h[order], doc[order]
             new = np.ones(len(h), dtype=bool)
@@ -164,7 +167,7 @@ def shared_anchors(src: DataFrame, hot_docs: int = HOT_DOCS) -> Shared:
     def write(bucket, payloads):
         parts = [_exchange.decode(p) for p in payloads]
         h, c = _sum_sorted(np.concatenate([np.cumsum(p[0], dtype=U64) for p in parts]), np.concatenate([p[1].astype(I64) for p in parts]))
-        h, c = h[c > 1], c[c > 1]
+        h, c = h[c > 1] << U64(64 - COUNT_BITS), c[c > 1]
         _store.put(f"{folder}/anchor-{bucket}", h)
         _store.put(f"{folder}/hot-{bucket}", (c >= hot_docs).astype(np.uint8))
         return pa.table({"bucket": [bucket], "size": [len(h)]}, schema=kinds)
@@ -181,6 +184,12 @@ def _slices(start: np.ndarray, length: np.ndarray) -> np.ndarray:
     return np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(start - (ends - length), length)
 
 
+def _sides(buf: np.ndarray, lo: np.ndarray, left: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """Bytes of contexts without their anchors: what is before and what is after."""
+    start, size = np.stack([lo, lo + left + K], axis=1).ravel(), np.stack([left, length - left - K], axis=1).ravel()
+    return buf[_slices(start, size)]
+
+
 def _row_keys(ids: list, texts: list) -> tuple[np.ndarray, np.ndarray]:
     """Ids as numbers, and a key for each (id, text)."""
     id_ = np.array([NULL_ID if i is None else i for i in ids], dtype=I64)
@@ -212,7 +221,7 @@ def _contexts(src: DataFrame, shared: Shared) -> DataFrame:
             least, most = np.minimum.reduceat(id_[order], heads), np.maximum.reduceat(id_[order], heads)
             wide = runs >= WIDE
             one = order[heads]
-            offset = np.cumsum(length) - length
+            offset = np.cumsum(length - K) - (length - K)
             to = _exchange.bucket_of(np.where(hot[one], key[one], anchor[one]), n).astype(I64)
             by = np.argsort(to, kind="stable")
             places = np.searchsorted(to[by], np.arange(n + 1))
@@ -221,8 +230,8 @@ def _contexts(src: DataFrame, shared: Shared) -> DataFrame:
                 if len(own):
                     c = one[own]
                     payload = _exchange.encode(
-                        anchor[c], key[c], least[own], most[own], left[c].astype(np.uint8), length[c].astype(np.uint8),
-                        wide[own].astype(np.uint8), raw[_slices(offset[c], length[c])],
+                        anchor[c], _exchange.deltas(key[c]), least[own], most[own] - least[own], left[c].astype(np.uint8),
+                        length[c].astype(np.uint8), wide[own].astype(np.uint8), raw[_slices(offset[c], length[c] - K)],
                     )
                     yield _exchange.rows([(b, b"c" + payload)])
             # occurrences, those of wide contexts by document over several buckets
@@ -237,7 +246,7 @@ def _contexts(src: DataFrame, shared: Shared) -> DataFrame:
                     rows, small = np.unique(row[own], return_inverse=True)
                     ids = np.zeros(len(rows), dtype=I64)
                     ids[small] = id_[own]
-                    yield _exchange.rows([(n + b, b"o" + _exchange.encode(key[own], small.astype(U32), lo[own].astype(U32), rows, ids))])
+                    yield _exchange.rows([(n + b, b"o" + _exchange.encode(_exchange.deltas(key[own]), small.astype(U32), lo[own].astype(U32), rows, ids))])
 
         for ids, texts in _exchange.in_batches(it, limit=BATCH):
             buf, starts = _words.pack(texts, lower=False)
@@ -255,7 +264,7 @@ def _contexts(src: DataFrame, shared: Shared) -> DataFrame:
             id_, row = _row_keys(ids, texts)
             left, length = place - lo, hi - lo + LENGTH
             key = _words.mix(_words.hash_spans(buf, lo, lo + length) + left.astype(U64) * _words._ODD + hot.astype(U64))
-            held.append((key, h, id_[doc], row[doc], lo - starts[doc], left, length, hot, buf[_slices(lo, length)]))
+            held.append((key, h, id_[doc], row[doc], lo - starts[doc], left, length, hot, _sides(buf, lo, left, length)))
             size += int(length.sum())
             if size > FLUSH_BYTES:
                 yield from flush()
@@ -271,7 +280,7 @@ def _salted(key: np.ndarray, salt, n: int) -> np.ndarray:
 
 
 def least_starts(contexts: list[tuple[int, int, bytes, int]]) -> list[np.ndarray]:
-    """For each context (anchor, left length, bytes, least document): of each of its windows, the least document it starts in.
+    """For each context (anchor, left length, bytes around the anchor, least document): of each window, the least document it starts in.
 
     One suffix array of all contexts, whose anchors stand as one symbol each. A window is then
     LENGTH - K + 1 symbols, and equal windows are neighbours among the windows in suffix order.
@@ -281,10 +290,10 @@ def least_starts(contexts: list[tuple[int, int, bytes, int]]) -> list[np.ndarray
     base, count = [], []
     for anchor, left, raw, _ in contexts:
         base.append(len(symbols))
-        count.append(len(raw) - LENGTH + 1)
+        count.append(len(raw) + K - LENGTH + 1)
         symbols.extend(raw[:left])
         symbols.append(256 + numbers.setdefault(anchor, len(numbers) + 1))
-        symbols.extend(raw[left + K :])
+        symbols.extend(raw[left:])
         symbols.append(256)
     text = np.array(symbols, dtype=I64) + 1
     first, n = np.array(base, dtype=I64), np.array(count, dtype=I64)
@@ -307,10 +316,12 @@ def least_starts(contexts: list[tuple[int, int, bytes, int]]) -> list[np.ndarray
 def _solve(payloads: list[bytes]) -> tuple[np.ndarray, ...]:
     """Results of the contexts of one bucket: key, first and last window, least document, whether wide."""
     parts = [_exchange.decode(p) for p in payloads]
-    anchor, key, least, most, left, length, wide = (np.concatenate([p[k] for p in parts]) for k in range(7))
+    anchor, least, most, left, length, wide = (np.concatenate([p[k] for p in parts]) for k in (0, 2, 3, 4, 5, 6))
+    key = np.concatenate([np.cumsum(p[1], dtype=U64) for p in parts])
     raw = np.concatenate([p[7] for p in parts])
+    most += least
     length = length.astype(I64)
-    offset = np.cumsum(length) - length
+    offset = np.cumsum(length - K) - (length - K)
     order = np.lexsort((key, anchor))
     heads = _exchange.firsts(key[order])
     least, most = np.minimum.reduceat(least[order], heads), np.maximum.reduceat(most[order], heads)
@@ -324,7 +335,7 @@ def _solve(payloads: list[bytes]) -> tuple[np.ndarray, ...]:
     data = raw.tobytes()
 
     def solve(batch):
-        got = least_starts([(int(anchor[c]), int(left[c]), data[offset[c] : offset[c] + length[c]], int(least[c])) for c in batch])
+        got = least_starts([(int(anchor[c]), int(left[c]), data[offset[c] : offset[c] + length[c] - K], int(least[c])) for c in batch])
         n = np.array([len(g) for g in got], dtype=I64)
         values, which = np.concatenate(got), np.repeat(np.arange(len(batch)), n)
         place = np.arange(len(values)) - np.repeat(np.cumsum(n) - n, n)
@@ -390,6 +401,7 @@ def _ranges(blocks: DataFrame, n: int) -> DataFrame:
             if p[:1] != b"o":
                 continue
             okey, small, lo, rows, ids = _exchange.decode(p[1:])
+            okey = np.cumsum(okey, dtype=U64)
             a, b = np.searchsorted(key, okey, side="left"), np.searchsorted(key, okey, side="right")
             who, at = np.repeat(np.arange(len(okey)), b - a), _slices(a, b - a)
             use = value[at] < ids[small[who]]
