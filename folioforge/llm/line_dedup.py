@@ -62,7 +62,8 @@ def line_dedup(
         .groupBy("h1", "h2")
         .agg(F.count("one").alias("n"), F.max("id").alias("last_id"))
         .where(F.col("n") >= min_docs)
-        .select(F.col("h1").alias("f1"), F.col("h2").alias("f2"), "last_id")
+        # no longer the grouping columns themselves: the join gets exchanges of its own, which skew splitting can cut
+        .select(F.col("h1").bitwiseXOR(F.lit(0)).alias("f1"), F.col("h2").bitwiseXOR(F.lit(0)).alias("f2"), "last_id")
     )
     dropped = (
         line.join(frequent, (F.col("h1") == F.col("f1")) & (F.col("h2") == F.col("f2")))
