@@ -44,91 +44,133 @@ def engine_centrality(cer: DataFrame) -> DataFrame:
     return mean.withColumn("rank", F.row_number().over(Window.orderBy("mean_cer", "engine")))
 
 
-def consensus_entropy(reads: DataFrame, keys: list[str] | None = None, text: str = "text", name: str = "engine") -> tuple[DataFrame, DataFrame]:
-    """Per read: entropy and weight; per region: n, mean_sim, delta.
+def _region_table(reads: DataFrame, keys: list[str], text: str, name: str, threshold: float, extra: list[str] = ()) -> DataFrame:
+    """One row a region with arrays over its reads (in order of ``name``): entropy, weight, label; and n, mean_sim, delta, fraction, cluster.
 
-    A read's similarities to the others are a distribution; its entropy is low where it stands with few of them. A read
-    without any similarity gets the largest entropy of the region (or ln n). delta is the spread of entropies over ln n.
+    A region has as many reads as there are engines, so its similarity matrix is a small array of one row and the whole
+    consensus is one exchange. A read's similarities to the others are a distribution; its entropy is low where it
+    stands with few of them. A read without any similarity gets the largest entropy of the region (or ln n). delta is the spread of
+    entropies over ln n. Labels of single-linkage clusters spread over links by repeated minima.
     """
-    keys = keys or KEYS
-    sims = both_ways(pair_similarity(reads, keys, text, name)).select(*keys, F.col("a").alias(name), "sim")
-    p = F.col("sim") / F.col("_sum")
-    total = Window.partitionBy(*keys, name)
-    rows = sims.withColumn("_sum", F.sum("sim").over(total))
-    term = F.when(F.col("_sum") > 1e-9, F.when(p > 0, -p * F.log(p)).otherwise(0.0))
-    per_read = rows.groupBy(*keys, name).agg(F.sum(term).alias("_h"))
-    all_reads = reads.select(*keys, name).join(per_read, [*keys, name], "left")
-    region = Window.partitionBy(*keys)
-    n = F.count(F.lit(1)).over(region)
-    entropy = F.when(n == 1, 0.0).otherwise(F.coalesce("_h", F.max("_h").over(region), F.log(n)))
-    each = all_reads.withColumn("entropy", entropy).drop("_h")
-    raw = 1 / (F.col("entropy") + 1e-9)
-    each = each.withColumn("weight", raw / F.sum(raw).over(region))
-    mean_sim = sims.groupBy(*keys).agg(F.avg("sim").alias("mean_sim"))
-    spread = F.stddev_pop("entropy") / F.when(F.count(F.lit(1)) > 1, F.log(F.count(F.lit(1))))
-    per_region = each.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n"), F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.coalesce(spread, F.lit(0.0)))).alias("delta")
+    item = F.struct(F.col(name).alias("e"), F.col(text).alias("t"), *[F.col(c) for c in extra])
+    df = reads.groupBy(*keys).agg(F.array_sort(F.collect_list(item)).alias("_m"))
+    df = df.withColumn("n", F.size("_m"))
+    df = df.withColumn("_s", F.transform("_m", lambda x: F.transform(F.col("_m"), lambda y: S.similarity(x["t"], y["t"]))))
+    others = lambda row: F.aggregate(row, F.lit(0.0), lambda a, v: a + v) - 1  # noqa: E731  a read's similarity to itself is 1
+    df = df.withColumn("_sum", F.transform("_s", others))
+
+    def entropy(row, i):
+        total = F.get(F.col("_sum"), i)
+        term = lambda v, k: F.when((k != i) & (v > 0), -(v / total) * F.log(v / total)).otherwise(0.0)
+        return F.when(total > 1e-9, F.aggregate(F.transform(row, term), F.lit(0.0), lambda a, v: a + v))
+
+    df = df.withColumn("_h", F.transform("_s", entropy))
+    df = df.withColumn("entropy", F.transform("_h", lambda h: F.when(F.col("n") == 1, 0.0).otherwise(F.coalesce(h, F.array_max("_h"), F.log(F.col("n"))))))
+    df = df.withColumn("_w", F.transform("entropy", lambda h: 1 / (h + 1e-9)))
+    total = lambda c: F.aggregate(c, F.lit(0.0), lambda a, v: a + v)
+    df = df.withColumn("_wsum", total("_w")).withColumn("weight", F.transform("_w", lambda w: w / F.col("_wsum")))
+    df = df.withColumn("_mean", total("entropy") / F.col("n"))
+    spread = F.sqrt(total(F.transform("entropy", lambda h: (h - F.col("_mean")) * (h - F.col("_mean")))) / F.col("n"))
+    pairs = (F.col("n") * (F.col("n") - 1)).cast("double")
+    df = df.withColumns(
+        {
+            "delta": F.when(F.col("n") > 1, F.greatest(F.lit(0.0), F.least(F.lit(1.0), spread / F.log(F.col("n"))))).otherwise(0.0),
+            "mean_sim": F.when(F.col("n") > 1, total("_sum") / F.greatest(pairs, F.lit(1.0))).otherwise(1.0),
+            "label": F.aggregate(
+                F.sequence(F.lit(1), F.col("n")),
+                F.sequence(F.lit(0), F.col("n") - 1),
+                lambda labels, _: F.transform("_s", lambda row: F.array_min(F.transform(row, lambda v, j: F.when(v >= threshold, F.get(labels, j))))),
+            ),
+        }
+    )
+    each = F.arrays_zip(F.col("weight").alias("w"), F.col("label").alias("l"))
+    per_label = F.transform(
+        F.array_distinct("label"), lambda c: F.struct((-F.round(total(F.transform(F.filter(each, lambda x: x["l"] == c), lambda x: x["w"])), 12)).alias("w"), c.alias("c"))
     )
-    return each, per_region.join(mean_sim, keys, "left").fillna(1.0, ["mean_sim"])
+    df = df.withColumn("_best", F.array_min(per_label))
+    return df.withColumns({"fraction": -F.col("_best.w"), "cluster": F.col("_best.c")}).drop("_s", "_sum", "_h", "_w", "_wsum", "_mean", "_best")
 
 
-def clusters(reads: DataFrame, keys: list[str] | None = None, text: str = "text", name: str = "engine", threshold: float = P.CLUSTER_SIM) -> DataFrame:
-    """Single-linkage cluster of each read: the least member that links reach. Regions have few reads, so three hops squared suffice.
+def _each_read(table: DataFrame, keys: list[str], name: str) -> DataFrame:
+    zipped = F.arrays_zip(F.col("_m").alias("m"), F.col("entropy").alias("entropy"), F.col("weight").alias("weight"), F.col("label").alias("label"))
+    label = F.get(F.col("_m"), F.col("x.label"))["e"]
+    return table.select(*keys, "_m", F.explode(zipped).alias("x")).select(*keys, F.col("x.m.e").alias(name), F.col("x.entropy").alias("entropy"), F.col("x.weight").alias("weight"), label.alias("cluster"))
 
-    Labels spread over the links of each region by repeated minima; each round doubles the reach (labels of labels),
-    and four rounds settle chains of sixteen reads.
-    """
+
+def consensus_entropy(reads: DataFrame, keys: list[str] | None = None, text: str = "text", name: str = "engine") -> tuple[DataFrame, DataFrame]:
+    """Per read: entropy and weight; per region: n, mean_sim, delta."""
     keys = keys or KEYS
-    links = both_ways(pair_similarity(reads, keys, text, name)).where(F.col("sim") >= threshold).select(*keys, F.col("a").alias(name), F.col("b").alias("_o"))
-    near = links.groupBy(*keys, name).agg(F.collect_set("_o").alias("_n"))
-    start = reads.select(*keys, name).join(near, [*keys, name], "left").withColumn("_n", F.coalesce("_n", F.array().cast(near.schema["_n"].dataType)))
-    region = start.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct(F.col(name).alias("m"), F.array_append("_n", F.col(name)).alias("n")))).alias("_r"))
-    labels = F.map_from_entries(F.transform("_r", lambda x: F.struct(x["m"], x["m"].alias("l"))))
+    table = _region_table(reads, keys, text, name, P.CLUSTER_SIM)
+    return _each_read(table, keys, name).drop("cluster"), table.select(*keys, F.col("n").cast("long").alias("n"), "delta", "mean_sim")
 
-    def spread(_, m):
-        least = lambda x: F.array_min(F.transform(x["n"], lambda o: F.element_at(m, o)))
-        return F.map_from_entries(F.transform("_r", lambda x: F.struct(x["m"], least(x).alias("l"))))
 
-    settled = F.aggregate("_r", labels, lambda m, x: spread(x, m))  # as many rounds as reads: the longest chain
-    return region.select(*keys, F.explode(settled).alias(name, "cluster"))
+def clusters(reads: DataFrame, keys: list[str] | None = None, text: str = "text", name: str = "engine", threshold: float = P.CLUSTER_SIM) -> DataFrame:
+    """Single-linkage cluster of each read, named by its least member."""
+    keys = keys or KEYS
+    return _each_read(_region_table(reads, keys, text, name, threshold), keys, name).select(*keys, name, "cluster")
 
 
 def cluster_fraction(reads: DataFrame, keys: list[str] | None = None, text: str = "text", name: str = "engine", threshold: float = P.CLUSTER_SIM) -> DataFrame:
-    """Share of weight of the heaviest cluster of each region, and that cluster."""
+    """Share of weight of the heaviest cluster of each region (the one with the least member on ties), and that cluster."""
     keys = keys or KEYS
-    each, _ = consensus_entropy(reads, keys, text, name)
-    weights = clusters(reads, keys, text, name, threshold).join(each, [*keys, name]).groupBy(*keys, "cluster").agg(F.sum("weight").alias("w"))
-    best = F.min(F.struct((-F.round("w", 12)).alias("w"), "cluster"))
-    return weights.groupBy(*keys).agg((-best["w"]).alias("cluster_fraction"), best["cluster"].alias("cluster"))
+    table = _region_table(reads, keys, text, name, threshold)
+    return table.select(*keys, F.col("fraction").alias("cluster_fraction"), F.get(F.col("_m"), F.col("cluster"))["e"].alias("cluster"))
+
+
+def _representative(shown: Column) -> Column:
+    """Of the heaviest cluster the read of most weight, then the longest, then the least text: struct<w, l, t, e>."""
+    inside = F.filter(F.arrays_zip(F.col("_m").alias("m"), F.col("weight").alias("w"), F.col("label").alias("c"), shown.alias("t")), lambda x: x["c"] == F.col("cluster"))
+    return F.array_min(F.transform(inside, lambda x: F.struct((-F.round(x["w"], 12)).alias("w"), (-F.char_length(x["t"])).alias("l"), x["t"].alias("t"), x["m"]["e"].alias("e"))))
 
 
 def pick_read(reads: DataFrame, keys: list[str] | None = None, text: str = "text", name: str = "engine", threshold: float = P.CLUSTER_SIM) -> DataFrame:
-    """The consensus read of each region of two reads or more: of the heaviest cluster the read of most weight, then longest, then least text."""
+    """The consensus read of each region of two reads or more."""
     keys = keys or KEYS
-    each, _ = consensus_entropy(reads, keys, text, name)
-    best = cluster_fraction(reads, keys, text, name, threshold)
-    member = clusters(reads, keys, text, name, threshold).join(best, [*keys, "cluster"]).join(each, [*keys, name]).join(reads, [*keys, name])
-    order = F.struct((-F.round("weight", 12)).alias("w"), (-F.char_length(text)).alias("l"), F.col(text).alias("t"), F.col(name).alias("e"))
-    several = reads.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where("_n >= 2").select(*keys)
-    return member.join(several, keys).groupBy(*keys).agg(F.min(order).alias("_b"), F.first("cluster_fraction").alias("agreement")).select(
-        *keys, F.col("_b.e").alias(name), F.col("_b.t").alias("text"), "agreement"
-    )
+    table = _region_table(reads, keys, text, name, threshold).where("n >= 2")
+    best = table.withColumn("_b", _representative(F.transform("_m", lambda m: m["t"])))
+    return best.select(*keys, F.col("_b.e").alias(name), F.col("_b.t").alias("text"), F.col("fraction").alias("agreement"))
 
 
 # alignments: inherently sequential, one region at a time
 
 
+def _distance(a: str, b: str) -> int:
+    """Edit distance by bit vectors (Myers 1999, in Hyyro's form): one column of the table is a pair of integers."""
+    if len(a) > len(b):
+        a, b = b, a
+    if not a:
+        return len(b)
+    at: dict[str, int] = {}
+    for k, c in enumerate(a):
+        at[c] = at.get(c, 0) | 1 << k
+    mask, top = (1 << len(a)) - 1, 1 << len(a) - 1
+    up, down, score = mask, 0, len(a)
+    for c in b:
+        match = at.get(c, 0)
+        zero = (((match & up) + up) ^ up) | match | down
+        rise, fall = down | ~(zero | up) & mask, zero & up
+        score += bool(rise & top) - bool(fall & top)
+        rise = rise << 1 | 1
+        up, down = (fall << 1 | ~(zero | rise)) & mask, rise & zero & mask
+    return score
+
+
 def _ned(a: str, b: str) -> float:
-    if a == b:
-        return 0.0
-    if not a or not b:
-        return 1.0
-    row = list(range(len(b) + 1))
-    for i, x in enumerate(a, 1):
-        diagonal, row[0] = row[0], i
-        for j, y in enumerate(b, 1):
-            diagonal, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, diagonal + (x != y))
-    return row[-1] / max(len(a), len(b))
+    return 0.0 if a == b else _distance(a, b) / max(len(a), len(b))
+
+
+def _best(here: str, forms: list[str], places, floor: float) -> tuple[float, int | None]:
+    """The most similar form among ``places`` and its place, the first on ties; pairs whose lengths alone rule out
+    more than ``floor`` are not compared."""
+    best, at = floor, None
+    for k in places:
+        longer = max(len(here), len(forms[k]))
+        if longer and 1 - abs(len(here) - len(forms[k])) / longer <= best:
+            continue
+        s = 1 - _ned(here, forms[k])
+        if s > best:
+            best, at = s, k
+    return best, at
 
 
 def _compare(s: str) -> str:
@@ -151,10 +193,9 @@ def align_free(reads: dict[str, list[str]], threshold: float = P.ALIGN_SIM) -> l
             continue
         for t in texts:
             form = _compare(t)
-            scored = [(1 - _ned(form, forms[k]), -k) for k in range(len(groups)) if engine not in groups[k]]
-            best, at = max(scored, default=(0.0, 0))
-            if best > threshold:
-                groups[-at][engine] = t
+            _, at = _best(form, forms, (k for k in range(len(groups)) if engine not in groups[k]), threshold)
+            if at is not None:
+                groups[at][engine] = t
             else:
                 groups.append({engine: t})
                 forms.append(form)
@@ -178,10 +219,9 @@ def align_ordered(reads: dict[str, list[str]], threshold: float = P.SPINE_SIM, a
             here = form(t)
             hit = None
             for window in (range(at, min(len(slots), at + ahead + 1)), range(max(0, at - back), at)):
-                sims = [(1 - _ned(here, forms[k]), -k) for k in window if engine not in slots[k]]
-                best, k = max(sims, default=(0.0, 0))
-                if sims and best > 0 and best >= threshold:
-                    hit = -k
+                # "at least the threshold" is "more than the next smaller number"
+                _, hit = _best(here, forms, (k for k in window if engine not in slots[k]), math.nextafter(threshold, 0))
+                if hit is not None:
                     break
             if hit is None:
                 extra.append((at, order, t))
@@ -228,17 +268,15 @@ def line_groups(members: DataFrame, keys: list[str] | None = None) -> DataFrame:
     """Per slot: members, representative (longest, first engine on ties), mean_sim and agreement; a line of one engine has neither."""
     keys = keys or KEYS
     forms = members.withColumn("_form", X.compare_form(F.col("text")))
-    _, ce = consensus_entropy(forms, [*keys, "slot"], "_form")
-    rep = F.min(F.struct((-F.char_length("text")).alias("l"), "engine", "text"))
-    each = members.groupBy(*keys, "slot").agg(
-        F.count(F.lit(1)).alias("n_engines_on_line"), F.map_from_entries(F.collect_list(F.struct("engine", "text"))).alias("members"), rep["text"].alias("representative"),
-        F.array_join(F.array_sort(F.collect_list("engine")), "|").alias("engines"),
+    table = _region_table(forms, [*keys, "slot"], "_form", "engine", P.CLUSTER_SIM, ["text"])
+    rep = F.array_min(F.transform("_m", lambda m: F.struct((-F.char_length(m["text"])).alias("l"), m["e"].alias("e"), m["text"].alias("t"))))["t"]
+    several = F.col("n") >= 2
+    got = table.select(
+        *keys, "slot", F.col("n").cast("long").alias("n_engines_on_line"), F.map_from_entries(F.transform("_m", lambda m: F.struct(m["e"], m["text"]))).alias("members"),
+        rep.alias("representative"), F.array_join(F.transform("_m", lambda m: m["e"]), "|").alias("engines"),
+        F.when(several, F.col("mean_sim")).otherwise(0.0).alias("mean_sim"), F.when(several, 1 - F.col("delta")).otherwise(0.0).alias("agreement"),
     )
-    got = each.join(ce, [*keys, "slot"])
-    several = F.col("n_engines_on_line") >= 2
-    return got.withColumns({"mean_sim": F.when(several, F.col("mean_sim")).otherwise(0.0), "agreement": F.when(several, 1 - F.col("delta")).otherwise(0.0)}).withColumn(
-        "band", band(F.col("mean_sim"))
-    ).drop("n", "delta")
+    return got.withColumn("band", band(F.col("mean_sim")))
 
 
 def analyze_regions(reads: DataFrame, keys: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
@@ -267,21 +305,15 @@ def fuse_regions(reads: DataFrame, keys: list[str] | None = None) -> DataFrame:
     """Fused lines: keys, line_idx, text, confidence, n_votes, votes. With one engine its lines pass with confidence 1."""
     keys = keys or KEYS
     reads = reads.where(F.regexp_like("text", F.lit(r"\S")))
-    members = aligned_lines(reads, keys, ordered=True)
-    slot = [*keys, "slot"]
-    votes = members.groupBy(*slot).agg(F.count(F.lit(1)).alias("n_votes"), F.map_from_entries(F.collect_list(F.struct("engine", "text"))).alias("votes"), F.first("text").alias("_only"))
-    forms = members.withColumn("_form", X.light_form(F.col("text")))
-    weights, ce = consensus_entropy(forms, slot, "_form")
-    best = cluster_fraction(forms, slot, "_form", threshold=P.FUSE_SIM)
-    inside = clusters(forms, slot, "_form", threshold=P.FUSE_SIM).join(best, [*slot, "cluster"]).join(weights, [*slot, "engine"]).join(members, [*slot, "engine"])
-    order = F.struct((-F.round("weight", 12)).alias("w"), (-F.char_length("text")).alias("l"), F.col("text").alias("t"))
-    rep = inside.groupBy(*slot).agg(F.min(order)["t"].alias("_rep"), F.first("cluster_fraction").alias("_fraction"))
+    forms = aligned_lines(reads, keys, ordered=True).withColumn("_form", X.light_form(F.col("text")))
+    table = _region_table(forms, [*keys, "slot"], "_form", "engine", P.FUSE_SIM, ["text"])
+    best = table.withColumn("_b", _representative(F.transform("_m", lambda m: m["text"])))
     n_engines = reads.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_engines"))
-    got = votes.join(rep, slot).join(ce.select(*slot, "delta"), slot).join(n_engines, keys)
     alone = F.col("n_engines") == 1
-    return got.select(
-        *keys, F.col("slot").alias("line_idx"), F.when(alone, F.col("_only")).otherwise(F.col("_rep")).alias("text"),
-        F.when(alone, 1.0).otherwise(F.col("_fraction")).alias("confidence"), F.when(alone, 0.0).otherwise(F.col("delta")).alias("delta"), "n_votes", "votes", "n_engines",
+    return best.join(n_engines, keys).select(
+        *keys, F.col("slot").alias("line_idx"), F.col("_b.t").alias("text"), F.when(alone, 1.0).otherwise(F.col("fraction")).alias("confidence"),
+        F.when(alone, 0.0).otherwise(F.col("delta")).alias("delta"), F.col("n").cast("long").alias("n_votes"),
+        F.map_from_entries(F.transform("_m", lambda m: F.struct(m["e"], m["text"]))).alias("votes"), "n_engines",
     )
 
 
@@ -343,5 +375,3 @@ def samples(groups: DataFrame, keys: list[str] | None = None, high: bool = False
 def worst_regions(regions: DataFrame, n: int = 15) -> DataFrame:
     return regions.orderBy("region_mean_sim", *KEYS).limit(n)
 
-
-LN = math.log

@@ -49,11 +49,17 @@ def gutters(pages: DataFrame, words: DataFrame, keys: list[str]) -> DataFrame:
     """
     width = pages.select(*keys, F.col("width").cast("double").alias("width"))
     x = lambda k: F.col("width") * 0.3 + (F.col("width") * 0.7 - F.col("width") * 0.3) * k / 40
-    grid = F.transform(F.sequence(F.lit(0), F.lit(CANDIDATES - 1)), lambda k: F.struct(k.alias("k"), x(k).alias("x")))
-    inside = words.join(width, keys).withColumn("_in", F.filter(grid, lambda c: (F.col("x0") < c["x"]) & (c["x"] < F.col("x1"))))
-    edges = inside.where(F.size("_in") > 0).select(
-        *keys, F.explode(F.array(F.struct(F.get("_in", F.lit(0))["k"].alias("k"), F.lit(1).alias("d")), F.struct((F.element_at("_in", -1)["k"] + 1).alias("k"), F.lit(-1).alias("d")))).alias("e")
-    )
+    low, step = x(F.lit(0)), (F.col("width") * 0.7 - F.col("width") * 0.3) / 40
+    # first candidate right of x0 and last one left of x1: near the quotient, then exactly by the candidates themselves
+    near = lambda v: F.greatest(F.lit(-2.0), F.least(F.lit(CANDIDATES + 1.0), F.floor((v - low) / step)))
+    at = near(F.col("x0"))
+    first = F.when(x(at - 1) > F.col("x0"), at - 1).when(x(at) > F.col("x0"), at).when(x(at + 1) > F.col("x0"), at + 1).otherwise(at + 2)
+    end = near(F.col("x1"))
+    last = F.when(x(end + 1) < F.col("x1"), end + 1).when(x(end) < F.col("x1"), end).when(x(end - 1) < F.col("x1"), end - 1).otherwise(end - 2)
+    inside = words.join(width, keys).select(
+        *keys, F.greatest(F.lit(0), first.cast("int")).alias("_k0"), F.least(F.lit(CANDIDATES - 1), last.cast("int")).alias("_k1")
+    ).where("_k0 <= _k1")
+    edges = inside.select(*keys, F.explode(F.array(F.struct(F.col("_k0").alias("k"), F.lit(1).alias("d")), F.struct((F.col("_k1") + 1).alias("k"), F.lit(-1).alias("d")))).alias("e"))
     steps = edges.groupBy(*keys, F.col("e.k").alias("k")).agg(F.sum("e.d").alias("d"))
     per_page = steps.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("k", "d"))).alias("_d"))
     n_words = words.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_words"))
