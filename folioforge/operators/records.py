@@ -1,8 +1,9 @@
 """Directory entries to records with carry-forward semantics, in two dialects.
 
 Rows are lines in reading order (volume, page, region, line). What a line leaves open is carried from earlier lines
-of its volume: surname, given names, title, location. Each carry is the last value of a window, and all carries
-of a volume share one sort. A volume is the unit of order, so it is the unit of a window too; volumes run in parallel.
+of its volume: surname, given names, title, location. A carry is made in two steps: the last value inside the line's page, else
+the last value of the pages before, which is a window over one row a page. So pages run in parallel, however large a volume is.
+Rows without a volume or page take nothing from other pages.
 """
 
 from __future__ import annotations
@@ -103,9 +104,22 @@ def merge_bumps_1912(lines: Column) -> Column:
     return F.aggregate(kept, start, add, lambda a: F.when(a["cur"].isNull(), a["done"]).otherwise(F.array_append(a["done"], a["cur"])))
 
 
-def _carry(value: Column, window) -> Column:
-    """Last value that is not null; a struct around it keeps the empty string apart from null."""
-    return F.last(value, ignorenulls=True).over(window)
+def _carried(df: DataFrame, values: dict[str, tuple[Column, bool]], volume: str) -> DataFrame:
+    """``df`` with the last value that is not null up to each row (inclusive or not), for several columns at once.
+
+    A struct around a value keeps the empty string apart from null.
+    """
+    page = Window.partitionBy(volume, "page").orderBy("region", "line_no")
+    own = df.withColumns({f"_v_{n}": v for n, (v, _) in values.items()})
+    ends = {n: page.rowsBetween(Window.unboundedPreceding, 0 if here else -1) for n, (_, here) in values.items()}
+    own = own.withColumns({f"_i_{n}": F.last(f"_v_{n}", ignorenulls=True).over(w) for n, w in ends.items()})
+    last = lambda n: F.max_by(f"_v_{n}", F.when(F.col(f"_v_{n}").isNotNull(), F.struct("region", "line_no")))
+    pages = own.groupBy(volume, "page").agg(*[last(n).alias(f"_l_{n}") for n in values])
+    before = Window.partitionBy(volume).orderBy("page").rowsBetween(Window.unboundedPreceding, -1)
+    pages = pages.select(volume, "page", *[F.last(f"_l_{n}", ignorenulls=True).over(before).alias(f"_b_{n}") for n in values])
+    got = own.join(pages, [volume, "page"], "left")
+    got = got.withColumns({n: F.coalesce(f"_i_{n}", f"_b_{n}") for n in values})
+    return got.drop(*[f"_{k}_{n}" for k in "vib" for n in values])
 
 
 def parse_records(lines: DataFrame, dialect: str = "1936", volume: str = "volume", split_spaces: bool = False) -> DataFrame:
@@ -115,8 +129,6 @@ def parse_records(lines: DataFrame, dialect: str = "1936", volume: str = "volume
     surname, given name and income are dropped after they had their effect on what is carried.
     """
     old = dialect == "1912"
-    w = Window.partitionBy(volume).orderBy(*ORDER).rowsBetween(Window.unboundedPreceding, 0)
-    before = Window.partitionBy(volume).orderBy(*ORDER).rowsBetween(Window.unboundedPreceding, -1)
     df = lines.withColumn("raw", X.strip(F.col("text"))).where("raw <> ''")
     df = df.withColumns({"n_dash": dash_count(F.col("raw")), "_f": fields(F.col("raw"))})
     last = F.element_at("_f", -1)
@@ -128,7 +140,8 @@ def parse_records(lines: DataFrame, dialect: str = "1936", volume: str = "volume
     if old:
         ditto = ditto | (F.regexp_like(head, F.lit(P.TITLE_FIRST)) & (F.size("_f") > 0))
     df = df.withColumns({"_ditto": ditto, "_same": F.col("n_dash") >= 2})
-    df = df.withColumn("surname", F.coalesce(_carry(F.when(~F.col("_ditto"), F.struct(head.alias("v"))), w)["v"], F.lit("")))
+    df = _carried(df, {"_surname": (F.when(~F.col("_ditto"), F.struct(head.alias("v"))), True)}, volume)
+    df = df.withColumn("surname", F.coalesce(F.col("_surname")["v"], F.lit("")))
     df = df.withColumn("_rest", F.when(F.col("_ditto"), F.col("_f")).otherwise(F.slice("_f", 2, F.greatest(F.size("_f") - 1, F.lit(0)))))
     first = F.coalesce(F.get("_rest", F.lit(0)), F.lit(""))
     institution = (
@@ -137,25 +150,23 @@ def parse_records(lines: DataFrame, dialect: str = "1936", volume: str = "volume
     df = df.withColumn("_inst", institution)
     given = F.when(~F.col("_same"), F.struct(F.when(F.col("_inst"), F.lit("")).otherwise(first).alias("v")))
     tail = F.slice("_rest", 2, F.greatest(F.size("_rest") - 1, F.lit(0)))
-    df = df.withColumns(
-        {
-            "given_names": F.coalesce(_carry(given, w)["v"], F.lit("")),
-            "_loc": F.when(F.col("_same") | F.col("_inst"), F.col("_rest")).otherwise(tail),
-        }
-    )
+    df = df.withColumns({"_given": given, "_loc": F.when(F.col("_same") | F.col("_inst"), F.col("_rest")).otherwise(tail)})
     place = F.coalesce(F.try_element_at("_loc", F.lit(-1)), F.lit(""))
     middle = F.filter(F.slice("_loc", 1, F.greatest(F.size("_loc") - 1, F.lit(0))), lambda x: x != "")
     df = df.withColumns({"_title": F.array_join(middle, ", "), "_place": F.regexp_replace(place, r"\.+$", "") if old else place})
+    # a row of the same person shows the carried title; only other rows' own titles are carried
+    own_title = F.when(~F.col("_same") & (F.col("_title") != ""), F.col("_title"))
+    df = _carried(df, {"_given_c": (F.col("_given"), True), **({} if old else {"_title_c": (own_title, False)})}, volume)
+    df = df.withColumn("given_names", F.coalesce(F.col("_given_c")["v"], F.lit("")))
     if old:
         df = df.withColumn("title", F.col("_title"))
         wife = F.regexp_like(F.regexp_replace("raw", P.DASH_RUN, ""), F.lit(P.WIFE))
     else:
-        own = F.when(~F.col("_same") & (F.col("_title") != ""), F.col("_title"))
-        df = df.withColumn("title", F.when(F.col("_same"), F.coalesce(_carry(own, before), F.lit(""))).otherwise(F.col("_title")))
+        df = df.withColumn("title", F.when(F.col("_same"), F.coalesce("_title_c", F.lit(""))).otherwise(F.col("_title")))
         wife = F.regexp_like(F.concat_ws(" ", F.col("title"), F.array_join("_loc", " ")), F.lit(P.WIFE))
     df = df.withColumn("_wife", wife)
-    settled = _carry(F.when(~F.col("_wife") & (F.col("_place") != ""), F.col("_place")), before)
-    df = df.withColumn("location", F.when(F.col("_wife"), F.coalesce(settled, F.col("_place"))).otherwise(F.col("_place")))
+    df = _carried(df, {"_settled": (F.when(~F.col("_wife") & (F.col("_place") != ""), F.col("_place")), False)}, volume)
+    df = df.withColumn("location", F.when(F.col("_wife"), F.coalesce("_settled", "_place")).otherwise(F.col("_place")))
     out = df.withColumns(
         {
             "is_continuation_surname": F.col("_ditto").cast("int"),
@@ -172,8 +183,12 @@ def parse_records(lines: DataFrame, dialect: str = "1936", volume: str = "volume
 
 
 def with_record_ids(records: DataFrame, prefix: str, volume: str = "volume") -> DataFrame:
-    n = F.row_number().over(Window.partitionBy(volume).orderBy(*ORDER))
-    return records.withColumn("record_id", F.format_string(f"{prefix}_%06d", n))
+    """Running numbers in reading order: the place inside the page after the rows of the pages before."""
+    pages = records.groupBy(volume, "page").agg(F.count(F.lit(1)).alias("_n"))
+    before = F.sum("_n").over(Window.partitionBy(volume).orderBy("page")) - F.col("_n")
+    inside = F.row_number().over(Window.partitionBy(volume, "page").orderBy("region", "line_no"))
+    got = records.withColumn("_k", inside).join(pages.select(volume, "page", before.alias("_before")), [volume, "page"], "left")
+    return got.withColumn("record_id", F.format_string(f"{prefix}_%06d", F.coalesce("_before", F.lit(0)) + F.col("_k"))).drop("_k", "_before")
 
 
 def monotonicity(df: DataFrame, name: str, keys: list, order: list, minimum: float | None = None) -> DataFrame:
