@@ -11,6 +11,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL: dict[str, str] = {}
+_MADE: list[str] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -20,7 +21,25 @@ def shared_dir(spark: SparkSession) -> str:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
         root = "file://" + os.path.join(tempfile.gettempdir(), "folioforge-shared")
-    return f"{root.rstrip('/')}/folioforge-{uuid.uuid4().hex}"
+    _MADE.append(f"{root.rstrip('/')}/folioforge-{uuid.uuid4().hex}")
+    return _MADE[-1]
+
+
+def clear() -> None:
+    """Remove the folders that this driver has made. Results that still read them must have been written before."""
+    import shutil
+
+    while _MADE:
+        uri = _MADE.pop()
+        path = _plain(uri)
+        if path is not None:
+            shutil.rmtree(path, ignore_errors=True)
+            continue
+        from pyarrow import fs
+
+        where, name = fs.FileSystem.from_uri(uri)
+        if where.get_file_info(name).type != fs.FileType.NotFound:
+            where.delete_dir(name)
 
 
 def written(df: DataFrame, folder: str, name: str) -> DataFrame:

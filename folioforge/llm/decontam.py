@@ -20,6 +20,7 @@ is hit; repeated item ids are one item with several texts; repeated rows are jud
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterator
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -203,19 +204,20 @@ MARKS = T.StructType(
 )
 
 
-def shards(bench: DataFrame, id_col: str, text_col: str, shard_words: int) -> list[list[tuple]]:
-    """The items in lists of at most ``shard_words`` words each; one longer item is a list of its own."""
-    out, size = [[]], 0
+def shards(bench: DataFrame, id_col: str, text_col: str, shard_words: int) -> Iterator[list[tuple]]:
+    """The items in lists of at most ``shard_words`` words each (one longer item is a list of its own), one list at a time."""
+    held, size = [], 0
     for row in bench.select(F.col(f"`{id_col}`").alias("i"), F.col(f"`{text_col}`").alias("t")).toLocalIterator():
         if row.t is None or row.i is None:
             continue
         n = len(row.t) // 2 + 1  # words at most
-        if out[-1] and size + n > shard_words:
-            out.append([])
-            size = 0
-        out[-1].append((row.i, row.t))
+        if held and size + n > shard_words:
+            yield held
+            held, size = [], 0
+        held.append((row.i, row.t))
         size += n
-    return [s for s in out if s]
+    if held:
+        yield held
 
 
 def decontaminate(
@@ -240,7 +242,7 @@ def decontaminate(
 
     def marker(shared):
         def make():
-            matcher = shared.value if shared is not None else Matcher([], window)
+            matcher = shared.value
 
             def fn(texts):
                 got = matcher.mark(texts)
@@ -254,19 +256,19 @@ def decontaminate(
 
         return make
 
-    lists = shards(bench, item_col, item_text_col, shard_words)
-    for k, items in enumerate(lists or [None]):
-        shared = None if items is None else sc.broadcast(Matcher(items, window))
-        got = _arrow.map_texts(out, text_col, MARKS, marker(shared), drop_text=False)
-        if k:
-            got = got.withColumns(
-                {
-                    "hit_spans": F.array_union("hit_spans", "spans_before"),
-                    "hit_items": F.array_sort(F.array_union("hit_items", "items_before")),
-                }
-            ).drop("spans_before", "items_before")
-        out = got if k + 1 == len(lists or [None]) else got.withColumnsRenamed({"hit_spans": "spans_before", "hit_items": "items_before"})
-    if len(lists) > 1:  # ranges of several automata may overlap
+    n = 0
+    for items in shards(bench, item_col, item_text_col, shard_words):
+        if n:
+            out = out.withColumnsRenamed({"hit_spans": "spans_before", "hit_items": "items_before"})
+        out = _arrow.map_texts(out, text_col, MARKS, marker(sc.broadcast(Matcher(items, window))), drop_text=False)
+        if n:
+            spans = F.array_union("hit_spans", "spans_before")
+            found = F.array_sort(F.array_union("hit_items", "items_before"))
+            out = out.withColumns({"hit_spans": spans, "hit_items": found}).drop("spans_before", "items_before")
+        n += 1
+    if not n:
+        out = _arrow.map_texts(out, text_col, MARKS, marker(sc.broadcast(Matcher([], window))), drop_text=False)
+    if n > 1:  # ranges of several automata may overlap
         step = F.struct(F.lit(0).alias("n"), F.lit(0).alias("at"))
         total = F.aggregate(
             F.array_sort("hit_spans"),
