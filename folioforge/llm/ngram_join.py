@@ -37,6 +37,8 @@ U64, U32, I64 = np.uint64, np.uint32, np.int64
 SIZE, PERCENT, HOT, FRAGMENTS = 5, 75, 64, 4
 #: members of a bucket that are compared with the rest of it, in rounds after the first; None: every member
 HUBS = (8, None)
+#: members of a bucket that one group of round two and later takes, besides those outside its main component
+SPLIT = 16384
 #: bits of the bitmap by which pairs are ruled out
 BITS = 2048
 FLUSH = 1_200_000
@@ -254,48 +256,29 @@ def _cross_pairs(sets: DataFrame, comp: DataFrame, percent: int, hubs: int | Non
 
     With ``hubs`` only the pairs of that many most central members of each bucket, which is linear in its size.
     """
-    spark = sets.sparkSession
-    n = _exchange.buckets(spark)
+    n = _exchange.buckets(sets.sparkSession)
     labelled = sets.join(comp, sets["cls"] == comp["node"], "left").select(
-        "cls", "n", "shared", "prefix", "bits", F.coalesce("component", "cls").alias("comp")
+        "cls", "n", "shared", "bits", F.coalesce("component", "cls").alias("comp"), F.explode("prefix").alias("h")
     )
-
-    def by_hash(it):
-        for batch in it:
-            if not batch.num_rows:
-                continue
-            about = np.stack([batch.column(k).to_numpy(zero_copy_only=False) for k in ("cls", "n", "shared", "comp")], axis=1).astype(I64)
-            bits = np.frombuffer(b"".join(batch.column("bits").to_pylist()), dtype=np.uint8).reshape(-1, BITS // 8)
-            prefix = batch.column("prefix")
-            lens = np.diff(prefix.offsets.to_numpy())
-            h, who = prefix.flatten().to_numpy().view(U64), np.repeat(np.arange(len(lens)), lens)
-            order = np.argsort(h, kind="stable")
-            h, who = h[order], who[order]
-            places = _exchange.cut(h, n)
-            out = []
-            for b in range(n):
-                if places[b] < places[b + 1]:
-                    own = slice(places[b], places[b + 1])
-                    rows, small = np.unique(who[own], return_inverse=True)
-                    out.append((b, _exchange.encode(_exchange.deltas(h[own]), small.astype(U32), about[rows].ravel(), bits[rows].ravel())))
-            yield _exchange.rows(out)
-
+    # only buckets of two components or more matter; of each, the component with most members
+    sizes = labelled.groupBy("h", "comp").agg(F.count(F.lit(1)).alias("k"))
+    mixed = sizes.groupBy("h").agg(F.sum("k").alias("total"), F.count(F.lit(1)).alias("comps"), F.max(F.struct("k", "comp")).alias("top"))
+    mixed = mixed.where("comps > 1").select(
+        F.col("h").bitwiseXOR(F.lit(0)).alias("hh"), F.ceil(F.col("total") / SPLIT).cast("int").alias("parts"), F.col("top.comp").alias("main")
+    )
+    entry = labelled.join(mixed, F.col("h") == F.col("hh"))
+    # a large bucket is split: members of its main component are dealt out, all others meet each part
+    part = F.when(F.col("comp") == F.col("main"), F.array(F.pmod(F.xxhash64("cls"), F.col("parts")).cast("int"))).otherwise(F.sequence(F.lit(0), F.col("parts") - 1))
+    dealt = entry.select(F.explode(part).alias("part"), "h", "cls", "n", "shared", "comp", "bits")
+    dealt = dealt.select(F.xxhash64("h", "part").alias("h"), "cls", "n", "shared", "comp", "bits").withColumn("bucket", F.pmod(F.xxhash64("h"), F.lit(n)))
     kinds = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
-    def pairs(_, payloads):
-        h, who, about, bits = [], [], [], []
-        shift = 0
-        for p in payloads:
-            x, small, a, raw = _exchange.decode(p)
-            h.append(np.cumsum(x, dtype=U64))
-            who.append(small.astype(I64) + shift)
-            about.append(a.reshape(-1, 4))
-            bits.append(raw.reshape(-1, BITS // 8))
-            shift += len(about[-1])
-        h, who, about = np.concatenate(h), np.concatenate(who), np.concatenate(about)
-        bits = np.ascontiguousarray(np.concatenate(bits)).view(U64)
-        order = np.lexsort((about[who, 1], h))
-        h, who = h[order], who[order]
+    def pairs(table):
+        h = table.column("h").to_numpy()
+        about = np.stack([table.column(k).to_numpy() for k in ("cls", "n", "shared", "comp")], axis=1).astype(I64)
+        bits = np.frombuffer(b"".join(table.column("bits").to_pylist()), dtype=np.uint8).reshape(-1, BITS // 8).view(U64)
+        who = np.lexsort((about[:, 1], h))
+        h = h[who]
         at = np.append(_exchange.firsts(h), len(h))
         found = []
         for lo, hi in zip(at[:-1].tolist(), at[1:].tolist(), strict=True):
@@ -326,7 +309,7 @@ def _cross_pairs(sets: DataFrame, comp: DataFrame, percent: int, hubs: int | Non
         got = np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 2), dtype=I64)
         return pa.table({"a": got[:, 0], "b": got[:, 1]}, schema=kinds)
 
-    return _exchange.gather(_exchange.emit(labelled, by_hash), "a long, b long", pairs).distinct()
+    return dealt.groupBy("bucket").applyInArrow(pairs, "a long, b long").distinct()
 
 
 def class_components(docs: DataFrame, text_col: str = "text", size: int = SIZE, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
