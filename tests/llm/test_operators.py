@@ -231,6 +231,7 @@ def test_ngram_join(spark):
 def test_ngram_join_hot_passages(spark, hot, monkeypatch):
     """One group of near copies, and a passage in every document; chains of links."""
     monkeypatch.setattr(ngram_join, "HOT", hot)
+    monkeypatch.setattr(ngram_join, "SPLIT", 4 * hot)
     passage = [f"p{k}" for k in range(40)]
     data = [(k, " ".join(passage + [f"d{k}x{j}" for j in range(k % 60)]), "", "") for k in range(150)]
     base = [f"b{k}" for k in range(100)]
