@@ -19,7 +19,8 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     """Link each node's neighbours (the larger ones, or the smaller ones) to the least of it and its neighbours."""
     if large:
         arcs = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = arcs.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("n"), F.least("a", "m").alias("m"))
+        # not the grouping column itself: the join gets exchanges of its own, so a node of very many links can be split
+        least = arcs.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").bitwiseXOR(F.lit(0)).alias("n"), F.least("a", "m").alias("m"))
         out = arcs.where("b > a").join(least, F.col("a") == F.col("n")).select(F.col("m").alias("a"), "b")
     else:  # of every node, the smaller neighbours: edges hold (smaller, larger)
         least = edges.groupBy("b").agg(F.min("a").alias("m")).withColumnRenamed("b", "n")
@@ -30,7 +31,7 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
 
 
 def components(links: DataFrame, folder: str) -> DataFrame:
-    """(node, component): the least node that is reachable, for every node in ``links`` (a, b)."""
+    """(node, component): the least node that is reachable, for every node in ``links`` (a, b: numbers)."""
     edges = links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a < b").distinct()
     edges = _store.written(edges, folder, "edges-0")
     before = None
