@@ -256,7 +256,7 @@ def _cross_pairs(sets: DataFrame, comp: DataFrame, percent: int, hubs: int | Non
 
     With ``hubs`` only the pairs of that many most central members of each bucket, which is linear in its size.
     """
-    n = _exchange.buckets(sets.sparkSession)
+    n = 8 * _exchange.buckets(sets.sparkSession)  # many small groups deal out more evenly
     labelled = sets.join(comp, sets["cls"] == comp["node"], "left").select(
         "cls", "n", "shared", "bits", F.coalesce("component", "cls").alias("comp"), F.explode("prefix").alias("h")
     )
@@ -324,6 +324,8 @@ def class_components(docs: DataFrame, text_col: str = "text", size: int = SIZE,
     comp = components(links, f"{folder}/links-1-components")
     for k, hubs in enumerate(HUBS, 2):
         pairs = _store.written(_cross_pairs(sets, comp, percent, hubs), folder, f"pairs-{k}")
+        if pairs.isEmpty():
+            continue  # no link can be missing in this round
         links = _store.written(_overlaps(pairs, sets, percent).unionByName(links), folder, f"links-{k}")
         comp = components(links, f"{folder}/links-{k}-components")
     return comp, links
