@@ -6,7 +6,8 @@ with follow-the-regularised-leader (per-coordinate rates, elastic net), then one
 fitted on rows kept back, so that scores are calibrated probabilities.
 
 The model is fitted on the driver from a bounded sample: at most about ``per_language`` labelled rows of each
-language, drawn by a hash of the id, whole texts. The prediction reads every row and is linear in the n-grams'
+language, drawn by a hash of the id, whole texts, each language within its own share of the characters. All languages
+that have learnable rows are in the model. The prediction reads every row and is linear in the n-grams'
 occurrences, so it is one table lookup for each n-gram; the table has ``1 << bits`` rows and a column for each
 language, which bounds what is sent to the workers.
 
@@ -18,6 +19,7 @@ empty table gives an empty table; repeated rows are predicted each; extra column
 from __future__ import annotations
 
 import math
+from collections import Counter, defaultdict
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -176,24 +178,55 @@ def sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str, per_langu
     """A bounded sample of labelled rows: (text, language, kept back).
 
     The share drawn of each language follows from its count; the hash of the id decides, so the draw is
-    the same however the table is partitioned. ``max_chars`` bounds the driver's memory: rows beyond it are
-    left out of the fit (never of the prediction).
+    the same however the table is partitioned. ``max_chars`` bounds the driver's memory: each language has an equal
+    share of it, what some do not need being shared by the others, and takes its rows in the order of the hash; rows
+    that do not fit into the share are left out of the fit (never of the prediction). A language of which no
+    row fits takes its shortest.
     """
     u = F.pmod(F.xxhash64(F.lit(11), F.col(f"`{id_col}`")), F.lit(1 << 30))
     rows = docs.where(learnable(id_col) & F.col(f"`{text_col}`").isNotNull() & F.col(f"`{lang_col}`").isNotNull())
     rows = rows.select(F.col(f"`{text_col}`").alias("t"), F.col(f"`{lang_col}`").alias("l"), u.alias("u"))
-    counts = {r["l"]: r["n"] for r in rows.groupBy("l").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "l").limit(256).collect()}
-    limit = F.lit(-1)
-    for lang, n in counts.items():
-        limit = F.when(F.col("l") == lang, F.lit(int((1 << 30) * min(1.0, per_language / n)))).otherwise(limit)
-    got, size = [], 0
-    for r in rows.where(F.col("u") < limit).toLocalIterator():
-        if size + len(r["t"]) <= max_chars:
+    counts = rows.groupBy("l").agg(F.count(F.lit(1)).alias("n")).collect()
+    if not counts:
+        return []
+    limits = [(r["l"], int((1 << 30) * min(1.0, per_language / r["n"]))) for r in counts]
+    limits = F.broadcast(docs.sparkSession.createDataFrame(limits, "l string, below long"))
+    drawn = rows.join(limits, "l").where("u < below").select("t", "l", "u", F.char_length("t").alias("size"), F.xxhash64("t").alias("h"))
+    sizes = [tuple(r) for r in drawn.select("l", "u", "h", "size").collect()]
+    if sum(r[3] for r in sizes) > max_chars:
+        fits = within(sizes, max_chars)
+        schema = "l string, u long, h long, size int, copies long"
+        drawn = drawn.join(F.broadcast(docs.sparkSession.createDataFrame([(*r, n) for r, n in fits.items()], schema)), ["l", "u", "h", "size"])
+    else:
+        fits = Counter(sizes)
+    got = []
+    for r in drawn.toLocalIterator():
+        key = (r["l"], r["u"], r["h"], r["size"])
+        if fits[key] > 0:  # of equal rows as many as fit
+            fits[key] -= 1
             got.append((r["u"], r["l"], r["t"]))
-            size += len(r["t"])
     return [(t, lang, u % 5 == 0) for u, lang, t in sorted(got)]
 
 
+def within(sizes: list[tuple], max_chars: int) -> Counter:
+    """How many rows of each (language, hash of the id, hash of the text, characters) fit into the languages' shares."""
+    by, out, rest = defaultdict(list), Counter(), max_chars
+    for row in sizes:
+        by[row[0]].append(row)
+    need = sorted((sum(r[3] for r in rows), lang) for lang, rows in by.items())
+    for k, (total, lang) in enumerate(need):
+        share = min(total, rest // (len(need) - k))
+        left = share
+        for row in sorted(by[lang]):
+            if row[3] <= left:
+                out[row] += 1
+                left -= row[3]
+        if left == share and total > share:
+            out[min(by[lang], key=lambda r: (r[3], r))] += 1
+        rest -= share
+    return out
+
+
 PREDICTION = T.StructType([T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
 
 

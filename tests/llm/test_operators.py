@@ -156,6 +156,20 @@ def test_language_id_without_labels(spark):
     assert got[0]["lang_pred"] == "und" and got[0]["score"] == 0
 
 
+def test_language_sample_has_all_languages(spark):
+    """Tables ordered by language, huge texts and many languages: every language is in the fit, however rows are partitioned."""
+    data = [(k, f"{lang} wort " * (3000 if k % 100 == 0 else 20), lang, "s") for j, lang in enumerate(["aa", "bb", "cc", "dd", "ee"]) for k in range(j * 100, j * 100 + 100)]
+    got = [sorted(language_id.sample(cases.table(spark, rows).repartition(n) if n else cases.table(spark, rows).coalesce(1), "doc_id", "text", "lang", max_chars=10_000)) for n, rows in ((0, data), (7, data[::-1]))]
+    assert got[0] == got[1]
+    n = collections.Counter(lang for _, lang, _ in got[0])
+    assert sorted(n) == ["aa", "bb", "cc", "dd", "ee"] and min(n.values()) >= 10
+    assert sum(len(t) for t, _, _ in got[0]) <= 10_000
+    huge = [(k, "x" * 900 if k < 20 else "short", "big" if k < 20 else "small", "s") for k in range(40)]
+    assert {lang for _, lang, _ in language_id.sample(cases.table(spark, huge), "doc_id", "text", "lang", max_chars=1000)} == {"big", "small"}
+    many = [(k, "text", f"l{k % 300}", "s") for k in range(3000)]
+    assert len({lang for _, lang, _ in language_id.sample(cases.table(spark, many), "doc_id", "text", "lang")}) == 300
+
+
 def test_decontamination(spark):
     bench = [(1, "one two three four five six seven eight nine ten eleven twelve thirteen fourteen"), (2, "short item"), (3, None), (4, "!!"),
              (5, " ".join(f"w{k % 7}" for k in range(30))), (10, "five six seven eight nine ten eleven twelve thirteen fourteen one two three")]
