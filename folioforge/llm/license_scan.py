@@ -15,6 +15,8 @@ scanned each; extra columns stay.
 
 from __future__ import annotations
 
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -31,6 +33,15 @@ SPELLINGS = (
     ("while", "whilst"), ("wilful", "willful"), ("http:", "https:"), ("(c)", "©"), ("&", " and "),
 )
 COPYRIGHT = r"(?m)^[^a-z0-9\n]*(copyright|©)[^\n]*$|(?m)^[^a-z0-9\n]*all rights reserved[^a-z0-9\n]*$"
+# The rule of the scan: as COPYRIGHT (which the SQL has), but body text whose line begins with the word, or with (c) and no year, stays.
+BODY_WORDS = (
+    "also|and|are|assignment|claims?|disclaimers?|doctrines?|for|holders?|holdership|if|in|infringement|interests?|is|law|laws|licenses?|like|lines?|material|notices?|of|on|or|"
+    "owners?|ownership|patents?|permissions?|protection|resulting|rights?|statements?|status|statutes?|that|the(?= *(?:$|software|library))|those|to|trademarks?|treaty|treatment|which|with"
+)
+NOTICE_LINE = (
+    r"(?m)^[^a-z0-9\n]*(?:©[^a-z0-9\n]*(?:copyright[^a-z0-9\n]*)?(?:[12][0-9]{3}|19[xy]{2}|yyyy|year)|copyright(?![a-z.;])(?![^a-z0-9©\n]*(?:" + BODY_WORDS + r")(?![a-z]))(?=[^\n]*[a-z0-9©]))[^\n]*$"
+    r"|(?m)^[^a-z0-9\n]*all rights reserved[^a-z0-9\n]*$"
+)
 MARKS = r"""[\x00-\x09\x0b-\x2f\x3a-\x60\x7b-\x7f“”‘’–—…©®™ ]+"""
 
 # Short licence texts and notices. Names and phrases below are combined by rule.
@@ -70,12 +81,58 @@ def registry() -> list[tuple[str, str]]:
     return out
 
 
+FOLDER = Path(__file__).parent / "licenses"
+TITLES = {
+    "MIT": ("", "The MIT License", "The MIT License (MIT)", "MIT License (MIT)"),
+    "ISC": ("ISC License", "The ISC License", "ISC License (ISC)"),
+    "0BSD": ("BSD Zero Clause License", "Zero-Clause BSD", "BSD 0-Clause License"),
+    "Zlib": ("zlib License", "The zlib License"),
+    "BSD-2-Clause": ("", "BSD 2-Clause License", "The BSD 2-Clause License", "Simplified BSD License", "BSD License"),
+    "BSD-3-Clause": ("", "BSD 3-Clause License", "The BSD 3-Clause License", "New BSD License", "BSD License"),
+}
+_CONDITIONS = (
+    "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.",
+    "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.",
+    "Neither the name of {name} nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.",
+)
+_BSD_NAMES = ("the copyright holder", "the copyright holders", "the author", "the University", "the organization", "the project")
+_BSD_LIABLE = (
+    ("copyright holders", "copyright holder"), ("copyright holders", "copyright holders"), ("regents", "regents"), ("author", "author"), ("authors", "authors"),
+)
+
+
+def _bsd(clauses: int, name: str, by: str, liable: str, numbered: bool) -> str:
+    conditions = [f"{k}. {c}" if numbered else c for k, c in enumerate(_CONDITIONS[:clauses], 1)]
+    return "\n".join((
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:",
+        *conditions,
+        f'THIS SOFTWARE IS PROVIDED BY THE {by} AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. '
+        f"IN NO EVENT SHALL THE {liable} OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.",
+    )).format(name=name)
+
+
+def entire_texts() -> list[tuple[str, str]]:
+    """(license_id, text) of entire licences besides the registry's: titles and usual variants, and the texts of ``FOLDER``."""
+    bodies = [("MIT", TEXTS["MIT"].removeprefix("MIT License\n"))] + [(k, TEXTS[k]) for k in ("ISC", "0BSD", "Zlib")]
+    bodies += [
+        (f"BSD-{clauses}-Clause", _bsd(clauses, name, *pair, numbered))
+        for clauses, names in ((2, ("",)), (3, _BSD_NAMES)) for name in names for pair in _BSD_LIABLE for numbered in (True, False)
+    ]
+    out = [(key, f"{title}\n{body}") for key, body in bodies for title in TITLES[key]]
+    for path in sorted(FOLDER.glob("*.txt")):
+        text = path.read_text(encoding="utf-8")
+        terms, end, _ = text.partition("END OF TERMS AND CONDITIONS")
+        # with and without the advice on how to apply the terms, and the line that ends them
+        out += [(path.stem, t) for t in dict.fromkeys((text, terms + end, terms))]
+    return out
+
+
 def normalise(text: Column) -> Column:
     """Canonical form; lines stay apart."""
     out = F.translate(text, UPPER, LOWER)
     for a, b in SPELLINGS:
         out = F.replace(out, F.lit(a), F.lit(b))
-    out = F.regexp_replace(out, COPYRIGHT, "")
+    out = F.regexp_replace(out, NOTICE_LINE, "")
     return F.regexp_replace(out, MARKS, " ")
 
 
@@ -84,7 +141,7 @@ def _whole(norm: Column) -> Column:
 
 
 def known_digests(spark, known: DataFrame | None = None) -> DataFrame:
-    rows = spark.createDataFrame(registry(), "license_id string, text string")
+    rows = spark.createDataFrame(registry() + entire_texts(), "license_id string, text string")
     if known is not None:
         rows = rows.unionByName(known.select("license_id", "text"))
     canon = rows.select("license_id", _whole(normalise(F.col("text"))).alias("canon")).where("canon <> ''")

@@ -1,5 +1,6 @@
 import collections
 import hashlib
+import os
 import re
 import zlib
 
@@ -83,6 +84,29 @@ def test_license_scan(spark):
     assert mine[50][0] == "MIT" and mine[11][0] == "MIT" and mine[10] == (None, 1, "MIT")
 
 
+def test_entire_licenses(spark):
+    """Whole texts under usual titles, with notices, and with lines that begin with 'copyright' wherever they are wrapped."""
+    mit = license_scan.TEXTS["MIT"][12:]
+    broken = lambda t: re.sub(r"(?i) (?=copyright(?! *(?:\(c\)|©|\[|owner\])))", "\n", t)
+    data = [("MIT", f"{title}\n\nCopyright (c) 2020 Someone\n\n{body}") for title in ("The MIT License (MIT)", "The MIT License", "") for body in (mit, broken(mit))]
+    data += [("MIT", "MIT License\n" + notice + "\n" + mit) for notice in ("Copyright Someone Ltd.", "Copyright 2020 The Authors", "© 1999 Me", "Copyright (c) Rights Inc")]
+    root = os.path.dirname(license_scan.__file__)
+    for name in sorted(os.listdir(os.path.join(root, "licenses"))):
+        with open(os.path.join(root, "licenses", name), encoding="utf-8") as f:
+            text = f.read()
+        data += [(name[:-4], " " + text), (name[:-4], broken(text)), (name[:-4], text.replace("\n", "\r\n"))]
+        if "END OF TERMS AND CONDITIONS" in text:
+            data.append((name[:-4], text.split("END OF TERMS AND CONDITIONS")[0]))
+    bsd = license_scan._bsd(3, "the copyright holder", "COPYRIGHT HOLDERS", "COPYRIGHT HOLDER", True)
+    data += [("BSD-3-Clause", "BSD 3-Clause License\n\nCopyright (c) 2020, Someone\nAll rights reserved.\n\n" + bsd), ("BSD-2-Clause", re.sub(r"\n3\. .*", "", bsd)), (None, bsd + " And more.")]
+    if os.path.exists("/usr/share/common-licenses/BSD"):
+        with open("/usr/share/common-licenses/BSD") as f:
+            data.append(("BSD-3-Clause", f.read()))
+    got = license_scan.license_scan(cases.table(spark, [(k, t, "en", "s") for k, (_, t) in enumerate(data)])).collect()
+    found = {r["doc_id"]: r["license_id"] for r in got}
+    assert [(k, key, found[k]) for k, (key, _) in enumerate(data) if found[k] != key] == []
+
+
 def base_secrets(text):
     text = text or ""
     out = []
