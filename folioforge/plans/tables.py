@@ -265,7 +265,7 @@ def page_assembly(spark, sf):
 
 
 def word_chunks(spark, sf):
-    docs = table(spark, sf, "documents").select("doc_id", F.substring("text", 1, 400).alias("t"))
+    docs = table(spark, sf, "documents").select("doc_id", F.col("text").alias("t"))
     return docs.select("doc_id", F.explode(X.byte_chunks(F.col("t"))).alias("c")).groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"), F.max(F.octet_length("c")).alias("most"))
 
 

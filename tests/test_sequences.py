@@ -9,7 +9,9 @@ import statistics
 import unicodedata
 
 import pytest
-from folioforge.plans import documents, sequences
+from folioforge.functions import patterns
+from folioforge.operators import models
+from folioforge.plans import documents, sequences, tables
 
 from . import oracle
 
@@ -64,6 +66,41 @@ def test_alignments_keep_all_lines(spark, name):
     assert {p: n for p, (n, _) in got.items()} == {p: n for p, n in lines.items() if n} and all(s <= n for n, s in got.values())
 
 
+def small_documents(spark, folder):
+    """Long texts, more than two lines, other letters, long words late."""
+    texts = ["\n".join(f"the line {k} of 1936" for k in range(9)), "ö日 " * 300 + "x" * 5000 + " end", "", "one", "word " * 2000]
+    spark.createDataFrame([(k, t, "en", "s") for k, t in enumerate(texts)], "doc_id long, text string, lang string, source string").coalesce(1).write.parquet(f"{folder}/documents.parquet")
+    return texts
+
+
+def test_corrected_lines_takes_all_lines(spark, tmp_path):
+    texts = small_documents(spark, tmp_path)
+    got = sequences.corrected_lines(spark, str(tmp_path)).collect()
+    generate = lambda t: t.replace("th", "dh").translate({48 + d: 57 - d for d in range(10)})
+    expect = {}
+    for k, t in enumerate(texts):
+        for n, line in enumerate(x.strip() for x in t.split("\n") if x.strip()):
+            expect[k, n] = hashlib.md5(models.correct_line(line, generate).encode()).hexdigest()
+    assert sorted(((r["page"], r["line_no"]), r["corrected"]) for r in got) == sorted(expect.items())
+
+
+def test_word_chunks_takes_whole_texts(spark, tmp_path):
+    texts = small_documents(spark, tmp_path)
+    expect = {}
+    for k, t in enumerate(texts):
+        chunks, size = [], 0
+        for w in t.split():
+            n = len(w.encode()) + 1
+            if chunks and size + n <= patterns.CHUNK_BYTES:
+                chunks[-1] += " " + w
+                size += n
+            else:
+                chunks.append(w)
+                size = n
+        expect[k] = (max(len(chunks), 1), max((len(c.encode()) for c in chunks), default=0))  # an empty text is one empty chunk
+    assert {r["doc_id"]: (r["n"], r["most"]) for r in tables.word_chunks(spark, str(tmp_path)).collect()} == expect
+
+
 def test_others_run(spark):
     assert len(run(spark, "corrected_lines")) > 100
     assert {r["gutter_conf"] for r in run(spark, "image_splits")} == {"ok"}
