@@ -12,7 +12,7 @@ partition sizes are set for any other shuffle.
 from __future__ import annotations
 
 import struct
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -83,13 +83,52 @@ def emit(df: DataFrame, run: Callable) -> DataFrame:
     return df.mapInArrow(run, BLOCK)
 
 
-def gather(blocks: DataFrame, schema: T.StructType | str, reduce: Callable) -> DataFrame:
-    """``reduce(bucket, payloads)`` for every bucket; it gives an Arrow table of ``schema``."""
+def seal(parts: list[bytes]) -> bytes:
+    """The payloads of a bucket's sub-buckets, in order, as one payload; an empty one is b""."""
+    return struct.pack(f"<I{len(parts)}Q", len(parts), *map(len, parts)) + b"".join(parts)
+
+
+def unseal(payloads: list[bytes], k: int, skip: int = 0) -> Iterator[list[np.ndarray]]:
+    """The arrays of sub-bucket ``k``, payload by payload. ``skip``: bytes before the sealed part.
+
+    A reducer that goes through its sub-buckets one by one holds its payloads in compressed form and one
+    sub-bucket's arrays.
+    """
+    for p in payloads:
+        n = struct.unpack_from("<I", p, skip)[0]
+        sizes = struct.unpack_from(f"<{n}Q", p, skip + 4)
+        if sizes[k]:
+            at = skip + 4 + 8 * n + sum(sizes[:k])
+            yield decode(memoryview(p)[at : at + sizes[k]])
 
-    def run(table: pa.Table) -> pa.Table:
-        return reduce(table.column("bucket")[0].as_py(), table.column("payload").to_pylist())
 
-    return blocks.groupBy("bucket").applyInArrow(run, schema)
+def release() -> None:
+    """Give freed memory back to the system: Python workers live on from group to group and from stage to stage."""
+    import ctypes
+
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def gather(blocks: DataFrame, schema: T.StructType | str, reduce: Callable) -> DataFrame:
+    """``reduce(bucket, payloads)`` for every bucket; it gives an Arrow table of ``schema``, or one after another."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bucket, payloads = 0, []
+        for b in batches:
+            if b.num_rows:
+                bucket = b.column(0)[0].as_py()
+                payloads += b.column(1).to_pylist()
+        got = reduce(bucket, payloads)
+        del payloads
+        for table in [got] if isinstance(got, pa.Table) else got:
+            yield from table.to_batches()
+        del got
+        release()
+
+    return blocks.select("bucket", "payload").groupBy("bucket").applyInArrow(run, schema)
 
 
 def in_batches(it, key: str = "doc_id", text: str = "text", limit: int = 4 << 20):

@@ -10,6 +10,9 @@
    document in which it starts. An anchor with one context needs no sorting: all its windows are equal.
 4. Occurrences meet the results of their context; the byte ranges they lose meet the texts, which are cut.
 
+Memory: a bucket is cut into sub-buckets of about ``SUB_SIZE`` contexts, as many as the counts of step 1 ask for, and a reduce
+task decodes one of them at a time; what it holds of the others is compressed.
+
 Skew: anchors of ``HOT_DOCS`` documents or more are not gathered: each of their windows is a context of its own,
 dealt by its content. Contexts that one task sees often are spread over several buckets of step 4.
 
@@ -36,6 +39,8 @@ HOT_DOCS, WIDE, SALTS = 4096, 64, 16
 FLUSH_ANCHORS, FLUSH_BYTES, FLUSH_TEXT = 1_000_000, 5 << 20, 8 << 20
 BATCH = 1 << 20
 SA_SYMBOLS = 60_000
+#: contexts of a sub-bucket, about; and the sub-buckets of a bucket of anchors while they are counted
+SUB_SIZE, COUNT_SUBS = 120_000, 4
 PLACE_BITS = 26
 #: bits of an anchor's hash by which it is counted; a clash only makes an anchor a candidate that it need not be
 COUNT_BITS = 48
@@ -98,8 +103,8 @@ def stretches(buf: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, ...]:
 class Shared:
     """Sorted hashes of the anchors that several documents have, and which are hot, in files."""
 
-    def __init__(self, folder: str, sizes: list[int]):
-        self.folder, self.sizes, self._maps = folder, sizes, {}
+    def __init__(self, folder: str, sizes: list[int], subs: int = 1):
+        self.folder, self.sizes, self.subs, self._maps = folder, sizes, subs, {}
 
     def __getstate__(self):
         return self.__dict__ | {"_maps": {}}
@@ -138,11 +143,9 @@ def shared_anchors(src: DataFrame, hot_docs: int = HOT_DOCS) -> Shared:
 
         def flush():
             h, c = _sum_sorted(np.concatenate([x for x, _ in held]), np.concatenate([x for _, x in held]))
-            at = _exchange.cut(h << U64(64 - COUNT_BITS), n)
-            for b in range(n):
-                if at[b] < at[b + 1]:
-                    own = slice(at[b], at[b + 1])
-                    yield _exchange.rows([(b, _exchange.encode(_exchange.deltas(h[own]), np.minimum(c[own], 65535).astype(np.uint16)))])
+            c = np.minimum(c, 65535).astype(np.uint16)
+            at = _exchange.cut(h << U64(64 - COUNT_BITS), n * COUNT_SUBS)
+            yield from _sealed(at, n, COUNT_SUBS, lambda own: (_exchange.deltas(h[own]), c[own]))
 
         for _, texts in _exchange.in_batches(it, limit=BATCH):
             buf, starts = _words.pack(texts, lower=False)
@@ -162,20 +165,34 @@ def shared_anchors(src: DataFrame, hot_docs: int = HOT_DOCS) -> Shared:
         if held:
             yield from flush()
 
-    kinds = pa.schema([("bucket", pa.int32()), ("size", pa.int64())])
+    kinds = pa.schema([("bucket", pa.int32()), ("size", pa.int64()), ("contexts", pa.int64()), ("spread", pa.int64())])
 
     def write(bucket, payloads):
-        parts = [_exchange.decode(p) for p in payloads]
-        h, c = _sum_sorted(np.concatenate([np.cumsum(p[0], dtype=U64) for p in parts]), np.concatenate([p[1].astype(I64) for p in parts]))
-        h, c = h[c > 1] << U64(64 - COUNT_BITS), c[c > 1]
+        found = []
+        for k in range(COUNT_SUBS):
+            parts = list(_exchange.unseal(payloads, k))
+            if parts:
+                h, c = _sum_sorted(np.concatenate([np.cumsum(p[0], dtype=U64) for p in parts]), np.concatenate([p[1].astype(I64) for p in parts]))
+                found.append((h[c > 1] << U64(64 - COUNT_BITS), c[c > 1]))
+        h, c = (np.concatenate([f[j] for f in found]) for j in range(2))
+        hot = c >= hot_docs
         _store.put(f"{folder}/anchor-{bucket}", h)
-        _store.put(f"{folder}/hot-{bucket}", (c >= hot_docs).astype(np.uint8))
-        return pa.table({"bucket": [bucket], "size": [len(h)]}, schema=kinds)
+        _store.put(f"{folder}/hot-{bucket}", hot.astype(np.uint8))
+        spread = int(c[hot].sum()) * (LENGTH - K + 1)
+        return pa.table({"bucket": [bucket], "size": [len(h)], "contexts": [int(c[~hot].sum())], "spread": [spread]}, schema=kinds)
 
-    sizes = [0] * n
-    for r in _exchange.gather(_exchange.emit(src, count), "bucket int, size long", write).collect():
+    sizes, most, spread = [0] * n, 0, 0
+    for r in _exchange.gather(_exchange.emit(src, count), "bucket int, size long, contexts long, spread long", write).collect():
         sizes[r["bucket"]] = r["size"]
-    return Shared(folder, sizes)
+        most, spread = max(most, r["contexts"]), spread + r["spread"]
+    return Shared(folder, sizes, -(-(most + spread // n) // SUB_SIZE) or 1)
+
+
+def _sealed(at, n: int, subs: int, arrays):
+    """Rows of the buckets, of values whose sub-bucket f of all n * subs starts at ``at[f]``; ``arrays(slice)`` is what is sent of it."""
+    for b in np.unique(np.flatnonzero(np.diff(at)) // subs).tolist():
+        spans = [slice(at[f], at[f + 1]) for f in range(b * subs, (b + 1) * subs)]
+        yield _exchange.rows([(b, _exchange.seal([_exchange.encode(*arrays(x)) if x.start < x.stop else b"" for x in spans]))])
 
 
 def _slices(start: np.ndarray, length: np.ndarray) -> np.ndarray:
@@ -205,7 +222,7 @@ def hash_bytes(t) -> int:
 
 def _contexts(src: DataFrame, shared: Shared) -> DataFrame:
     """Blocks: contexts for buckets 0 to n - 1, occurrences for n to 2 n - 1."""
-    n = len(shared.sizes)
+    n, m = len(shared.sizes), shared.subs
     broadcast = src.sparkSession.sparkContext.broadcast(shared)
 
     def run(it):
@@ -222,31 +239,35 @@ def _contexts(src: DataFrame, shared: Shared) -> DataFrame:
             wide = runs >= WIDE
             one = order[heads]
             offset = np.cumsum(length - K) - (length - K)
-            to = _exchange.bucket_of(np.where(hot[one], key[one], anchor[one]), n).astype(I64)
+            to = _exchange.bucket_of(np.where(hot[one], key[one], anchor[one]), n * m).astype(I64)
             by = np.argsort(to, kind="stable")
-            places = np.searchsorted(to[by], np.arange(n + 1))
-            for b in range(n):
-                own = by[places[b] : places[b + 1]]
-                if len(own):
-                    c = one[own]
-                    payload = _exchange.encode(
-                        anchor[c], _exchange.deltas(key[c]), least[own], most[own] - least[own], left[c].astype(np.uint8),
-                        length[c].astype(np.uint8), wide[own].astype(np.uint8), raw[_slices(offset[c], length[c] - K)],
-                    )
-                    yield _exchange.rows([(b, b"c" + payload)])
+            places = np.searchsorted(to[by], np.arange(n * m + 1))
+
+            def contexts(own):
+                own = by[own]
+                c = one[own]
+                return (
+                    anchor[c], _exchange.deltas(key[c]), least[own], most[own] - least[own], left[c].astype(np.uint8),
+                    length[c].astype(np.uint8), wide[own].astype(np.uint8), raw[_slices(offset[c], length[c] - K)],
+                )
+
+            yield from _sealed(places, n, m, contexts)
             # occurrences, those of wide contexts by document over several buckets
             spread = np.repeat(wide, runs)
             salt = np.where(spread, row[order] % U64(min(n, SALTS)), U64(0))
-            to = _salted(key[order], salt, n)
-            by = order[np.argsort(to, kind="stable")]
-            places = np.searchsorted(np.sort(to, kind="stable"), np.arange(n + 1))
-            for b in range(n):
-                own = by[places[b] : places[b + 1]]
-                if len(own):
-                    rows, small = np.unique(row[own], return_inverse=True)
-                    ids = np.zeros(len(rows), dtype=I64)
-                    ids[small] = id_[own]
-                    yield _exchange.rows([(n + b, b"o" + _exchange.encode(_exchange.deltas(key[own]), small.astype(U32), lo[own].astype(U32), rows, ids))])
+            to = _salted(key[order], salt, n, m)
+            by_key = order[np.argsort(to, kind="stable")]
+            places = np.searchsorted(np.sort(to, kind="stable"), np.arange(n * m + 1))
+
+            def occurrences(own):
+                own = by_key[own]
+                rows, small = np.unique(row[own], return_inverse=True)
+                ids = np.zeros(len(rows), dtype=I64)
+                ids[small] = id_[own]
+                return _exchange.deltas(key[own]), small.astype(U32), lo[own].astype(U32), rows, ids
+
+            for batch in _sealed(places, n, m, occurrences):
+                yield _exchange.rows([(n + batch.column(0)[0].as_py(), b"o" + batch.column(1)[0].as_py())])
 
         for ids, texts in _exchange.in_batches(it, limit=BATCH):
             buf, starts = _words.pack(texts, lower=False)
@@ -275,8 +296,9 @@ def _contexts(src: DataFrame, shared: Shared) -> DataFrame:
     return _exchange.emit(src, run)
 
 
-def _salted(key: np.ndarray, salt, n: int) -> np.ndarray:
-    return ((_exchange.bucket_of(key, n) + salt * U64(max(n // SALTS, 1))) % U64(n)).astype(I64)
+def _salted(key: np.ndarray, salt, n: int, m: int) -> np.ndarray:
+    """Sub-buckets of keys, moved by the salt to other buckets."""
+    return ((_exchange.bucket_of(key, n * m) + salt * U64(max(n // SALTS, 1) * m)) % U64(n * m)).astype(I64)
 
 
 def least_starts(contexts: list[tuple[int, int, bytes, int]]) -> list[np.ndarray]:
@@ -313,12 +335,12 @@ def least_starts(contexts: list[tuple[int, int, bytes, int]]) -> list[np.ndarray
     return [out[b : b + c] for b, c in zip(base, count, strict=True)]
 
 
-def _solve(payloads: list[bytes]) -> tuple[np.ndarray, ...]:
-    """Results of the contexts of one bucket: key, first and last window, least document, whether wide."""
-    parts = [_exchange.decode(p) for p in payloads]
+def _solve(parts: list[list[np.ndarray]]) -> tuple[np.ndarray, ...]:
+    """Results of the contexts of one sub-bucket: key, first and last window, least document, whether wide."""
     anchor, least, most, left, length, wide = (np.concatenate([p[k] for p in parts]) for k in (0, 2, 3, 4, 5, 6))
     key = np.concatenate([np.cumsum(p[1], dtype=U64) for p in parts])
     raw = np.concatenate([p[7] for p in parts])
+    parts.clear()
     most += least
     length = length.astype(I64)
     offset = np.cumsum(length - K) - (length - K)
@@ -361,23 +383,24 @@ def _solve(payloads: list[bytes]) -> tuple[np.ndarray, ...]:
     return key[which], first, last, value, wide[which] > 0
 
 
-def _results(blocks: DataFrame, n: int) -> DataFrame:
+def _results(blocks: DataFrame, n: int, m: int) -> DataFrame:
     def run(bucket, payloads):
         if bucket >= n:
             return _table([(bucket, p) for p in payloads])
-        key, first, last, value, wide = _solve([p[1:] for p in payloads])
+        solved = [_solve(parts) for k in range(m) if (parts := list(_exchange.unseal(payloads, k)))]
+        key, first, last, value, wide = (np.concatenate([r[j] for r in solved]) for j in range(5))
         salts = min(n, SALTS)
         which = np.concatenate([np.arange(len(key)), *(np.flatnonzero(wide) for _ in range(1, salts))])
         salt = np.concatenate([np.zeros(len(key), dtype=U64), *(np.full(int(wide.sum()), s, dtype=U64) for s in range(1, salts))])
-        to = _salted(key[which], salt, n)
+        to = _salted(key[which], salt, n, m)
         by = np.argsort(to, kind="stable")
-        places = np.searchsorted(to[by], np.arange(n + 1))
-        out = []
-        for b in range(n):
-            own = which[by[places[b] : places[b + 1]]]
-            if len(own):
-                out.append((n + b, b"r" + _exchange.encode(key[own], first[own].astype(np.uint8), last[own].astype(np.uint8), value[own])))
-        return _table(out)
+        which, places = which[by], np.searchsorted(to[by], np.arange(n * m + 1))
+
+        def found(own):
+            own = which[own]
+            return key[own], first[own].astype(np.uint8), last[own].astype(np.uint8), value[own]
+
+        return _table([(n + r.column(0)[0].as_py(), b"r" + r.column(1)[0].as_py()) for r in _sealed(places, n, m, found)])
 
     return _exchange.gather(blocks, _exchange.BLOCK, run)
 
@@ -386,46 +409,42 @@ def _table(pairs) -> pa.Table:
     return pa.Table.from_batches([_exchange.rows(pairs)], schema=_exchange.ARROW)
 
 
-def _ranges(blocks: DataFrame, n: int) -> DataFrame:
+def _ranges(blocks: DataFrame, n: int, m: int) -> DataFrame:
     """Byte ranges to remove, by row, for buckets 0 to n - 1 of the row key."""
 
     def run(_, payloads):
-        results = [_exchange.decode(p[1:]) for p in payloads if p[:1] == b"r"]
+        results, occurrences = [p for p in payloads if p[:1] == b"r"], [p for p in payloads if p[:1] == b"o"]
         if not results:
             return _table([])
-        key, first, last, value = (np.concatenate([r[k] for r in results]) for k in range(4))
-        order = np.argsort(key, kind="stable")
-        key, first, last, value = key[order], first[order].astype(I64), last[order].astype(I64), value[order]
-        out: dict[int, list] = {}
-        for p in payloads:
-            if p[:1] != b"o":
+        held = []
+        for k in range(m):
+            parts = list(_exchange.unseal(results, k, 1))
+            if not parts:
                 continue
-            okey, small, lo, rows, ids = _exchange.decode(p[1:])
-            okey = np.cumsum(okey, dtype=U64)
-            a, b = np.searchsorted(key, okey, side="left"), np.searchsorted(key, okey, side="right")
-            who, at = np.repeat(np.arange(len(okey)), b - a), _slices(a, b - a)
-            use = value[at] < ids[small[who]]
-            who, at = who[use], at[use]
-            row, start = rows[small[who]], lo[who].astype(I64) + first[at]
-            end = lo[who].astype(I64) + last[at] + LENGTH
-            order = np.lexsort((start, row))
-            row, start, end = row[order], start[order], end[order]
-            places = _exchange.cut(row, n)
-            for k in range(n):
-                if places[k] < places[k + 1]:
-                    own = slice(places[k], places[k + 1])
-                    out.setdefault(k, []).append((row[own], start[own], end[own]))
-        pairs = []
-        for k, got in out.items():
-            row, start, end = (np.concatenate([g[j] for g in got]) for j in range(3))
-            order = np.lexsort((start, row))
-            pairs.append((k, b"x" + _exchange.encode(_exchange.deltas(row[order]), start[order].astype(U32), (end - start)[order].astype(U32))))
-        return _table(pairs)
+            key, first, last, value = (np.concatenate([r[j] for r in parts]) for j in range(4))
+            order = np.argsort(key, kind="stable")
+            key, first, last, value = key[order], first[order].astype(I64), last[order].astype(I64), value[order]
+            for okey, small, lo, rows, ids in _exchange.unseal(occurrences, k, 1):
+                okey = np.cumsum(okey, dtype=U64)
+                a, b = np.searchsorted(key, okey, side="left"), np.searchsorted(key, okey, side="right")
+                who, at = np.repeat(np.arange(len(okey)), b - a), _slices(a, b - a)
+                use = value[at] < ids[small[who]]
+                who, at = who[use], at[use]
+                row, start = rows[small[who]], lo[who].astype(I64) + first[at]
+                held.append((row, start.astype(U32), (last[at] - first[at] + LENGTH).astype(U32)))
+        if not held:
+            return _table([])
+        row, start, length = (np.concatenate([h[j] for h in held]) for j in range(3))
+        held.clear()
+        order = np.lexsort((start, row))
+        row, start, length = row[order], start[order], length[order]
+        cut = _sealed(_exchange.cut(row, n * m), n, m, lambda own: (_exchange.deltas(row[own]), start[own], length[own]))
+        return _table([(r.column(0)[0].as_py(), b"x" + r.column(1)[0].as_py()) for r in cut])
 
     return _exchange.gather(blocks, _exchange.BLOCK, run)
 
 
-def _texts(src: DataFrame, n: int) -> DataFrame:
+def _texts(src: DataFrame, n: int, m: int) -> DataFrame:
     """Blocks of whole texts by row key."""
 
     def run(it):
@@ -434,12 +453,15 @@ def _texts(src: DataFrame, n: int) -> DataFrame:
         def flush():
             id_, row = np.concatenate([h[0] for h in held]), np.concatenate([h[1] for h in held])
             raw = [t for h in held for t in h[2]]
-            to = _exchange.bucket_of(row, n).astype(I64)
-            for b in np.unique(to).tolist():
-                own = np.flatnonzero(to == b)
+            order = np.argsort(row, kind="stable")
+
+            def texts(own):
+                own = order[own]
                 data = b"".join(raw[k] for k in own)
-                lens = np.array([len(raw[k]) for k in own], dtype=I64)
-                yield _exchange.rows([(b, b"t" + _exchange.encode(row[own], id_[own], lens, np.frombuffer(data, dtype=np.uint8)))])
+                return row[own], id_[own], np.array([len(raw[k]) for k in own], dtype=I64), np.frombuffer(data, dtype=np.uint8)
+
+            for batch in _sealed(_exchange.cut(row[order], n * m), n, m, texts):
+                yield _exchange.rows([(batch.column(0)[0].as_py(), b"t" + batch.column(1)[0].as_py())])
 
         for ids, texts in _exchange.in_batches(it):
             id_, row = _row_keys(ids, texts)
@@ -470,45 +492,55 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """One row for each document: its id, sizes, number of removed runs, digest of the kept bytes (and the bytes)."""
     src = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
     shared = shared_anchors(src)
-    n = len(shared.sizes)
-    ranges = _ranges(_results(_contexts(src, shared), n), n)
-    blocks = _texts(src, n).unionByName(ranges)
+    n, m = len(shared.sizes), shared.subs
+    ranges = _ranges(_results(_contexts(src, shared), n, m), n, m)
+    blocks = _texts(src, n, m).unionByName(ranges)
     out = RESULT if with_kept else T.StructType(RESULT.fields[:-1])
 
     def run(_, payloads):
-        from pyspark.sql.pandas.types import to_arrow_schema
+        cuts, texts = [p for p in payloads if p[:1] == b"x"], [p for p in payloads if p[:1] == b"t"]
+        payloads.clear()
+        for k in range(m):
+            yield from _without(list(_exchange.unseal(cuts, k, 1)), _exchange.unseal(texts, k, 1), out)
+
+    return _exchange.gather(blocks, out, run)
 
-        cuts = [_exchange.decode(p[1:]) for p in payloads if p[:1] == b"x"]
-        row = np.concatenate([np.cumsum(c[0], dtype=U64) for c in cuts]) if cuts else np.zeros(0, dtype=U64)
-        start = np.concatenate([c[1] for c in cuts]).astype(I64) if cuts else np.zeros(0, dtype=I64)
-        end = start + np.concatenate([c[2] for c in cuts]).astype(I64) if cuts else start
+
+def _without(cuts: list, texts, out: T.StructType):
+    """Result tables of texts (row keys, ids, lengths, bytes) without the cuts (row keys, starts, lengths) of their sub-bucket."""
+    from pyspark.sql.pandas.types import to_arrow_schema
+
+    schema, with_kept = to_arrow_schema(out), "kept" in out.names
+    row, start, end = np.zeros(0, dtype=U64), np.zeros(0, dtype=I64), np.zeros(0, dtype=I64)
+    if cuts:
+        row = np.concatenate([np.cumsum(c[0], dtype=U64) for c in cuts])
+        start = np.concatenate([c[1] for c in cuts]).astype(I64)
+        end = start + np.concatenate([c[2] for c in cuts])
         order = np.lexsort((start, row))
         row, start, end = row[order], start[order], end[order]
+    for rows, ids, lens, data in texts:
         made: dict = {f.name: [] for f in out}
-        for p in payloads:
-            if p[:1] != b"t":
-                continue
-            rows, ids, lens, data = _exchange.decode(p[1:])
-            offset, data = np.cumsum(lens) - lens, data.tobytes()
-            a, b = np.searchsorted(row, rows, side="left"), np.searchsorted(row, rows, side="right")
-            for k in range(len(rows)):
-                raw = data[offset[k] : offset[k] + lens[k]]
-                spans = _union(start[a[k] : b[k]], end[a[k] : b[k]])
-                kept, at = [], 0
-                for s, e in spans:
-                    kept.append(raw[at:s])
-                    at = e
-                kept = b"".join([*kept, raw[at:]])
-                made["doc_id"].append(None if ids[k] == NULL_ID else int(ids[k]))
-                made["n_bytes"].append(len(raw))
-                made["n_removed"].append(len(raw) - len(kept))
-                made["n_spans"].append(len(spans))
-                made["kept_sha256"].append(hashlib.sha256(kept).hexdigest())
-                if with_kept:
-                    made["kept"].append(kept)
-        return pa.table(made, schema=to_arrow_schema(out))
-
-    return _exchange.gather(blocks, out, run)
+        offset, data = np.cumsum(lens) - lens, memoryview(data)
+        a, b = np.searchsorted(row, rows, side="left"), np.searchsorted(row, rows, side="right")
+        for k in range(len(rows)):
+            raw = data[offset[k] : offset[k] + lens[k]]
+            spans = _union(start[a[k] : b[k]], end[a[k] : b[k]])
+            pieces, at = [], 0
+            for s, e in spans:
+                pieces.append(raw[at:s])
+                at = e
+            pieces.append(raw[at:])
+            digest = hashlib.sha256()
+            for x in pieces:
+                digest.update(x)
+            made["doc_id"].append(None if ids[k] == NULL_ID else int(ids[k]))
+            made["n_bytes"].append(len(raw))
+            made["n_removed"].append(sum(e - s for s, e in spans))
+            made["n_spans"].append(len(spans))
+            made["kept_sha256"].append(digest.hexdigest())
+            if with_kept:
+                made["kept"].append(b"".join(pieces))
+        yield pa.table(made, schema=schema)
 
 
 def _union(start: np.ndarray, end: np.ndarray) -> list[tuple[int, int]]:

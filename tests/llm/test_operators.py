@@ -286,8 +286,9 @@ def test_suffix_array():
             assert suffix_array(t) == sorted(range(n), key=lambda k: t[k:])
 
 
-@pytest.mark.parametrize("hot", [2, 4096])
-def test_substring_dedup(spark, hot, monkeypatch):
+@pytest.mark.parametrize("hot, size", [(2, 120_000), (4096, 120_000), (2, 50), (4096, 50)])
+def test_substring_dedup(spark, hot, size, monkeypatch):
+    monkeypatch.setattr(substring_dedup, "SUB_SIZE", size)
     monkeypatch.setattr(substring_dedup.shared_anchors, "__defaults__", (hot,))
     seen, data = set(), []
     for r in cases.rows(150):
