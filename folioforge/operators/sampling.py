@@ -6,14 +6,36 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+#: ranges that an order is cut into, and rows of the sample that the cuts are taken from
+RANGES, CUT_SAMPLE = 64, 4096
+
+
+def ranged(df: DataFrame, order: list[str], name: str = "_p") -> DataFrame:
+    """``df`` with the number of its range of the given order, from 0.
+
+    The cuts are literals, from a sample of at most ``CUT_SAMPLE`` rows with the least hashes, so the number is a column of
+    the row alone: every branch of a plan that computes it gets the same one, however a shuffle is planned.
+    """
+    key = F.struct(*order)
+    some = df.select(key.alias("_key")).orderBy(F.xxhash64("_key")).limit(CUT_SAMPLE).collect()
+    keys = df.sparkSession.createDataFrame(some, df.select(key.alias("_key")).schema) if some else None
+    if keys is None:
+        return df.withColumn(name, F.lit(0))
+    every = max(1, len(some) // RANGES)
+    w = Window.partitionBy(F.lit(1)).orderBy("_key")  # over the sample
+    cuts = keys.withColumn("_k", F.row_number().over(w)).where(F.col("_k") % every == 0)
+    cuts = F.broadcast(cuts.agg(F.array_sort(F.collect_set("_key")).alias("_cuts")))  # one row of at most RANGES + 1 keys
+    return df.crossJoin(cuts).withColumn(name, F.size(F.filter("_cuts", lambda c: c <= key))).drop("_cuts")
+
+
 def numbered(df: DataFrame, order: list[str], name: str = "_i") -> DataFrame:
     """Rows with a running number from 0 in the given order, without one task seeing all rows: each range of the
-    order is numbered by itself, then moved by the counts of the ranges before."""
-    ranged = df.repartitionByRange(*order).withColumn("_p", F.spark_partition_id())
-    counts = ranged.groupBy("_p").agg(F.count(F.lit(1)).alias("_n"))
+    order is numbered by itself, then moved by the counts of the ranges before. Rows of equal keys are in one range."""
+    parts = ranged(df, order)
+    counts = parts.groupBy("_p").agg(F.count(F.lit(1)).alias("_n"))
     before = counts.withColumn("_before", F.sum("_n").over(Window.orderBy("_p")) - F.col("_n")).drop("_n")  # a row a range
     inside = F.row_number().over(Window.partitionBy("_p").orderBy(*order)) - 1
-    return ranged.withColumn("_k", inside).join(F.broadcast(before), "_p").withColumn(name, F.col("_before") + F.col("_k")).drop("_p", "_k", "_before")
+    return parts.withColumn("_k", inside).join(F.broadcast(before), "_p").withColumn(name, F.col("_before") + F.col("_k")).drop("_p", "_k", "_before")
 
 
 def systematic(df: DataFrame, order: list[str], n: int) -> DataFrame:
