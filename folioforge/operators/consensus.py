@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import math
+import re
+import unicodedata
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from folioforge.functions import distance as D
 from folioforge.functions import patterns as P
 from folioforge.functions import similarity as S
 from folioforge.functions import text as X
@@ -22,7 +24,7 @@ def pair_similarity(reads: DataFrame, keys: list[str] | None = None, text: str =
     left = reads.select(*keys, F.col(name).alias("a"), F.col(text).alias("_ta"))
     right = reads.select(*keys, F.col(name).alias("b"), F.col(text).alias("_tb"))
     pairs = left.join(right, keys).where("a < b")
-    return pairs.withColumn("ned", S.ned(F.col("_ta"), F.col("_tb"))).withColumn("sim", 1 - F.col("ned")).drop("_ta", "_tb")
+    return pairs.withColumn("ned", S.long_ned(F.col("_ta"), F.col("_tb"))).withColumn("sim", 1 - F.col("ned")).drop("_ta", "_tb")
 
 
 def both_ways(pairs: DataFrame) -> DataFrame:
@@ -48,15 +50,16 @@ def _region_table(reads: DataFrame, keys: list[str], text: str, name: str, thres
     """One row a region with arrays over its reads (in order of ``name``): entropy, weight, label; and n, mean_sim, delta, fraction, cluster.
 
     A region has as many reads as there are engines, so its similarity matrix is a small array of one row and the whole
-    consensus is one exchange. A read's similarities to the others are a distribution; its entropy is low where it
+    consensus is one exchange. Sums leave out a read's similarity to itself instead of taking it off again, which would
+    round, and the mean similarity has twelve decimals, so that neither depends on the order of the reads. A read's similarities to the others are a distribution; its entropy is low where it
     stands with few of them. A read without any similarity gets the largest entropy of the region (or ln n). delta is the spread of
     entropies over ln n. Labels of single-linkage clusters spread over links by repeated minima.
     """
     item = F.struct(F.col(name).alias("e"), F.col(text).alias("t"), *[F.col(c) for c in extra])
     df = reads.groupBy(*keys).agg(F.array_sort(F.collect_list(item)).alias("_m"))
     df = df.withColumn("n", F.size("_m"))
-    df = df.withColumn("_s", F.transform("_m", lambda x: F.transform(F.col("_m"), lambda y: S.similarity(x["t"], y["t"]))))
-    others = lambda row: F.aggregate(row, F.lit(0.0), lambda a, v: a + v) - 1  # noqa: E731  a read's similarity to itself is 1
+    df = df.withColumn("_s", S.similarity_matrix(F.transform("_m", lambda x: x["t"])))
+    others = lambda row, i: F.aggregate(F.transform(row, lambda v, k: F.when(k == i, 0.0).otherwise(v)), F.lit(0.0), lambda a, v: a + v)
     df = df.withColumn("_sum", F.transform("_s", others))
 
     def entropy(row, i):
@@ -75,7 +78,7 @@ def _region_table(reads: DataFrame, keys: list[str], text: str, name: str, thres
     df = df.withColumns(
         {
             "delta": F.when(F.col("n") > 1, F.greatest(F.lit(0.0), F.least(F.lit(1.0), spread / F.log(F.col("n"))))).otherwise(0.0),
-            "mean_sim": F.when(F.col("n") > 1, total("_sum") / F.greatest(pairs, F.lit(1.0))).otherwise(1.0),
+            "mean_sim": F.when(F.col("n") > 1, F.round(total("_sum") / F.greatest(pairs, F.lit(1.0)), 12)).otherwise(1.0),
             "label": F.aggregate(
                 F.sequence(F.lit(1), F.col("n")),
                 F.sequence(F.lit(0), F.col("n") - 1),
@@ -134,57 +137,67 @@ def pick_read(reads: DataFrame, keys: list[str] | None = None, text: str = "text
 # alignments: inherently sequential, one region at a time
 
 
-def _distance(a: str, b: str) -> int:
-    """Edit distance by bit vectors (Myers 1999, in Hyyro's form): one column of the table is a pair of integers."""
-    if len(a) > len(b):
-        a, b = b, a
-    if not a:
-        return len(b)
-    at: dict[str, int] = {}
-    for k, c in enumerate(a):
-        at[c] = at.get(c, 0) | 1 << k
-    mask, top = (1 << len(a)) - 1, 1 << len(a) - 1
-    up, down, score = mask, 0, len(a)
-    for c in b:
-        match = at.get(c, 0)
-        zero = (((match & up) + up) ^ up) | match | down
-        rise, fall = down | ~(zero | up) & mask, zero & up
-        score += bool(rise & top) - bool(fall & top)
-        rise = rise << 1 | 1
-        up, down = (fall << 1 | ~(zero | rise)) & mask, rise & zero & mask
-    return score
-
-
-def _ned(a: str, b: str) -> float:
-    return 0.0 if a == b else _distance(a, b) / max(len(a), len(b))
-
-
-def _best(here: str, forms: list[str], places, floor: float) -> tuple[float, int | None]:
+class Similar:
+    """Similarities of pairs of forms: those of ``pairs`` are measured together, any other when it is asked for."""
+
+    def __init__(self, pairs=()):
+        ordered = list({(min(p), max(p)) for p in pairs if p[0] != p[1]})
+        got = D.distances([a for a, _ in ordered], [b for _, b in ordered])
+        self.of = {p: 1 - int(d) / max(len(p[0]), len(p[1])) for p, d in zip(ordered, got, strict=True)}
+
+    def __call__(self, a: str, b: str) -> float:
+        if a == b:
+            return 1.0
+        key = (min(a, b), max(a, b))
+        if key not in self.of:
+            self.of[key] = 1 - D.ned(a, b)
+        return self.of[key]
+
+
+def _bound(a: str, b: str) -> float:
+    """The most that two forms of these lengths can be alike."""
+    longer = max(len(a), len(b))
+    return 1 - abs(len(a) - len(b)) / longer if longer else 1.0
+
+
+def _best(here: str, forms: list[str], places, floor: float, similar: Similar) -> tuple[float, int | None]:
     """The most similar form among ``places`` and its place, the first on ties; pairs whose lengths alone rule out
     more than ``floor`` are not compared."""
     best, at = floor, None
     for k in places:
-        longer = max(len(here), len(forms[k]))
-        if longer and 1 - abs(len(here) - len(forms[k])) / longer <= best:
+        if _bound(here, forms[k]) <= best:
             continue
-        s = 1 - _ned(here, forms[k])
+        s = similar(here, forms[k])
         if s > best:
             best, at = s, k
     return best, at
 
 
 def _compare(s: str) -> str:
-    import re
-    import unicodedata
-
     s = re.sub(P.MATH_TAG, "", unicodedata.normalize("NFKC", s or ""))
     return " ".join(re.sub(f"[{P.COMPARE_DASHES}]", "-", s).split()).casefold()
 
 
-def align_free(reads: dict[str, list[str]], threshold: float = P.ALIGN_SIM) -> list[dict[str, str]]:
+def _light(s: str) -> str:
+    return " ".join((s or "").lower().split())
+
+
+def _comparable(reads: dict[str, list[str]], threshold: float, ordered: bool):
+    """Pairs of forms of different engines that the alignment may ask for."""
+    forms = {e: [(_light if ordered else _compare)(t) for t in texts] for e, texts in reads.items()}
+    spine = max(forms, key=lambda e: len(forms[e])) if forms else None
+    names = list(forms)
+    for k, x in enumerate(names):
+        for y in names[k + 1 :]:
+            if not ordered or spine in (x, y):
+                yield from ((a, b) for a in forms[x] for b in forms[y] if _bound(a, b) >= threshold)
+
+
+def align_free(reads: dict[str, list[str]], threshold: float = P.ALIGN_SIM, similar: Similar | None = None) -> list[dict[str, str]]:
     """Groups of lines believed to be one, without regard to order: each line goes to the best group, above the threshold, that its engine has not used."""
     if not reads:
         return []
+    similar = similar or Similar()
     anchor = max(reads, key=lambda e: len(reads[e]))  # the first of the longest
     groups = [{anchor: t} for t in reads[anchor]]
     forms = [_compare(t) for t in reads[anchor]]
@@ -193,7 +206,7 @@ def align_free(reads: dict[str, list[str]], threshold: float = P.ALIGN_SIM) -> l
             continue
         for t in texts:
             form = _compare(t)
-            _, at = _best(form, forms, (k for k in range(len(groups)) if engine not in groups[k]), threshold)
+            _, at = _best(form, forms, (k for k in range(len(groups)) if engine not in groups[k]), threshold, similar)
             if at is not None:
                 groups[at][engine] = t
             else:
@@ -202,25 +215,27 @@ def align_free(reads: dict[str, list[str]], threshold: float = P.ALIGN_SIM) -> l
     return groups
 
 
-def align_ordered(reads: dict[str, list[str]], threshold: float = P.SPINE_SIM, ahead: int = P.SPINE_AHEAD, back: int = P.SPINE_BACK) -> list[dict[str, str]]:
+def align_ordered(
+    reads: dict[str, list[str]], threshold: float = P.SPINE_SIM, ahead: int = P.SPINE_AHEAD, back: int = P.SPINE_BACK, similar: Similar | None = None
+) -> list[dict[str, str]]:
     """Slots of lines in order along the longest read. Lines that match no slot stand as slots of their own before the
     slot at which their engine was; all of them stay, also where the engine stepped back."""
     reads = {e: t for e, t in reads.items() if t}
     if not reads:
         return []
+    similar = similar or Similar()
     spine = max(reads, key=lambda e: len(reads[e]))
-    form = lambda s: " ".join((s or "").lower().split())
     slots = [{spine: t} for t in reads[spine]]
     for engine, texts in reads.items():
         if engine == spine:
             continue
-        forms, at, extra = [form(s.get(spine, "")) for s in slots], 0, []
+        forms, at, extra = [_light(s.get(spine, "")) for s in slots], 0, []
         for order, t in enumerate(texts):
-            here = form(t)
+            here = _light(t)
             hit = None
             for window in (range(at, min(len(slots), at + ahead + 1)), range(max(0, at - back), at)):
                 # "at least the threshold" is "more than the next smaller number"
-                _, hit = _best(here, forms, (k for k in window if engine not in slots[k]), math.nextafter(threshold, 0))
+                _, hit = _best(here, forms, (k for k in window if engine not in slots[k]), math.nextafter(threshold, 0), similar)
                 if hit is not None:
                     break
             if hit is None:
@@ -237,27 +252,45 @@ def align_ordered(reads: dict[str, list[str]], threshold: float = P.SPINE_SIM, a
     return slots
 
 
-MEMBERS = "slot int, engine string, text string"
+#: pairs of lines that are measured together
+PAIRS_AT_ONCE = 50_000
 
 
 def aligned_lines(reads: DataFrame, keys: list[str] | None = None, ordered: bool = False, threshold: float | None = None) -> DataFrame:
-    """Line members of each region: keys, slot, engine, text. One region is one group; its reads are what fits a page."""
+    """Line members of each region: keys, slot, engine, text. A region is one row with its reads, which are what fits a page;
+    the distances of many regions are measured together."""
     keys = keys or KEYS
     limit = threshold if threshold is not None else (P.SPINE_SIM if ordered else P.ALIGN_SIM)
     split = X.lines(F.col("text")) if ordered else X.engine_lines(X.nfkc(F.col("text")), F.col("engine"))
-    src = reads.select(*keys, "engine", split.alias("lines"))
-    schema = T.StructType([src.schema[k] for k in keys] + [T.StructField("slot", T.IntegerType()), T.StructField("engine", T.StringType()), T.StructField("text", T.StringType())])
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        rows = pdf.sort_values("engine")
-        got = (align_ordered if ordered else align_free)({e: list(t) for e, t in zip(rows["engine"], rows["lines"], strict=True)}, limit)
-        out = [(k, e, t) for k, slot in enumerate(got) for e, t in slot.items()]
-        made = pd.DataFrame(out, columns=["slot", "engine", "text"])
-        for i, k in enumerate(keys):
-            made.insert(i, k, pdf[k].iloc[0])
-        return made
-
-    return src.groupBy(*keys).applyInPandas(run, schema)
+    src = reads.select(*keys, "engine", split.alias("lines")).groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("engine", "lines"))).alias("_r"))
+    schema = T.StructType([*(src.schema[k] for k in keys), T.StructField("slot", T.IntegerType()), T.StructField("engine", T.StringType()), T.StructField("text", T.StringType())])
+
+    def run(batches):
+        import pyarrow as pa
+        from pyspark.sql.pandas.types import to_arrow_schema
+
+        arrow, align = to_arrow_schema(schema), align_ordered if ordered else align_free
+
+        def flush():
+            similar, rows = Similar(p for _, pairs in held for p in pairs), []
+            for row, _ in held:
+                slots = align(row["_r"], limit, similar=similar)
+                rows += [tuple(row[k] for k in keys) + (k, e, t) for k, slot in enumerate(slots) for e, t in slot.items()]
+            return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], type=f.type) for i, f in enumerate(arrow)], schema=arrow)
+
+        held, size = [], 0
+        for batch in batches:
+            for row in batch.to_pylist():
+                row["_r"] = {r["engine"]: r["lines"] or [] for r in row["_r"]}
+                held.append((row, list(_comparable(row["_r"], limit, ordered))))
+                size += len(held[-1][1])
+                if size >= PAIRS_AT_ONCE or len(held) >= PAIRS_AT_ONCE:
+                    yield flush()
+                    held, size = [], 0
+        if held:
+            yield flush()
+
+    return src.mapInArrow(run, schema)
 
 
 def band(mean_sim: Column) -> Column:

@@ -8,6 +8,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from folioforge.functions import distance as D
 from folioforge.functions import patterns as P
 
 #: name -> function without arguments that loads the engine and gives a function from crop bytes to text
@@ -105,8 +106,6 @@ def restore_protected(source: str, corrected: str) -> str:
     """
     from difflib import SequenceMatcher
 
-    from folioforge.operators.consensus import _ned
-
     old, new = source.split(), corrected.split()
     swap: dict[int, str] = {}
     back: list[tuple[int, str]] = []
@@ -117,7 +116,7 @@ def restore_protected(source: str, corrected: str) -> str:
             if j1 == j2:
                 back.append((j1, token))
             else:
-                swap[min(range(j1, j2), key=lambda j: _ned(token, new[j]))] = token
+                swap[min(range(j1, j2), key=lambda j: D.ned(token, new[j]))] = token
     out = []
     for j in range(len(new) + 1):
         out += [t for at, t in back if at == j]
@@ -128,8 +127,6 @@ def restore_protected(source: str, corrected: str) -> str:
 
 def correct_line(line: str, generate: Callable[[str], str], max_bytes: int = P.CHUNK_BYTES, min_letters: int = P.MIN_LETTERS) -> str:
     """A line through the model in chunks of whole words, each accepted or kept, protected data restored."""
-    from folioforge.operators.consensus import _ned
-
     if not line.strip():
         return line
 
@@ -140,7 +137,7 @@ def correct_line(line: str, generate: Callable[[str], str], max_bytes: int = P.C
             got = generate(text) or text
         except Exception:
             return text
-        far = _ned(text.strip(), got.strip()) > P.ACCEPT_NED
+        far = D.ned(text.strip(), got.strip()) > P.ACCEPT_NED
         drifted = far and (len(got) > len(text) * P.ACCEPT_GROWTH + P.ACCEPT_EXTRA or len(text.strip()) < P.ACCEPT_SHORT)
         return text if drifted else got
 

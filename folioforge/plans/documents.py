@@ -102,27 +102,41 @@ def read_manifest(spark, sf):
 
 
 def reads(spark, sf) -> DataFrame:
-    """Plain documents cut to 120 characters as four engines' reads of a page."""
-    docs = table(spark, sf, "documents").where(F.regexp_like("text", F.lit(r"^[\x00-\x7F]*$")))
-    cut = F.substring("text", 1, 120)
-    return docs.select((F.col("doc_id") - F.col("doc_id") % 4).alias("page"), F.lit("").alias("region"), F.concat(F.lit("e"), F.col("doc_id") % 4).alias("engine"), F.lower(cut).alias("text"))
-
-
-READS = """
-reads AS (
-  SELECT doc_id - doc_id % 4 AS page, 'e' || (doc_id % 4) AS engine, lower(substring(text, 1, 120)) AS text
-  FROM documents WHERE regexp_matches(text, '^[\\x00-\\x7F]*$')),
+    """Every line of every document: four documents are four engines' reads of a page, and a line's place is its region."""
+    page = F.col("page")
+    return document_lines(spark, sf).select((page - page % 4).alias("page"), F.col("line_no").alias("region"), F.concat(F.lit("e"), page % 4).alias("engine"), "text")
+
+
+def blocks(spark, sf) -> DataFrame:
+    """Whole documents in blocks of two lines: three documents are three engines' reads of a page, a block's place is its region."""
+    docs = table(spark, sf, "documents").select("doc_id", X.lines(F.col("text")).alias("l")).where(F.size("l") > 0)
+    at = docs.select("doc_id", "l", F.explode(F.sequence(F.lit(0), F.floor((F.size("l") - 1) / 2).cast("int"))).alias("region"))
+    text = F.array_join(F.slice("l", F.col("region") * 2 + 1, F.lit(2)), "\n")
+    return at.select((F.col("doc_id") - F.col("doc_id") % 3).alias("page"), "region", F.concat(F.lit("e"), F.col("doc_id") % 3).alias("engine"), text.alias("text"))
+
+
+# DuckDB's levenshtein counts bytes: letters of more than one byte stand as one control character each there
+LETTERS = "éóèñüçäöêßíÉÈÑÓÇÊÜÖÄÍ"
+ONE_BYTE = "regexp_replace(translate({t}, '" + LETTERS + "', " + " || ".join(f"chr({k})" for k in (*range(1, 9), *range(14, 27))) + "), '[^\\x00-\\x7F]', chr(31), 'g')"
+EACH_LINE = """
+each_doc AS (
+  SELECT doc_id, lang, source, list_filter(list_transform(string_split(text, chr(10)), lambda x: regexp_replace(x, '^\\s+|\\s+$', '', 'g')), lambda x: x <> '') AS l FROM documents),
+each_line AS (SELECT doc_id, lang, source, unnest(l) AS line, generate_subscripts(l, 1) - 1 AS line_no FROM each_doc)
+"""
+READS = f"""
+{EACH_LINE},
+reads AS (SELECT doc_id - doc_id % 4 AS page, line_no AS region, 'e' || (doc_id % 4) AS engine, line AS text, {ONE_BYTE.format(t="line")} AS bytes FROM each_line),
 pairs AS (
-  SELECT x.page, x.engine AS a, y.engine AS b, x.text AS ta, y.text AS tb,
+  SELECT x.page, x.region, x.engine AS a, y.engine AS b,
          CASE WHEN greatest(length(x.text), length(y.text)) = 0 THEN 0.0
-              ELSE levenshtein(x.text, y.text)::DOUBLE / greatest(length(x.text), length(y.text)) END AS ned
-  FROM reads x JOIN reads y ON x.page = y.page AND x.engine < y.engine),
-both_ways AS (SELECT page, a, b, 1 - ned AS sim FROM pairs UNION ALL SELECT page, b, a, 1 - ned FROM pairs)
+              ELSE levenshtein(x.bytes, y.bytes)::DOUBLE / greatest(length(x.text), length(y.text)) END AS ned
+  FROM reads x JOIN reads y ON x.page = y.page AND x.region = y.region AND x.engine < y.engine),
+both_ways AS (SELECT page, region, a, b, 1 - ned AS sim FROM pairs UNION ALL SELECT page, region, b, a, 1 - ned FROM pairs)
 """
 
 
 def read_pairs(spark, sf):
-    return consensus.pair_similarity(reads(spark, sf)).select("page", "a", "b", micro(F.col("ned")).alias("ned"))
+    return consensus.pair_similarity(reads(spark, sf)).select("page", "region", "a", "b", micro(F.col("ned")).alias("ned"))
 
 
 def pairwise_cer(spark, sf):
@@ -136,89 +150,95 @@ def engine_centrality(spark, sf):
 
 def consensus_entropy(spark, sf):
     _, region = consensus.consensus_entropy(reads(spark, sf))
-    return region.select("page", "n", micro(F.col("mean_sim")).alias("mean_sim"), micro(F.round("delta", 9)).alias("delta"))
+    return region.select("page", "region", "n", micro(F.col("mean_sim")).alias("mean_sim"), micro(F.round("delta", 9)).alias("delta"))
 
 
 def consensus_weights(spark, sf):
     each, _ = consensus.consensus_entropy(reads(spark, sf))
-    return each.select("page", "engine", micro(F.round("entropy", 9)).alias("entropy"))
+    return each.select("page", "region", "engine", micro(F.round("entropy", 9)).alias("entropy"))
 
 
 def cluster_fraction(spark, sf):
-    got = consensus.cluster_fraction(reads(spark, sf), threshold=0.3)
-    return got.select("page", micro(F.round("cluster_fraction", 9)).alias("cluster_fraction"))
+    got = consensus.cluster_fraction(reads(spark, sf))
+    return got.select("page", "region", micro(F.round("cluster_fraction", 9)).alias("cluster_fraction"))
 
 
 def agreement_bands(spark, sf):
     _, region = consensus.consensus_entropy(reads(spark, sf))
-    return region.groupBy(consensus.band(F.col("mean_sim") + F.lit(0.5)).alias("band")).agg(F.count(F.lit(1)).alias("n"))
+    return region.groupBy(consensus.band(F.col("mean_sim")).alias("band")).agg(F.count(F.lit(1)).alias("n"))
 
 
 def consensus_pick(spark, sf):
-    return consensus.pick_read(reads(spark, sf), threshold=0.3).select("page", "engine")
+    return consensus.pick_read(reads(spark, sf)).select("page", "region", "engine")
 
 
 def aligned_regions(spark, sf):
-    regions, _ = consensus.analyze_regions(reads(spark, sf).where("page < 400"))
-    return regions.select("page", "n_engines", "n_lines", "n_low_conf_lines")
+    regions, _ = consensus.analyze_regions(blocks(spark, sf))
+    return regions.select("page", "region", "n_engines", "n_lines", "n_high_conf_lines", "n_low_conf_lines", micro(F.col("mean_line_agreement")).alias("mean_line_agreement"))
 
 
 def fused_lines(spark, sf):
-    return consensus.fuse_regions(reads(spark, sf)).select("page", "line_idx", "text", "n_votes")
+    return consensus.fuse_regions(blocks(spark, sf)).select("page", "region", "line_idx", "text", "n_votes")
 
 
 def flagged_lines(spark, sf):
-    return consensus.flagged(consensus.anchored_agreement(reads(spark, sf), "e0")).select("page", "line_idx", "agreement", "n_corrob", "text")
+    return consensus.flagged(consensus.anchored_agreement(blocks(spark, sf), "e0")).select("page", "region", "line_idx", "agreement", "n_corrob", "text")
 
 
 def hyp_ref(spark, sf) -> DataFrame:
-    """A document against the next of its source, both plain and cut to 200 characters."""
-    from pyspark.sql import Window
-
-    docs = table(spark, sf, "documents").where(F.regexp_like("text", F.lit(r"^[\x00-\x7F]*$")))
-    w = Window.partitionBy("source").orderBy("doc_id")
-    cut = docs.select("doc_id", "source", F.substring("text", 1, 200).alias("ref"))
-    return cut.withColumn("hyp", F.coalesce(F.lead("ref").over(w), F.lit("")))
-
-
-HYP = """
-cut AS (
-  SELECT doc_id, source, substring(text, 1, 200) AS ref FROM documents WHERE regexp_matches(text, '^[\\x00-\\x7F]*$')),
-both_ AS (SELECT doc_id, source, ref, coalesce(lead(ref) OVER (PARTITION BY source ORDER BY doc_id), '') AS hyp FROM cut),
+    """Every line of a document of an even id as reference, that of the next document at the same place as hypothesis; what only one
+    of the two has stands against an empty line."""
+    lines = document_lines(spark, sf)
+    mine = lines.where("page % 2 = 0").select(F.col("page").alias("doc_id"), "line_no", F.col("text").alias("ref"))
+    other = lines.where("page % 2 <> 0").select((F.col("page") - 1).alias("doc_id"), "line_no", F.col("text").alias("hyp"), F.col("volume").alias("engine"))
+    return mine.join(other, ["doc_id", "line_no"], "full").fillna("", ["ref", "hyp"])
+
+
+HYP = f"""
+{EACH_LINE},
+both_ AS (
+  SELECT coalesce(a.doc_id, b.doc_id - 1) AS doc_id, coalesce(a.line_no, b.line_no) AS line_no, coalesce(a.line, '') AS ref, coalesce(b.line, '') AS hyp, b.lang AS engine
+  FROM (SELECT * FROM each_line WHERE doc_id % 2 = 0) a FULL JOIN (SELECT * FROM each_line WHERE doc_id % 2 <> 0) b ON a.doc_id = b.doc_id - 1 AND a.line_no = b.line_no)
+"""
+CLEAN = """replace(replace(replace(regexp_replace(regexp_replace(regexp_replace(coalesce({t}, ''),
+        '(?s)^\\s*---\\s*\\n.*?\\n---\\s*\\n', ''), '(?i)^```[a-z]*\\s*|\\s*```\\s*\\z', '', 'g'), '<[^>]+>', ' ', 'g'), '&amp;', '&'), '&lt;', '<'), '&gt;', '>')"""
+COUNTED = f"""
 counted AS (
-  SELECT doc_id, source, ref, hyp, length(ref) - length(replace(ref, ',', '')) AS rc, length(hyp) - length(replace(hyp, ',', '')) AS hc,
-         length(ref) - length(replace(ref, '-', '')) AS rd, length(hyp) - length(replace(hyp, '-', '')) AS hd,
+  SELECT *, length(ref) - length(replace(ref, ',', '')) AS rc, length(hyp) - length(replace(hyp, ',', '')) AS hc,
+         length(ref) - length(regexp_replace(ref, '[{D}]', '', 'g')) AS rd, length(hyp) - length(regexp_replace(hyp, '[{D}]', '', 'g')) AS hd,
          length(regexp_replace(ref, '[^0-9]', '', 'g')) AS rg, length(regexp_replace(hyp, '[^0-9]', '', 'g')) AS hg,
-         trim(regexp_replace(ref, '\\s+', ' ', 'g')) AS r, trim(regexp_replace(hyp, '\\s+', ' ', 'g')) AS h FROM both_),
+         trim(regexp_replace(ref, '\\s+', ' ', 'g')) AS r, trim(regexp_replace(hyp, '\\s+', ' ', 'g')) AS h FROM compared),
 scored AS (
-  SELECT doc_id, source,
+  SELECT *,
     CASE WHEN rc = 0 THEN 1.0 ELSE least(rc, hc)::DOUBLE / rc END AS comma_recall,
+    CASE WHEN hc = 0 THEN 1.0 ELSE least(rc, hc)::DOUBLE / hc END AS comma_precision,
     CASE WHEN rc + hc = 0 THEN 1.0 ELSE 2.0 * least(rc, hc) / (rc + hc) END AS comma_f1,
     CASE WHEN rd = 0 THEN 1.0 ELSE least(rd, hd)::DOUBLE / rd END AS dash_recall,
     CASE WHEN rg = 0 THEN 1.0 ELSE least(rg, hg)::DOUBLE / rg END AS digit_recall,
-    CASE WHEN r = '' THEN CASE WHEN h = '' THEN 0.0 ELSE 1.0 END ELSE levenshtein(r, h)::DOUBLE / length(r) END AS cer
+    CASE WHEN rc = 0 OR r = '' THEN 1.0 WHEN h = '' THEN 0.0 ELSE least(rc, hc)::DOUBLE / rc END AS field_count_ratio,
+    CASE WHEN r = '' THEN CASE WHEN h = '' THEN 0.0 ELSE 1.0 END ELSE levenshtein({ONE_BYTE.format(t="r")}, {ONE_BYTE.format(t="h")})::DOUBLE / length(r) END AS cer
   FROM counted)
 """
+MEASURES = ("comma_recall", "comma_precision", "comma_f1", "dash_recall", "digit_recall", "field_count_ratio", "cer")
 
 
 def punct_score(spark, sf):
-    got = evaluation.score(F.col("ref"), F.col("hyp"), nfkc_first=False)
-    return hyp_ref(spark, sf).select("doc_id", *[micro(got[m]).alias(m) for m in ("comma_recall", "comma_f1", "dash_recall", "digit_recall", "cer")])
+    got = evaluation.score(F.col("ref"), F.col("hyp"))
+    return hyp_ref(spark, sf).select("doc_id", "line_no", *[micro(got[m]).alias(m) for m in MEASURES])
 
 
 def leaderboard(spark, sf):
-    from pyspark.sql import Window
-
-    got = evaluation.score(F.col("ref"), F.col("hyp"), nfkc_first=False)
-    each = hyp_ref(spark, sf).select("source", *[micro(got[m]).alias(m) for m in ("cer", "comma_f1")])
-    mean = each.groupBy("source").agg(F.count(F.lit(1)).alias("n"), F.floor(F.sum("cer") / F.count(F.lit(1))).alias("cer"), F.floor(F.sum("comma_f1") / F.count(F.lit(1))).alias("comma_f1"))
-    mean = mean.withColumn("score", (1_000_000 - F.col("cer")) * 40 + F.col("comma_f1") * 35)
-    return mean.withColumn("rank", F.row_number().over(Window.orderBy(F.desc("score"), "source")).cast("long"))
+    """Languages of the hypotheses as engines; references under the least length do not count."""
+    pairs = hyp_ref(spark, sf).select(F.lit("0").alias("year"), F.concat_ws("-", "doc_id", "line_no").alias("page_id"), "ref", "hyp", "engine")
+    reads_ = pairs.where(F.col("engine").isNotNull()).select("page_id", "engine", F.col("hyp").alias("text"))
+    references = pairs.select("year", "page_id", F.col("ref").alias("reference"))
+    got = evaluation.leaderboard(reads_, references, references.select("year", "page_id"))
+    return got.select("engine", "n", *[micro(F.col(m)).alias(m) for m in (*evaluation.METRICS, "score")], F.col("rank").cast("long").alias("rank"))
 
 
 def accepted_corrections(spark, sf):
-    got = hyp_ref(spark, sf).select("doc_id", F.substring("ref", 1, 40).alias("src"), F.substring("hyp", 1, 90).alias("out"))
-    return got.select("doc_id", (S.accepted(F.col("src"), F.col("out")) == F.col("out")).alias("accepted"))
+    got = hyp_ref(spark, sf)
+    return got.select("doc_id", "line_no", (S.accepted(F.col("ref"), F.col("hyp")) == F.col("hyp")).alias("accepted"))
 
 
 def clean_markup(spark, sf):
@@ -231,14 +251,12 @@ def protected_tokens(spark, sf):
 
 
 def monotone_documents(spark, sf):
-    first = table(spark, sf, "documents").select("source", "doc_id", F.substring("text", 1, 12).alias("name")).where(F.regexp_like("text", F.lit(r"^[\x00-\x7F]*$")))
-    got = records.monotonicity(first, "name", ["source"], ["doc_id"])
+    got = records.monotonicity(table(spark, sf, "documents"), "text", ["source"], ["doc_id"])
     return got.select("source", micro(F.col("monotonicity")).alias("monotonicity"), "n_names")
 
 
 def light_forms(spark, sf):
-    docs = table(spark, sf, "documents").where(F.regexp_like("text", F.lit(r"^[\x00-\x7F]*$")))
-    return docs.select("doc_id", F.md5(X.light_form(F.col("text"))).alias("form"))
+    return table(spark, sf, "documents").select("doc_id", F.md5(X.light_form(F.col("text"))).alias("form"))
 
 
 QUERIES = {
@@ -251,18 +269,19 @@ QUERIES = {
 }
 
 ENTROPY = READS + """,
-sums AS (SELECT page, a, sum(sim) AS s FROM both_ways GROUP BY page, a),
+sums AS (SELECT page, region, a, sum(sim) AS s FROM both_ways GROUP BY page, region, a),
 h AS (
-  SELECT b.page, b.a AS engine, CASE WHEN max(s.s) > 1e-9 THEN sum(CASE WHEN b.sim > 0 THEN -(b.sim / s.s) * ln(b.sim / s.s) ELSE 0.0 END) END AS h
-  FROM both_ways b JOIN sums s ON b.page = s.page AND b.a = s.a GROUP BY b.page, b.a),
-sized AS (SELECT page, engine, count(*) OVER (PARTITION BY page) AS n FROM reads),
+  SELECT b.page, b.region, b.a AS engine, CASE WHEN max(s.s) > 1e-9 THEN sum(CASE WHEN b.sim > 0 THEN -(b.sim / s.s) * ln(b.sim / s.s) ELSE 0.0 END) END AS h
+  FROM both_ways b JOIN sums s ON b.page = s.page AND b.region = s.region AND b.a = s.a GROUP BY b.page, b.region, b.a),
+sized AS (SELECT page, region, engine, count(*) OVER (PARTITION BY page, region) AS n FROM reads),
 each_ AS (
-  SELECT z.page, z.engine, z.n, CASE WHEN z.n = 1 THEN 0.0 ELSE coalesce(h.h, max(h.h) OVER (PARTITION BY z.page), ln(z.n)) END AS entropy
-  FROM sized z LEFT JOIN h ON z.page = h.page AND z.engine = h.engine),
+  SELECT z.page, z.region, z.engine, z.n, CASE WHEN z.n = 1 THEN 0.0 ELSE coalesce(h.h, max(h.h) OVER (PARTITION BY z.page, z.region), ln(z.n)) END AS entropy
+  FROM sized z LEFT JOIN h ON z.page = h.page AND z.region = h.region AND z.engine = h.engine),
+means AS (SELECT page, region, round(avg(sim), 12) AS m FROM both_ways GROUP BY page, region),
 region AS (
-  SELECT e.page, count(*) AS n, greatest(0.0, least(1.0, coalesce(CASE WHEN count(*) > 1 THEN stddev_pop(entropy) / ln(count(*)) END, 0.0))) AS delta,
+  SELECT e.page, e.region, count(*) AS n, greatest(0.0, least(1.0, coalesce(CASE WHEN count(*) > 1 THEN stddev_pop(entropy) / ln(count(*)) END, 0.0))) AS delta,
          coalesce(max(m.m), 1.0) AS mean_sim
-  FROM each_ e LEFT JOIN (SELECT page, avg(sim) AS m FROM both_ways GROUP BY page) m ON e.page = m.page GROUP BY e.page)
+  FROM each_ e LEFT JOIN means m ON e.page = m.page AND e.region = m.region GROUP BY e.page, e.region)
 """
 
 SQL = {
@@ -277,37 +296,36 @@ SQL = {
     "todo_antijoin": "SELECT doc_id, source FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels WHERE doc_id IS NOT NULL)",
     "read_manifest": """SELECT doc_id, CAST(length(text) AS BIGINT) AS n_chars, CAST(length(text) - length(replace(text, chr(10), ''))
         + CASE WHEN text <> '' AND right(text, 1) <> chr(10) THEN 1 ELSE 0 END AS BIGINT) AS n_lines FROM documents""",
-    "read_pairs": f"WITH {READS} SELECT page, a, b, CAST(round(ned * 1000000) AS BIGINT) AS ned FROM pairs",
+    "read_pairs": f"WITH {READS} SELECT page, region, a, b, CAST(round(ned * 1000000) AS BIGINT) AS ned FROM pairs",
     "pairwise_cer": f"""WITH {READS}, half AS (SELECT a, b, avg(ned) AS m, count(*) AS n FROM pairs GROUP BY a, b)
         SELECT a, b, CAST(round(m * 1000000) AS BIGINT) AS mean_cer, n AS n_shared FROM (SELECT a, b, m, n FROM half UNION ALL SELECT b, a, m, n FROM half
         UNION ALL SELECT DISTINCT engine, engine, 0.0, 0 FROM reads)""",
     "engine_centrality": f"""WITH {READS}, half AS (SELECT a, b, avg(ned) AS m FROM pairs GROUP BY a, b), mean AS (
         SELECT a AS engine, avg(m) AS m FROM (SELECT a, b, m FROM half UNION ALL SELECT b, a, m FROM half) GROUP BY a)
         SELECT engine, CAST(round(m * 1000000) AS BIGINT) AS mean_cer, row_number() OVER (ORDER BY m, engine) AS rank FROM mean""",
-    "consensus_entropy": f"""WITH {ENTROPY} SELECT page, n, CAST(round(mean_sim * 1000000) AS BIGINT) AS mean_sim, CAST(round(round(delta, 9) * 1000000) AS BIGINT) AS delta FROM region""",
-    "consensus_weights": f"WITH {ENTROPY} SELECT page, engine, CAST(round(round(entropy, 9) * 1000000) AS BIGINT) AS entropy FROM each_",
+    "consensus_entropy": f"""WITH {ENTROPY} SELECT page, region, n, CAST(round(mean_sim * 1000000) AS BIGINT) AS mean_sim, CAST(round(round(delta, 9) * 1000000) AS BIGINT) AS delta FROM region""",
+    "consensus_weights": f"WITH {ENTROPY} SELECT page, region, engine, CAST(round(round(entropy, 9) * 1000000) AS BIGINT) AS entropy FROM each_",
     "cluster_fraction": f"""WITH RECURSIVE {ENTROPY},
-        reach(page, engine, other) AS (SELECT page, engine, engine FROM reads UNION SELECT r.page, r.engine, b.b FROM reach r JOIN both_ways b ON r.page = b.page AND r.other = b.a WHERE b.sim >= 0.3),
-        cl AS (SELECT page, engine, min(other) AS c FROM reach GROUP BY page, engine),
-        w AS (SELECT page, engine, (1 / (entropy + 1e-9)) / sum(1 / (entropy + 1e-9)) OVER (PARTITION BY page) AS w FROM each_),
-        t AS (SELECT cl.page, c, sum(w) AS w FROM cl JOIN w ON cl.page = w.page AND cl.engine = w.engine GROUP BY cl.page, c)
-        SELECT page, CAST(round(round(max(w), 9) * 1000000) AS BIGINT) AS cluster_fraction FROM t GROUP BY page""",
-    "agreement_bands": f"""WITH {ENTROPY} SELECT CASE WHEN mean_sim + 0.5 >= 0.85 THEN 'HIGH' WHEN mean_sim + 0.5 < 0.6 THEN 'LOW' ELSE 'MID' END AS band, count(*) AS n FROM region GROUP BY 1""",
-    "punct_score": f"WITH {HYP} SELECT doc_id, " + ", ".join(f"CAST(round({m} * 1000000) AS BIGINT) AS {m}" for m in ("comma_recall", "comma_f1", "dash_recall", "digit_recall", "cer")) + " FROM scored",
-    "leaderboard": f"""WITH {HYP}, m AS (SELECT source, count(*) AS n, CAST(floor(sum(CAST(round(cer * 1000000) AS BIGINT)) / count(*)) AS BIGINT) AS cer,
-        CAST(floor(sum(CAST(round(comma_f1 * 1000000) AS BIGINT)) / count(*)) AS BIGINT) AS comma_f1 FROM scored GROUP BY source),
-        s AS (SELECT *, (1000000 - cer) * 40 + comma_f1 * 35 AS score FROM m) SELECT *, row_number() OVER (ORDER BY score DESC, source) AS rank FROM s""",
-    "accepted_corrections": f"""WITH {HYP}, x AS (SELECT doc_id, substring(ref, 1, 40) AS src, substring(hyp, 1, 90) AS o FROM both_),
-        y AS (SELECT *, regexp_replace(src, '^\\s+|\\s+$', '', 'g') AS a, regexp_replace(o, '^\\s+|\\s+$', '', 'g') AS b FROM x)
-        SELECT doc_id, CASE WHEN o = '' OR (CASE WHEN greatest(length(a), length(b)) = 0 THEN 0 ELSE levenshtein(a, b)::DOUBLE / greatest(length(a), length(b)) END > 0.5
+        near AS (SELECT page, region, a, b FROM both_ways WHERE sim >= 0.8),
+        reach(page, region, engine, other) AS (SELECT page, region, engine, engine FROM reads UNION SELECT r.page, r.region, r.engine, b.b FROM reach r JOIN near b ON r.page = b.page AND r.region = b.region AND r.other = b.a),
+        cl AS (SELECT page, region, engine, min(other) AS c FROM reach GROUP BY page, region, engine),
+        w AS (SELECT page, region, engine, (1 / (entropy + 1e-9)) / sum(1 / (entropy + 1e-9)) OVER (PARTITION BY page, region) AS w FROM each_),
+        t AS (SELECT cl.page, cl.region, c, sum(w) AS w FROM cl JOIN w ON cl.page = w.page AND cl.region = w.region AND cl.engine = w.engine GROUP BY cl.page, cl.region, c)
+        SELECT page, region, CAST(round(round(max(w), 9) * 1000000) AS BIGINT) AS cluster_fraction FROM t GROUP BY page, region""",
+    "agreement_bands": f"""WITH {ENTROPY} SELECT CASE WHEN mean_sim >= 0.85 THEN 'HIGH' WHEN mean_sim < 0.6 THEN 'LOW' ELSE 'MID' END AS band, count(*) AS n FROM region GROUP BY 1""",
+    "punct_score": f"WITH {HYP}, compared AS (FROM both_), {COUNTED} SELECT doc_id, line_no, " + ", ".join(f"CAST(round({m} * 1000000) AS BIGINT) AS {m}" for m in MEASURES) + " FROM scored",
+    "leaderboard": f"""WITH {HYP}, compared AS (SELECT ref, {CLEAN.format(t="hyp")} AS hyp, engine FROM both_ WHERE engine IS NOT NULL AND length(ref) >= 40), {COUNTED},
+        m AS (SELECT engine, count(*) AS n, """ + ", ".join(f"round(avg({m}), 4) AS {m}" for m in evaluation.METRICS) + """ FROM scored GROUP BY engine),
+        s AS (SELECT *, round((1 - cer) * 0.40 + comma_f1 * 0.35 + field_count_ratio * 0.25, 4) AS score FROM m)
+        SELECT engine, n, """ + ", ".join(f"CAST(round({m} * 1000000) AS BIGINT) AS {m}" for m in (*evaluation.METRICS, "score")) + """, row_number() OVER (ORDER BY score DESC, engine) AS rank FROM s""",
+    "accepted_corrections": f"""WITH {HYP}, y AS (SELECT doc_id, line_no, ref AS src, hyp AS o, {ONE_BYTE.format(t="ref")} AS a, {ONE_BYTE.format(t="hyp")} AS b FROM both_)
+        SELECT doc_id, line_no, CASE WHEN o = '' OR (CASE WHEN greatest(length(a), length(b)) = 0 THEN 0 ELSE levenshtein(a, b)::DOUBLE / greatest(length(a), length(b)) END > 0.5
         AND (length(o) > length(src) * 1.5 + 8 OR length(a) < 6)) THEN src ELSE o END = o AS accepted FROM y""",
-    "clean_markup": """SELECT page_id, md5(replace(replace(replace(regexp_replace(regexp_replace(regexp_replace(coalesce(html, ''),
-        '(?s)^\\s*---\\s*\\n.*?\\n---\\s*\\n', ''), '(?i)^```[a-z]*\\s*|\\s*```\\s*\\z', '', 'g'), '<[^>]+>', ' ', 'g'), '&amp;', '&'), '&lt;', '<'), '&gt;', '>')) AS clean_md5 FROM pages""",
+    "clean_markup": f"""SELECT page_id, md5({CLEAN.format(t="html")}) AS clean_md5 FROM pages""",
     "protected_tokens": """WITH w AS (SELECT doc_id, unnest(regexp_split_to_array(text, '[ \\n]+')) AS w FROM documents), c AS (SELECT doc_id, w, trim(w, ',.;:()[]"''«»') AS core FROM w WHERE w <> '')
         SELECT doc_id, count(*) FILTER (WHERE core <> '' AND (regexp_matches(core, '[0-9]') OR regexp_matches(w, '^[A-ZÅÄÖ][.:][A-Za-zÅÄÖåäö]?$|^[A-ZÅÄÖ][.:]?$')
         OR regexp_matches(core, '^[A-ZÅÄÖ][.:][A-Za-zÅÄÖåäö]?$|^[A-ZÅÄÖ][.:]?$'))) AS n_protected FROM c GROUP BY doc_id""",
-    "monotone_documents": """WITH f AS (SELECT source, doc_id, lower(substring(text, 1, 12)) AS b FROM documents WHERE regexp_matches(text, '^[\\x00-\\x7F]*$')),
-        s AS (SELECT source, b, lag(b) OVER (PARTITION BY source ORDER BY doc_id) AS a FROM f)
+    "monotone_documents": """WITH s AS (SELECT source, b, lag(b) OVER (PARTITION BY source ORDER BY doc_id) AS a FROM (SELECT source, doc_id, replace(lower(text), 'ß', 'ss') AS b FROM documents))
         SELECT source, CAST(round(count(*) FILTER (WHERE a <= b)::DOUBLE / greatest(count(*) - 1, 1) * 1000000) AS BIGINT) AS monotonicity, count(*) AS n_names FROM s GROUP BY source""",
-    "light_forms": """SELECT doc_id, md5(trim(regexp_replace(lower(text), '\\s+', ' ', 'g'))) AS form FROM documents WHERE regexp_matches(text, '^[\\x00-\\x7F]*$')""",
+    "light_forms": """SELECT doc_id, md5(trim(regexp_replace(lower(text), '\\s+', ' ', 'g'))) AS form FROM documents""",
 }

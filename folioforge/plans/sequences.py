@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from folioforge.functions import similarity as S
 from folioforge.functions import text as X
 from folioforge.operators import consensus, geometry, images, models, sampling
-from folioforge.plans.documents import document_lines, hyp_ref, micro, reads, table
+from folioforge.plans.documents import blocks, document_lines, hyp_ref, micro, table
 
 
 def words_of_lineitem(spark, sf):
@@ -24,7 +24,7 @@ def line_clusters(spark, sf):
 
 def matcher_ratios(spark, sf):
     h = hyp_ref(spark, sf)
-    return h.select("doc_id", micro(S.matcher_ratio(F.col("ref"), F.col("hyp"))).alias("ratio"))
+    return h.select("doc_id", "line_no", micro(S.matcher_ratio(F.col("ref"), F.col("hyp"))).alias("ratio"))
 
 
 def compared_forms(spark, sf):
@@ -40,20 +40,20 @@ def corrected_lines(spark, sf):
 
 
 def free_alignment(spark, sf):
-    got = consensus.aligned_lines(reads(spark, sf))
-    return got.groupBy("page").agg(F.count_distinct("slot").alias("slots"), F.count(F.lit(1)).alias("lines"))
+    got = consensus.aligned_lines(blocks(spark, sf))
+    return got.groupBy("page", "region").agg(F.count_distinct("slot").alias("slots"), F.count(F.lit(1)).alias("lines"))
 
 
 def ordered_alignment(spark, sf):
-    got = consensus.aligned_lines(reads(spark, sf), ordered=True)
-    return got.groupBy("page").agg(F.count_distinct("slot").alias("slots"), F.count(F.lit(1)).alias("lines"))
+    got = consensus.aligned_lines(blocks(spark, sf), ordered=True)
+    return got.groupBy("page", "region").agg(F.count_distinct("slot").alias("slots"), F.count(F.lit(1)).alias("lines"))
 
 
 def image_splits(spark, sf):
     """Pages drawn from the numbers of suppliers: a header bar and two columns of bars."""
     import numpy as np
 
-    pages = table(spark, sf, "supplier").where("s_suppkey < 40").select(F.col("s_suppkey").cast("string").alias("page"), F.col("s_suppkey").cast("string").cast("binary").alias("content"))
+    pages = table(spark, sf, "supplier").select(F.col("s_suppkey").cast("string").alias("page"), F.col("s_suppkey").cast("string").cast("binary").alias("content"))
 
     def decode(raw):
         k = int(raw)

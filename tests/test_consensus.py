@@ -62,15 +62,3 @@ def test_regions_and_fusion(spark):
     anchored = {(x["page"], x["line_idx"]): x for x in C.anchored_agreement(reads, "a").collect()}
     assert anchored[1, 0]["n_corrob"] == 2 and anchored[2, 0]["agreement"] is None and set(anchored[1, 1]["sims"]) == {"b", "c"}
     assert C.pick_read(reads).collect()[0]["engine"] in {"a", "b"}
-
-
-@settings(max_examples=300, deadline=None)
-@given(st.text("abcå", max_size=12), st.text("abcå", max_size=12))
-def test_distance(a, b):
-    row = list(range(len(b) + 1))
-    for i, x in enumerate(a, 1):
-        last, row[0] = row[0], i
-        for j, y in enumerate(b, 1):
-            last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
-    assert C._distance(a, b) == row[-1]
-    assert C._ned(a, b) == C._ned(b, a) and 0 <= C._ned(a, b) <= 1 and (C._ned(a, b) == 0) == (a == b)

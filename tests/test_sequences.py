@@ -44,9 +44,9 @@ def test_line_clusters(spark):
 
 
 def test_matcher_ratios(spark):
-    pairs = {r["doc_id"]: (r["ref"], r["hyp"]) for r in documents.hyp_ref(spark, oracle.SF).collect()}
+    pairs = {(r["doc_id"], r["line_no"]): (r["ref"], r["hyp"]) for r in documents.hyp_ref(spark, oracle.SF).collect()}
     for r in run(spark, "matcher_ratios"):
-        assert r["ratio"] == pytest.approx(difflib.SequenceMatcher(None, *pairs[r["doc_id"]]).ratio() * 1e6, abs=1)
+        assert r["ratio"] == pytest.approx(difflib.SequenceMatcher(None, *pairs[r["doc_id"], r["line_no"]]).ratio() * 1e6, abs=1)
 
 
 def test_compared_forms(spark):
@@ -60,9 +60,9 @@ def test_compared_forms(spark):
 @pytest.mark.parametrize("name", ["free_alignment", "ordered_alignment"])
 def test_alignments_keep_all_lines(spark, name):
     lines = collections.Counter()
-    for r in documents.reads(spark, oracle.SF).collect():
-        lines[r["page"]] += len([x for x in r["text"].split("\n") if x.strip()])
-    got = {r["page"]: (r["lines"], r["slots"]) for r in run(spark, name)}
+    for r in documents.blocks(spark, oracle.SF).collect():
+        lines[r["page"], r["region"]] += len([x for x in r["text"].split("\n") if x.strip()])
+    got = {(r["page"], r["region"]): (r["lines"], r["slots"]) for r in run(spark, name)}
     assert {p: n for p, (n, _) in got.items()} == {p: n for p, n in lines.items() if n} and all(s <= n for n, s in got.values())
 
 
