@@ -28,7 +28,7 @@ def buckets(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def encode(*arrays: np.ndarray) -> bytes:
+def encode(*arrays: np.ndarray, level: int = 1) -> bytes:
     """Pack arrays; a leading sorted integer array is kept as differences."""
     import zstandard
 
@@ -38,7 +38,7 @@ def encode(*arrays: np.ndarray) -> bytes:
         planes = a.view(np.uint8).reshape(len(a), a.dtype.itemsize).T if len(a) else np.zeros((a.dtype.itemsize, 0), np.uint8)
         head.append(struct.pack("<2sQ", kind, len(a)))
         body.append(np.ascontiguousarray(planes).tobytes())
-    return zstandard.ZstdCompressor(level=1).compress(b"".join(head + body))
+    return zstandard.ZstdCompressor(level=level).compress(b"".join(head + body))
 
 
 def decode(payload: bytes) -> list[np.ndarray]:

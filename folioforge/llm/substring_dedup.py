@@ -36,11 +36,11 @@ from folioforge.llm.gsaca import suffix_array
 U64, U32, I64 = np.uint64, np.uint32, np.int64
 LENGTH, K = 50, 26
 HOT_DOCS, WIDE, SALTS = 4096, 64, 16
-FLUSH_ANCHORS, FLUSH_BYTES, FLUSH_TEXT = 1_000_000, 5 << 20, 8 << 20
-BATCH = 1 << 20
+FLUSH_ANCHORS, FLUSH_BYTES, FLUSH_TEXT = 1_000_000, 10 << 20, 12 << 20
+BATCH, LEVEL = 1 << 20, 3
 SA_SYMBOLS = 60_000
 #: contexts of a sub-bucket, about; and the sub-buckets of a bucket of anchors while they are counted
-SUB_SIZE, COUNT_SUBS = 120_000, 4
+SUB_SIZE, COUNT_SUBS = 250_000, 4
 PLACE_BITS = 26
 #: bits of an anchor's hash by which it is counted; a clash only makes an anchor a candidate that it need not be
 COUNT_BITS = 48
@@ -192,7 +192,7 @@ def _sealed(at, n: int, subs: int, arrays):
     """Rows of the buckets, of values whose sub-bucket f of all n * subs starts at ``at[f]``; ``arrays(slice)`` is what is sent of it."""
     for b in np.unique(np.flatnonzero(np.diff(at)) // subs).tolist():
         spans = [slice(at[f], at[f + 1]) for f in range(b * subs, (b + 1) * subs)]
-        yield _exchange.rows([(b, _exchange.seal([_exchange.encode(*arrays(x)) if x.start < x.stop else b"" for x in spans]))])
+        yield _exchange.rows([(b, _exchange.seal([_exchange.encode(*arrays(x), level=LEVEL) if x.start < x.stop else b"" for x in spans]))])
 
 
 def _slices(start: np.ndarray, length: np.ndarray) -> np.ndarray:
