@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import os
 import tempfile
 import uuid
@@ -15,11 +16,14 @@ _MADE: list[str] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """A new folder name under the session's checkpoint folder; one of our own only where none is set."""
+    """A new folder name under the session's checkpoint folder. Where none is set, a session on this machine alone gets one of
+    its own; on a cluster that is an error, as its machines share no temporary folder."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext._conf.get("spark.checkpoint.dir")
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = "file://" + os.path.join(tempfile.gettempdir(), "folioforge-shared")
     _MADE.append(f"{root.rstrip('/')}/folioforge-{uuid.uuid4().hex}")
     return _MADE[-1]
@@ -73,7 +77,8 @@ def put(uri: str, array: np.ndarray) -> None:
 
 
 def mapped(uri: str, dtype) -> np.ndarray:
-    """The array of ``uri``, memory-mapped. A file of another kind of store is copied once for each worker first."""
+    """The array of ``uri``, memory-mapped. A file of another kind of store is copied once for each machine first; a copy that is
+    lost with its machine is made again."""
     path = _plain(uri)
     if path is None:
         path = _LOCAL.get(uri)
@@ -81,10 +86,13 @@ def mapped(uri: str, dtype) -> np.ndarray:
             from pyarrow import fs
 
             where, name = fs.FileSystem.from_uri(uri)
-            handle, path = tempfile.mkstemp(prefix="folioforge-")
-            with os.fdopen(handle, "wb") as out, where.open_input_stream(name) as f:
-                while chunk := f.read(1 << 24):
-                    out.write(chunk)
+            path = os.path.join(tempfile.gettempdir(), f"folioforge-{hashlib.sha256(uri.encode()).hexdigest()[:32]}")
+            if not os.path.exists(path):
+                part = f"{path}.{uuid.uuid4().hex}"
+                with open(part, "wb") as out, where.open_input_stream(name) as f:
+                    while chunk := f.read(1 << 24):
+                        out.write(chunk)
+                os.replace(part, path)
             _LOCAL[uri] = path
     if os.path.getsize(path) == 0:
         return np.zeros(0, dtype=dtype)
