@@ -63,6 +63,8 @@ class Vocabulary:
     def __init__(self, folder: str, sizes: list[int]):
         self.folder, self.sizes = folder, sizes
         self.offset = np.concatenate(([0], np.cumsum(sizes))).astype(np.int64)
+        if self.offset[-1] > int(BEGIN):
+            raise ValueError(f"{self.offset[-1]} distinct words: a word's number has 32 bits, two of which numbers are taken")
         self.with_pairs: set[int] = set()  # buckets to which some pair belongs
         self._maps: dict = {}
 
@@ -142,8 +144,8 @@ class Model:
         number = voc.numbers(distinct)
         known = number != UNKNOWN
         count, cont = np.zeros(len(distinct), np.int64), np.zeros(len(distinct), np.int64)
-        count[known] = voc.gather("count", U32, number[known])
-        cont[known] = voc.gather("cont", U32, number[known])
+        count[known] = voc.gather("count", U64, number[known])
+        cont[known] = voc.gather("cont", U64, number[known])
         base = np.log10((count + 0.5) / (self.n + 0.5 * (self.v + 1)))
         p1 = self.unigram(cont)
         total, gamma = np.zeros(len(distinct)), np.ones(len(distinct))
@@ -182,7 +184,7 @@ class Model:
             lo, hi = places[b], places[b + 1]
             if lo == hi:
                 continue
-            stats = voc.array("context", b, U32).reshape(-1, 4)
+            stats = voc.array("context", b, U64).reshape(-1, 4)
             if not len(stats):
                 continue
             stats = stats[(known[lo:hi] - U64(voc.offset[b])).astype(np.int64)].astype(np.float64)
@@ -250,7 +252,7 @@ def fit(train: DataFrame, id_col: str, text_col: str) -> Model:
             for b in range(n):
                 if at[b] < at[b + 1]:
                     own = slice(at[b], at[b + 1])
-                    yield _exchange.rows([(b, _exchange.encode(_exchange.deltas(keys[own]), counts[own].astype(U32)))])
+                    yield _exchange.rows([(b, _exchange.encode(_exchange.deltas(keys[own]), counts[own].astype(U64)))])
 
         for _, texts in _exchange.in_batches(it):
             h, _ = tokens(texts)
@@ -266,7 +268,7 @@ def fit(train: DataFrame, id_col: str, text_col: str) -> Model:
         parts = [_exchange.decode(p) for p in payloads]
         keys, counts = _sum_by(np.concatenate([np.cumsum(p[0], dtype=U64) for p in parts]), np.concatenate([p[1].astype(np.int64) for p in parts]))
         _store.put(f"{folder}/word-{bucket}", keys)
-        _store.put(f"{folder}/count-{bucket}", np.minimum(counts, 0xFFFFFFFF).astype(U32))
+        _store.put(f"{folder}/count-{bucket}", counts.astype(U64))
         total = int(counts.sum())
         top = np.argsort(-counts, kind="stable")[:HOT]
         # at most HOT words of a bucket can be hot, whatever the other buckets hold; few are, so few are sent
@@ -301,7 +303,7 @@ def fit(train: DataFrame, id_col: str, text_col: str) -> Model:
                     own = pairs[order[at[b] : at[b + 1]]]
                     c = counts[order[at[b] : at[b + 1]]]
                     first, second = (own >> U64(32)).astype(U32), own.astype(U32)
-                    yield _exchange.rows([(b, _exchange.encode(_exchange.deltas(first), second, c.astype(U32)))])
+                    yield _exchange.rows([(b, _exchange.encode(_exchange.deltas(first), second, c.astype(U64)))])
 
         for _, texts in _exchange.in_batches(it):
             h, first = tokens(texts)
@@ -331,15 +333,15 @@ def fit(train: DataFrame, id_col: str, text_col: str) -> Model:
         stats = np.stack([np.add.reduceat(x, at) for x in (counts, few == 1, few == 2, few == 3)], axis=1).astype(np.int64)
         heads = u[at]
         spread = np.isin(heads, hot)
-        context = np.zeros((sizes[bucket], 4), dtype=U32)
+        context = np.zeros((sizes[bucket], 4), dtype=U64)
         own = ~spread
-        context[(heads[own] - U64(vocabulary.offset[bucket])).astype(np.int64)] = np.minimum(stats[own], 0xFFFFFFFF)
+        context[(heads[own] - U64(vocabulary.offset[bucket])).astype(np.int64)] = stats[own]
         _store.put(f"{folder}/context-{bucket}", context)
         second, preds = np.unique(pairs & U64(0xFFFFFFFF), return_counts=True)
         to = vocabulary.bucket(second)
         places = np.searchsorted(to, np.arange(n + 1))
         out = [
-            (b, _exchange.encode(_exchange.deltas(second[places[b] : places[b + 1]].astype(U32)), preds[places[b] : places[b + 1]].astype(U32)))
+            (b, _exchange.encode(_exchange.deltas(second[places[b] : places[b + 1]].astype(U32)), preds[places[b] : places[b + 1]].astype(U64)))
             for b in range(n)
             if places[b] < places[b + 1]
         ]
@@ -360,19 +362,22 @@ def fit(train: DataFrame, id_col: str, text_col: str) -> Model:
         folder, "continuations",
     )
     bi, hot_stats = np.zeros(6, dtype=np.int64), {}
-    for r in pairs.where("bucket < 0").select("of_counts", "hot").collect():
+    for r in pairs.where("bucket < 0").select("of_counts").collect():
         *counts, source = r["of_counts"]
         bi += np.array(counts, dtype=np.int64)
         vocabulary.with_pairs.add(source)
-        for x in np.array(r["hot"], dtype=np.int64).reshape(-1, 5):
-            hot_stats[int(x[0])] = hot_stats.get(int(x[0]), np.zeros(4, dtype=np.int64)) + x[1:]
+    # the statistics of a hot word's pairs lie in many buckets; their sums are at most HOT + 1 rows
+    fives = F.transform(F.sequence(F.lit(0), F.size("hot") - 5, F.lit(5)), lambda k: F.slice("hot", k + 1, 5))
+    each = pairs.where((F.col("bucket") < 0) & (F.size("hot") > 0)).select(F.explode(fives).alias("h"))
+    for r in each.groupBy(F.col("h")[0].alias("word")).agg(*[F.sum(F.col("h")[k]) for k in range(1, 5)]).collect():
+        hot_stats[r["word"]] = np.array(r[1:], dtype=np.int64)
 
     def write_continuations(bucket, payloads):
         cont = np.zeros(sizes[bucket], dtype=np.int64)
         for p in payloads:
             second, preds = _exchange.decode(p)
             cont[(np.cumsum(second, dtype=U32).astype(np.int64) - vocabulary.offset[bucket])] += preds.astype(np.int64)
-        _store.put(f"{folder}/cont-{bucket}", np.minimum(cont, 0xFFFFFFFF).astype(U32))
+        _store.put(f"{folder}/cont-{bucket}", cont.astype(U64))
         return pa.table({"of_counts": [_of_counts(cont).tolist()]}, schema=pa.schema([("of_counts", pa.list_(pa.int64()))]))
 
     uni = np.zeros(6, dtype=np.int64)
