@@ -3,7 +3,8 @@
 A document is the set of its distinct five-word shingles. All shingles have one global order: shingles of few
 documents first. Steps:
 
-1. Equal sets are one class (digest of the set); all that follows works on classes.
+1. Equal sets are one class (a 64-bit digest of the set); all that follows works on classes. A second digest, of other bits, is
+   compared within each class; should two sets ever share the first one, all is done again with another seed.
 2. Shingle hashes are exchanged by hash; each bucket keeps the shingles of two classes or more, with the number
    of classes. A class's other shingles count only for its size. Shingles that one map task
    finds in ``HOT`` or more classes are added up there and kept at once, so a passage that a third of all
@@ -11,8 +12,9 @@ documents first. Steps:
 3. In the global order a class's own shingles come first. Two classes that link share a shingle of their prefixes (the
    first n - ceil(t n) + 1 shingles). Classes whose prefix holds own shingles only have no partner and go.
 4. The classes that share a prefix shingle form a bucket. Round one pairs each member with the bucket's hub (its
-   least member), which is linear; the global order is cut into fragments, each fragment counts the overlap
-   of its part of a pair's sets, and the parts are summed for each pair (a join and a sum).
+   least member), which is linear; the global order is cut into fragments (at the numbers of classes
+   ``CUTS``, by which it is ordered first), each fragment counts the overlap of its part of a pair's sets, and the parts are
+   summed for each pair (a join and a sum).
 5. Components of the links so far; further rounds pair more hubs of a bucket with the members that are still in other
    components and that bounds leave possible (sizes, own shingles, bitmaps of the sets), and the last round pairs every member so.
    So a group of copies is not expanded into all its pairs, and every link between different components is found.
@@ -34,11 +36,13 @@ from folioforge.llm import _arrow, _exchange, _store, _words
 from folioforge.llm.components import components
 
 U64, U32, I64 = np.uint64, np.uint32, np.int64
-SIZE, PERCENT, HOT, FRAGMENTS = 5, 75, 64, 4
+SIZE, PERCENT, HOT = 5, 75, 64
+#: where the global order is cut: a fragment holds the shingles of up to so many classes that the one before does not
+CUTS = (2, 4, 16)
 #: members of a bucket that are compared with the rest of it, in rounds after the first; None: every member
 HUBS = (8, None)
-#: members of a bucket that one group of round two and later takes, besides those outside its main component
-SPLIT = 16384
+#: members of a bucket's main component, and as many others, that one group of round two and later takes
+SPLIT = 512
 #: bits of the bitmap by which pairs are ruled out
 BITS = 2048
 FLUSH = 1_200_000
@@ -60,33 +64,35 @@ def shingles(texts: list, size: int = SIZE) -> list[np.ndarray]:
     return out
 
 
-def digest(s: np.ndarray) -> int:
+def digest(s: np.ndarray, seed: int = 0) -> int:
     """Signed 64-bit digest of a set of hashes, 0 for the empty set."""
     if not len(s):
         return 0
-    x = _words.mix(s)
     with np.errstate(over="ignore"):
+        x = _words.mix(s + U64(seed) * _words._ODD)
         d = _words.mix(np.array([x.sum() ^ (U64(len(s)) * _words._ODD)], dtype=U64))[0] ^ np.bitwise_xor.reduce(_words.mix(x + U64(7)))
     return int(np.array([d], dtype=U64).view(I64)[0]) or 1
 
 
-MEMBER = T.StructType([T.StructField("n_shingles", T.LongType()), T.StructField("cls", T.LongType())])
+#: seed of the second digest
+OTHER = 1 << 32
+MEMBER = T.StructType([T.StructField("n_shingles", T.LongType()), T.StructField("cls", T.LongType()), T.StructField("cls_check", T.LongType())])
 
 
-def members(docs: DataFrame, text_col: str, size: int = SIZE, drop_text: bool = True) -> DataFrame:
-    """``docs`` with n_shingles and the class of its set."""
+def members(docs: DataFrame, text_col: str, size: int = SIZE, drop_text: bool = True, seed: int = 0) -> DataFrame:
+    """``docs`` with n_shingles, the class of its set and the digest that checks it."""
 
     def make():
         def fn(texts):
             sets = shingles(texts, size)
-            return {"n_shingles": [len(s) for s in sets], "cls": [digest(s) for s in sets]}
+            return {"n_shingles": [len(s) for s in sets], "cls": [digest(s, seed) for s in sets], "cls_check": [digest(s, OTHER) for s in sets]}
 
         return fn
 
     return _arrow.map_texts(docs, text_col, MEMBER, make, drop_text)
 
 
-def _shared(docs: DataFrame, size: int) -> DataFrame:
+def _shared(docs: DataFrame, size: int, seed: int) -> DataFrame:
     """(bucket, payload) by class: the shared shingles of each class with the number of classes that hold them."""
     n = _exchange.buckets(docs.sparkSession)
 
@@ -131,7 +137,7 @@ def _shared(docs: DataFrame, size: int) -> DataFrame:
 
         for _, texts in _exchange.in_batches(it, limit=1 << 20):
             for s in shingles(texts, size):
-                if len(s) and (d := digest(s)) not in seen:
+                if len(s) and (d := digest(s, seed)) not in seen:
                     seen.add(d)
                     held.append((d, s))
                     total += len(s)
@@ -208,6 +214,7 @@ def _survivors(shared: DataFrame, percent: int) -> DataFrame:
         keep = np.ones(len(h), dtype=bool)
         keep[1:] = (cls[1:] != cls[:-1]) | (h[1:] != h[:-1])  # tasks that held copies of one class each sent hot shingles
         cls, h = cls[keep], h[keep]
+        fragment = np.searchsorted(np.array(CUTS), df[keep])
         at = np.append(_exchange.firsts(cls), len(cls))
         for lo, hi in zip(at[:-1].tolist(), at[1:].tolist(), strict=True):
             c, n, own = int(cls[lo]), size_of[int(cls[lo])], hi - lo
@@ -215,13 +222,13 @@ def _survivors(shared: DataFrame, percent: int) -> DataFrame:
             if take <= 0 or own * 100 < percent * n:
                 continue
             s = h[lo:hi]
-            part = (s >> U64(62)).astype(I64)
+            part = fragment[lo:hi]
             rows["cls"].append(c)
             rows["n"].append(n)
             rows["shared"].append(own)
             rows["prefix"].append(s[:take].view(I64))
             rows["bits"].append(bitmap(s))
-            rows["parts"].append([np.sort(s[part == f].view(I64)) for f in range(FRAGMENTS)])
+            rows["parts"].append([np.sort(s[part == f].view(I64)) for f in range(len(CUTS) + 1)])
         return pa.table(rows, schema=kinds)
 
     return _exchange.gather(shared, SURVIVOR, classes)
@@ -263,12 +270,19 @@ def _cross_pairs(sets: DataFrame, comp: DataFrame, percent: int, hubs: int | Non
     # only buckets of two components or more matter; of each, the component with most members
     sizes = labelled.groupBy("h", "comp").agg(F.count(F.lit(1)).alias("k"))
     mixed = sizes.groupBy("h").agg(F.sum("k").alias("total"), F.count(F.lit(1)).alias("comps"), F.max(F.struct("k", "comp")).alias("top"))
+    rest = F.col("total") - F.col("top.k")
     mixed = mixed.where("comps > 1").select(
-        F.col("h").bitwiseXOR(F.lit(0)).alias("hh"), F.ceil(F.col("total") / SPLIT).cast("int").alias("parts"), F.col("top.comp").alias("main")
+        F.col("h").bitwiseXOR(F.lit(0)).alias("hh"), "total", F.col("top.comp").alias("main"),
+        F.ceil(F.col("top.k") / SPLIT).cast("int").alias("pm"), F.ceil(rest / SPLIT).cast("int").alias("po"),
     )
     entry = labelled.join(mixed, F.col("h") == F.col("hh"))
-    # a large bucket is split: members of its main component are dealt out, all others meet each part
-    part = F.when(F.col("comp") == F.col("main"), F.array(F.pmod(F.xxhash64("cls"), F.col("parts")).cast("int"))).otherwise(F.sequence(F.lit(0), F.col("parts") - 1))
+    # a large bucket is split both ways: each part of the main component meets each part of the others, and these meet each other,
+    # so a group has at most twice SPLIT members whatever a bucket is made of
+    pm, po, mine = F.col("pm"), F.col("po"), lambda n: F.pmod(F.xxhash64("cls"), n).cast("int")
+    upto = lambda n: F.sequence(F.lit(0), n - 1)
+    main = F.transform(upto(po), lambda j: mine(pm) * po + j)
+    other = F.concat(F.transform(upto(pm), lambda i: i * po + mine(po)), F.transform(upto(po), lambda j: pm * po + F.least(mine(po), j) * po + F.greatest(mine(po), j)))
+    part = F.when(F.col("total") <= 2 * SPLIT, F.array(F.lit(0))).when(F.col("comp") == F.col("main"), main).otherwise(other)
     dealt = entry.select(F.explode(part).alias("part"), "h", "cls", "n", "shared", "comp", "bits")
     dealt = dealt.select(F.xxhash64("h", "part").alias("h"), "cls", "n", "shared", "comp", "bits").withColumn("bucket", F.pmod(F.xxhash64("h"), F.lit(n)))
     kinds = pa.schema([("a", pa.int64()), ("b", pa.int64())])
@@ -312,12 +326,12 @@ def _cross_pairs(sets: DataFrame, comp: DataFrame, percent: int, hubs: int | Non
     return dealt.groupBy("bucket").applyInArrow(pairs, "a long, b long").distinct()
 
 
-def class_components(docs: DataFrame, text_col: str = "text", size: int = SIZE, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
+def class_components(docs: DataFrame, text_col: str = "text", size: int = SIZE, percent: int = PERCENT, seed: int = 0) -> tuple[DataFrame, DataFrame]:
     """(node, component) of the classes that link with others, and the links found (a, b)."""
     spark = docs.sparkSession
     folder = _store.shared_dir(spark)
     src = docs.select(F.lit(0).alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
-    sets = _store.written(_survivors(_shared(src, size), percent), folder, "sets")
+    sets = _store.written(_survivors(_shared(src, size, seed), percent), folder, "sets")
     fits = (F.col("na") * 100 >= F.col("nb") * percent) & (F.col("nb") * 100 >= F.col("na") * percent)
     hubs = _hub_pairs(sets).where(fits).select("a", "b").distinct()
     links = _store.written(_overlaps(hubs, sets, percent), folder, "links-1")
@@ -352,14 +366,20 @@ def ngram_join(
     """``docs`` with n_shingles, cls (class of the shingle set) and component_id (least id that links reach)."""
     made = ["component_id", "least_id", "c"]
     src = docs.select(*[F.col(f"`{c}`") for c in _arrow.free_of(docs, made, keep=[id_col, text_col])])
-    comp, _ = class_components(src, text_col, size, percent)
-    slim = members(src.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text")), "text", size)
-    labels = _labels(slim, comp, "id")
-    got = members(src, text_col, size, drop_text)
+    folder, seed = _store.shared_dir(docs.sparkSession), 0
+    while True:
+        known = _store.written(members(src, text_col, size, seed=seed), folder, f"members-{seed}")
+        checks = known.groupBy("cls").agg(F.min("cls_check").alias("low"), F.max("cls_check").alias("high"))
+        if checks.where("low <> high").isEmpty():
+            break
+        seed += 1
+    comp, _ = class_components(src, text_col, size, percent, seed)
+    labels = _labels(known.select(F.col(f"`{id_col}`").alias("id"), "cls"), comp, "id")
+    got = known if drop_text else members(src, text_col, size, False, seed)
     return (
         got.join(labels, F.col("cls") == F.col("c"), "left")
         .withColumn("component_id", F.coalesce("least_id", F.col(f"`{id_col}`")))
-        .drop("c", "least_id")
+        .drop("c", "least_id", "cls_check")
     )
 
 
