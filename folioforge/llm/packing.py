@@ -98,9 +98,10 @@ class Bins:
 def tokenizer(path: str):
     """Function from texts to arrays of ids. ``path``: a tokenizers JSON file.
 
-    Where the ranks of the same vocabulary lie beside it (``.tiktoken``), texts of plain Latin letters go the
-    faster way of tiktoken, which gives the same ids; any other text goes to tokenizers itself, as the two
-    libraries' Unicode tables may differ in rarer scripts.
+    Ids are those of tokenizers with its own settings, so the vocabulary's special tokens are found in texts. Where the ranks
+    of the same vocabulary lie beside it (``.tiktoken``), texts of plain Latin letters without special tokens go the faster way of
+    tiktoken, which gives the same ids; any other text goes to tokenizers itself, as the two libraries' Unicode tables may
+    differ in rarer scripts.
     """
     import base64
     import os
@@ -110,7 +111,6 @@ def tokenizer(path: str):
 
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     exact = Tokenizer.from_file(path)
-    exact.encode_special_tokens = True
     ranks_path = path.removesuffix(".json") + ".tiktoken"
     if not os.path.exists(ranks_path):
         return lambda texts: [np.asarray(e.ids, dtype="<u4") for e in exact.encode_batch(texts, add_special_tokens=False)]
@@ -120,7 +120,8 @@ def tokenizer(path: str):
     with open(ranks_path, "rb") as f:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
     fast = tiktoken.Encoding("fast", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-    other = re.compile("[^\x00-ɏ‐-‧€]")
+    added = [re.escape(t.content) for t in exact.get_added_tokens_decoder().values()]
+    other = re.compile("|".join(["[^\x00-ɏ‐-‧€]", *added]))
 
     def encode(texts):
         out = []
