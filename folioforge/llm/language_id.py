@@ -35,7 +35,7 @@ _LETTER: list = []
 
 def _letters() -> np.ndarray:
     if not _LETTER:
-        _LETTER.append(np.array([chr(c).isalpha() for c in range(0x30000)]))
+        _LETTER.append(np.array([chr(c).isalpha() for c in range(0x110000)]))
     return _LETTER[0]
 
 
@@ -46,7 +46,7 @@ def features(texts: list, bits: int = BITS) -> tuple[list[np.ndarray], list[np.n
     size = np.array([len(j) for j in joined], dtype=np.int64)
     starts = np.concatenate(([0], np.cumsum(size)))
     table = _letters()
-    letter = np.take(table, np.minimum(code, len(table) - 1))
+    letter = np.take(table, code)
     total = np.concatenate(([0], np.cumsum(letter)))
     n_letters = total[starts[1:]] - total[starts[:-1]]
     code = np.where(letter, code, np.uint32(32))
