@@ -2,9 +2,10 @@
 
 Every text is scanned for credential assignments, access keys and long hex runs (the base kinds) and
 for other tokens that look random (kind ``token``). The hash of each such token is counted over distinct
-repositories and distinct owners of the whole corpus: a value that several owners hold is a copied
-example, a value that stays with its owners looks live, and only the latter become spans. Base spans
-always stay; the ownership counts of the base values are given beside them.
+repositories and distinct owners of the whole corpus: a value that several owners or many repositories hold is a copied
+example, a value that stays with its owner in few repositories looks live, and only the latter become spans. Base spans
+always stay; the ownership counts of the base values are given beside them. The texts are scanned once: what was found is a
+table in the shared folder, from which the counts and the verdicts are made.
 
 Skew: owners and repositories of a value are counted after a partial aggregation by (value, owner,
 repository), so a value that a third of the corpus holds is no single task's work.
@@ -18,6 +19,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from folioforge.llm import _store
+
 # The kinds in their order, with the pattern and the least length of each.
 ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 ACCESS = r"AKIA[A-Z0-9]+"
@@ -26,26 +29,35 @@ TOKEN = r"[A-Za-z0-9_-]{24,}"
 KINDS = ("assign", "access", "hex", "token")
 
 
+#: matches whose places are added up together
+RUN = 256
+
+
 def _matches(text: Column, pattern: str) -> Column:
     """array<struct<start, end, value>> of the leftmost non-overlapping matches, in code points.
 
     The gaps between matches (split) and the matches (regexp_extract_all) alternate, so running sums
-    of their lengths give the places. Matches are never empty.
+    of their lengths give the places. Sums are made in runs of ``RUN`` matches and then over the runs, as an array that grows by
+    one match at a time is copied each time. Matches are never empty.
     """
+    kind = "array<struct<start:int,end:int,value:string>>"
     gaps, hits = F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    step = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int,value:string>>").alias("out"))
     pairs = F.arrays_zip(F.slice(gaps, 1, F.size(hits)).alias("gap"), hits.alias("hit"))
+    runs = F.transform(F.sequence(F.lit(0), F.floor((F.size(hits) - 1) / RUN).cast("int")), lambda k: F.slice(pairs, k * RUN + 1, RUN))
 
     def add(acc, x):
         start = acc["at"] + F.char_length(x["gap"])
         end = start + F.char_length(x["hit"])
-        return F.struct(
-            end.alias("at"),
-            F.concat(acc["out"], F.array(F.struct(start.alias("start"), end.alias("end"), x["hit"].alias("value")))).alias("out"),
-        )
+        return F.struct(end.alias("at"), F.concat(acc["out"], F.array(F.struct(start.alias("start"), end.alias("end"), x["hit"].alias("value")))).alias("out"))
+
+    def shift(acc, run):
+        there = F.transform(run["out"], lambda m: F.struct((m["start"] + acc["at"]).alias("start"), (m["end"] + acc["at"]).alias("end"), m["value"].alias("value")))
+        return F.struct((acc["at"] + run["at"]).alias("at"), F.concat(acc["out"], F.array(there)).alias("out"))
 
-    empty = F.array().cast("array<struct<start:int,end:int,value:string>>")
-    return F.when(F.regexp_like(text, F.lit(pattern)), F.aggregate(pairs, step, add, lambda a: a["out"])).otherwise(empty)
+    local = F.transform(runs, lambda r: F.aggregate(r, F.struct(F.lit(0).alias("at"), F.array().cast(kind).alias("out")), add))
+    start = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{kind}>").alias("out"))
+    placed = F.aggregate(local, start, shift, lambda a: F.flatten(a["out"]))
+    return F.when(F.regexp_like(text, F.lit(pattern)), placed).otherwise(F.array().cast(kind))
 
 
 def _tail(value: Column) -> Column:
@@ -53,14 +65,10 @@ def _tail(value: Column) -> Column:
 
 
 def _random_looking(v: Column) -> Column:
-    """Digits, small and capital letters mixed, and no dictionary-like run of letters."""
+    """Digits, small and capital letters mixed (or a key of 32 or more hexadecimal digits), and no dictionary-like run of letters."""
     digits = F.char_length(F.regexp_replace(v, "[^0-9]", ""))
-    return (
-        (digits >= 3)
-        & F.regexp_like(v, F.lit("[a-z]"))
-        & F.regexp_like(v, F.lit("[A-Z]"))
-        & ~F.regexp_like(v, F.lit("[A-Za-z]{13,}"))
-    )
+    mixed = F.regexp_like(v, F.lit("[a-z]")) & F.regexp_like(v, F.lit("[A-Z]"))
+    return (digits >= 3) & (mixed | F.regexp_like(v, F.lit("^[0-9A-F]{32,}$"))) & ~F.regexp_like(v, F.lit("[A-Za-z]{13,}"))
 
 
 def scan(text: Column) -> dict[str, Column]:
@@ -81,11 +89,13 @@ def secret_scan(
     repo_col: str = "doc_id",
     owner_col: str = "source",
     max_owners: int = 1,
+    max_repos: int = 8,
 ) -> DataFrame:
     """``docs`` with column ``secrets``: array<struct<kind, start, end, hash, n_repos, n_owners, live>>, by place.
 
-    ``token`` candidates that overlap a base span or that more than ``max_owners`` owners hold are left out.
-    ``live``: at most ``max_owners`` owners hold the value.
+    ``token`` candidates that overlap a base span or are not live are left out. ``live``: at most ``max_owners`` owners and
+    ``max_repos`` repositories hold the value. ``repo_col`` and ``owner_col`` are the table's columns of both; where it has no
+    repositories, a document counts as one.
     """
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
     made = scan(text)
@@ -120,6 +130,7 @@ def secret_scan(
         .select("k1", "k2", "repo", "owner", F.explode(F.concat(F.col("base"), outside)).alias("s"))
         .select("k1", "k2", "repo", "owner", "s.*")
     )
+    found = _store.written(found, _store.shared_dir(docs.sparkSession), "found")
     # distinct (value, owner, repository) first, then counts: partial sums at every step
     once = found.groupBy("h1", "h2", "owner", "repo").agg(F.lit(1).alias("one"))
     per_owner = once.groupBy("h1", "h2", "owner").agg(F.count("one").alias("repos"))
@@ -128,19 +139,20 @@ def secret_scan(
         .agg(F.sum("repos").alias("n_repos"), F.count(F.lit(1)).alias("n_owners"))
         .select(F.col("h1").alias("v1"), F.col("h2").alias("v2"), "n_repos", "n_owners")
     )
+    live = (F.col("n_owners") <= max_owners) & (F.col("n_repos") <= max_repos)
     kind = F.element_at(F.array(*[F.lit(k) for k in KINDS]), F.col("ord") + 1)
     judged = (
         found.select("k1", "k2", "ord", "start", "end", "h1", "h2")
         .distinct()
         .join(counted, (F.col("h1") == F.col("v1")) & (F.col("h2") == F.col("v2")))
-        .where((F.col("ord") < KINDS.index("token")) | (F.col("n_owners") <= max_owners))
+        .where((F.col("ord") < KINDS.index("token")) | live)
         .groupBy("k1", "k2")
         .agg(
             F.array_sort(
                 F.collect_list(
                     F.struct(
                         "start", "ord", "end", kind.alias("kind"), F.hex("h1").alias("hash"), "n_repos", "n_owners",
-                        (F.col("n_owners") <= max_owners).alias("live"),
+                        live.alias("live"),
                     )
                 )
             ).alias("secrets")
