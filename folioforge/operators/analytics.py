@@ -22,12 +22,18 @@ def best_paid(df: DataFrame, group: str, value: str, top: int = 10, minimum: int
 
 
 def distribution(df: DataFrame, value: str, exact: bool = True) -> DataFrame:
-    """Coverage, mean, least, largest, and percentiles; ``exact=False`` for sketches with bounded memory."""
-    p = [F.percentile(value, F.lit(q / 100)) if exact else F.percentile_approx(value, q / 100, 100_000) for q in PERCENTILES]
-    return df.agg(
-        F.avg(F.col(value).isNotNull().cast("int")).alias("coverage"), F.avg(value).alias("mean"), F.min(value).alias("least"), F.max(value).alias("most"),
-        *[c.alias(f"p{q}") for c, q in zip(p, PERCENTILES, strict=True)],
-    )
+    """Coverage, mean, least, largest, and percentiles, all of one aggregate. Exact ones hold a count for each distinct value;
+    ``exact=False`` for sketches with bounded memory."""
+    shares_ = [q / 100 for q in PERCENTILES]
+    p = F.percentile(value, F.array(*map(F.lit, shares_))) if exact else F.percentile_approx(value, shares_, 100_000)
+    got = df.agg(F.avg(F.col(value).isNotNull().cast("int")).alias("coverage"), F.avg(value).alias("mean"), F.min(value).alias("least"), F.max(value).alias("most"), p.alias("_p"))
+    return got.select("coverage", "mean", "least", "most", *[F.get("_p", F.lit(k)).alias(f"p{q}") for k, q in enumerate(PERCENTILES)])
+
+
+def median_ratios(df: DataFrame, value: str, name: str = "ratio", exact: bool = True) -> DataFrame:
+    """``df`` with each value over the median of all; null where there is no value or the median is 0."""
+    middle = df.agg((F.percentile(value, F.lit(0.5)) if exact else F.percentile_approx(value, 0.5, 100_000)).alias("_median"))
+    return df.crossJoin(F.broadcast(middle)).withColumn(name, F.try_divide(F.col(value), F.col("_median"))).drop("_median")  # one row
 
 
 def shares(df: DataFrame, label: Column, name: str = "class") -> DataFrame:

@@ -54,6 +54,7 @@ def image_splits(spark, sf):
     import numpy as np
 
     pages = table(spark, sf, "supplier").select(F.col("s_suppkey").cast("string").alias("page"), F.col("s_suppkey").cast("string").cast("binary").alias("content"))
+    pages = pages.repartition("page")  # a small file is one partition, and a page takes a tenth of a second
 
     def decode(raw):
         k = int(raw)

@@ -36,8 +36,7 @@ FROM customer"""
 
 
 def directory(spark, sf):
-    table(spark, sf, "customer").createOrReplaceTempView("_directory_customer")
-    return spark.sql(DIRECTORY.replace("c_custkey // 40", "c_custkey div 40").replace("FROM customer", "FROM _directory_customer"))
+    return spark.sql(DIRECTORY.replace("c_custkey // 40", "c_custkey div 40").replace("FROM customer", "FROM {customer}"), customer=table(spark, sf, "customer"))
 
 
 def directory_records(spark, sf):
@@ -80,15 +79,17 @@ SELECT o_orderkey // 40 AS page, o_orderkey AS line_no, CASE o_orderkey % 5
 FROM orders"""
 
 
+def bump_lines(spark, sf):
+    return spark.sql(BUMPS.replace("o_orderkey // 40", "o_orderkey div 40").replace("FROM orders", "FROM {orders}"), orders=table(spark, sf, "orders"))
+
+
 def line_merge(spark, sf):
-    table(spark, sf, "orders").createOrReplaceTempView("_bump_orders")
-    lines = spark.sql(BUMPS.replace("o_orderkey // 40", "o_orderkey div 40").replace("FROM orders", "FROM _bump_orders"))
+    lines = bump_lines(spark, sf)
     return records.merge_lines_1936(lines, keys=("page",)).select("page", "line_no", "text")
 
 
 def bump_merge_1912(spark, sf):
-    table(spark, sf, "orders").createOrReplaceTempView("_bump_orders")
-    lines = spark.sql(BUMPS.replace("o_orderkey // 40", "o_orderkey div 40").replace("FROM orders", "FROM _bump_orders"))
+    lines = bump_lines(spark, sf)
     cols = lines.groupBy("page").agg(F.transform(F.array_sort(F.collect_list(F.struct("line_no", "text"))), lambda x: x["text"]).alias("l"))
     return cols.select("page", F.posexplode(records.merge_bumps_1912(F.col("l"))).alias("line", "text"))
 
@@ -117,26 +118,26 @@ def column_sides(spark, sf):
 
 def interval_overlap(spark, sf):
     """Lines of a page with the largest font among spans that overlap them in height."""
-    words = _words(spark, sf).where("page < 40")
+    words = _words(spark, sf)
     lines = words.select("page", "l_orderkey", "l_linenumber", F.col("x0").alias("y0"), F.col("x1").alias("y1"))
     spans = words.where("l_linenumber = 1").select("page", (F.col("x0") + 2).alias("y0"), (F.col("x0") + 3).alias("y1"), (F.col("l_orderkey") % 17 + 1).cast("double").alias("size"))
     return geometry.line_sizes(lines, spans, ["page"]).select("page", "l_orderkey", "l_linenumber", F.col("max_size").cast("long").alias("max_size"))
 
 
 def region_assign(spark, sf):
-    o = table(spark, sf, "orders").where("o_orderkey % 10 = 0")
-    page = F.expr("o_custkey % 50")
+    o = table(spark, sf, "orders")
+    page = F.expr("o_custkey div 8")
     lines = o.select(page.alias("page"), F.col("o_orderkey").alias("line_id"), (F.col("o_orderkey") % 97).cast("double").alias("cx"), (F.col("o_custkey") % 89).cast("double").alias("cy"))
-    p = table(spark, sf, "part").where("p_partkey <= 150")
+    p = table(spark, sf, "part")
     regions = p.select(
-        (F.col("p_partkey") % 50).alias("page"), F.col("p_partkey").alias("position"), F.col("p_brand").alias("label"), (F.col("p_partkey") % 40).cast("double").alias("x0"),
+        F.expr("p_partkey div 8").alias("page"), F.col("p_partkey").alias("position"), F.col("p_brand").alias("label"), (F.col("p_partkey") % 40).cast("double").alias("x0"),
         (F.col("p_partkey") % 30).cast("double").alias("y0"), (F.col("p_partkey") % 40 + 50).cast("double").alias("x1"), (F.col("p_partkey") % 30 + 40 + F.col("p_partkey") % 3).cast("double").alias("y1"),
     )
     return geometry.assign_regions(lines, regions, ["page"]).select("page", "line_id", "region_position")
 
 
 def layout_order(spark, sf):
-    words = _words(spark, sf).where("page < 30").withColumn("region_position", F.when(F.col("l_linenumber") < 3, F.col("l_linenumber")))
+    words = _words(spark, sf).withColumn("region_position", F.when(F.col("l_linenumber") < 3, F.col("l_linenumber")))
     got = geometry.layout_order(words.withColumn("y0", (F.col("l_orderkey") % 13 * 3).cast("double")).withColumn("x0", F.col("l_orderkey") * 10.0 + F.col("l_linenumber")), ["page"])
     return got.select("page", "l_orderkey", "l_linenumber", F.col("reading_no").cast("long").alias("reading_no"))
 
@@ -337,16 +338,16 @@ SQL = {
         m AS (SELECT page, n, arg_min(x, (c, abs(x - 30.0), k)) AS x, min(c) AS best, median(c) AS med FROM c GROUP BY page, n)
         SELECT page, CAST(round(x * 1000000) AS BIGINT) AS split_x, CAST(round(round(greatest(0.0, least(1.0, 1 - best / CASE WHEN med = 0 THEN 1.0 ELSE med END)), 3) * 1000000) AS BIGINT) AS gutter_conf, n AS n_words FROM m""",
     "column_sides": f"WITH {WORDS} SELECT page, CASE WHEN (x0 + x1) / 2 < 30 THEN 'colL' ELSE 'colR' END AS region, count(*) AS n FROM words GROUP BY 1, 2",
-    "interval_overlap": f"""WITH {WORDS}, l AS (SELECT *, row_number() OVER () AS i FROM words WHERE page < 40), s AS (SELECT page, x0 + 2 AS y0, x0 + 3 AS y1, CAST(l_orderkey % 17 + 1 AS DOUBLE) AS size FROM l WHERE l_linenumber = 1),
+    "interval_overlap": f"""WITH {WORDS}, l AS (SELECT *, row_number() OVER () AS i FROM words), s AS (SELECT page, x0 + 2 AS y0, x0 + 3 AS y1, CAST(l_orderkey % 17 + 1 AS DOUBLE) AS size FROM l WHERE l_linenumber = 1),
         b AS (SELECT page, median(size) AS body FROM s GROUP BY page)
         SELECT l.page, l.l_orderkey, l.l_linenumber, CAST(trunc(coalesce(max(s.size), max(coalesce(b.body, 0)))) AS BIGINT) AS max_size FROM l LEFT JOIN b ON l.page = b.page
         LEFT JOIN s ON l.page = s.page AND NOT (s.y1 < l.x0 OR s.y0 > l.x1) GROUP BY 1, 2, 3, l.i""",
-    "region_assign": """WITH l AS (SELECT o_custkey % 50 AS page, o_orderkey AS line_id, o_orderkey % 97 AS cx, o_custkey % 89 AS cy FROM orders WHERE o_orderkey % 10 = 0),
-        r AS (SELECT p_partkey % 50 AS page, p_partkey AS position, p_partkey % 40 AS x0, p_partkey % 30 AS y0, p_partkey % 40 + 50 AS x1, p_partkey % 30 + 40 + p_partkey % 3 AS y1 FROM part WHERE p_partkey <= 150)
+    "region_assign": """WITH l AS (SELECT o_custkey // 8 AS page, o_orderkey AS line_id, o_orderkey % 97 AS cx, o_custkey % 89 AS cy FROM orders),
+        r AS (SELECT p_partkey // 8 AS page, p_partkey AS position, p_partkey % 40 AS x0, p_partkey % 30 AS y0, p_partkey % 40 + 50 AS x1, p_partkey % 30 + 40 + p_partkey % 3 AS y1 FROM part)
         SELECT l.page, l.line_id, arg_min(r.position, ((r.x1 - r.x0) * (r.y1 - r.y0), r.position)) AS region_position FROM l
         LEFT JOIN r ON l.page = r.page AND l.cx BETWEEN r.x0 AND r.x1 AND l.cy BETWEEN r.y0 AND r.y1 GROUP BY l.page, l.line_id""",
     "layout_order": f"""WITH {WORDS} SELECT page, l_orderkey, l_linenumber, row_number() OVER (PARTITION BY page ORDER BY coalesce(CASE WHEN l_linenumber < 3 THEN l_linenumber END, 9999),
-        round_even(l_orderkey % 13 * 3 / 10.0, 0), l_orderkey * 10.0 + l_linenumber) AS reading_no FROM words WHERE page < 30""",
+        round_even(l_orderkey % 13 * 3 / 10.0, 0), l_orderkey * 10.0 + l_linenumber) AS reading_no FROM words""",
     "polygon_boxes": """SELECT c_custkey, CAST(least(c_custkey % 7, c_custkey % 11, c_custkey % 13) AS BIGINT) AS x0, CAST(least(c_custkey % 5, c_custkey % 3, c_custkey % 17) AS BIGINT) AS y0,
         CAST(greatest(c_custkey % 7, c_custkey % 11, c_custkey % 13) AS BIGINT) AS x1, CAST(greatest(c_custkey % 5, c_custkey % 3, c_custkey % 17) AS BIGINT) AS y1 FROM customer""",
     "split_pixels": "SELECT o_orderkey, CAST(floor(CAST(o_orderkey % 1000 AS DOUBLE) * 2480 / 595.0::DOUBLE) AS BIGINT) AS px FROM orders",

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -126,9 +127,9 @@ def _stem(path: Column) -> Column:
     return F.regexp_replace(F.element_at(F.split(path, "/"), -1), r"\.[^.]*$", "")
 
 
-def _texts(spark: SparkSession, path: str) -> DataFrame:
+def _texts(spark: SparkSession, path: str, names: str = "*.txt") -> DataFrame:
     """(path, dir, stem, text) of text files; bytes that are no UTF-8 become replacement characters."""
-    df = spark.read.format("binaryFile").option("pathGlobFilter", "*.txt").option("recursiveFileLookup", True).load(path)
+    df = spark.read.format("binaryFile").option("pathGlobFilter", names).option("recursiveFileLookup", True).load(path)
     parts = F.split("path", "/")
     return df.select("path", F.get(parts, F.size(parts) - 2).alias("dir"), _stem(F.col("path")).alias("stem"), _decode(F.col("content")).alias("text"))
 
@@ -175,10 +176,10 @@ def first_by(df: DataFrame, keys: list[str], order: list) -> DataFrame:
 
 
 def region_reads(spark: SparkSession, root: str, page: str, region: str, engines: list[str] | None = None) -> DataFrame:
-    """(engine, text) of one region: <engine>/<page>_<region>.txt, else the first flat <page>_<engine>*.txt."""
-    t = _texts(spark, root)
+    """(engine, text) of one region: <engine>/<page>_<region>.txt, else the first flat <page>_<engine>*.txt. Only files of the page are opened."""
+    t = _texts(spark, root, re.sub(r"([*?\[\]{}\\])", r"\\\1", page) + "_*.txt")
     nested = t.where(F.col("stem") == f"{page}_{region}").select(F.col("dir").alias("engine"), "text", F.lit(0).alias("_p"), "path")
-    flat = t.where(F.startswith("stem", F.lit(f"{page}_"))).select(F.regexp_extract("stem", rf"^{page}_([^_]*)", 1).alias("engine"), "text", F.lit(1).alias("_p"), "path")
+    flat = t.where(F.startswith("stem", F.lit(f"{page}_"))).select(F.regexp_extract("stem", rf"^\Q{page}\E_([^_]*)", 1).alias("engine"), "text", F.lit(1).alias("_p"), "path")
     both = nested.unionByName(flat.where(F.col("engine") != region))
     if engines is not None:
         both = both.where(F.col("engine").isin(*engines))
@@ -241,5 +242,5 @@ def region_inputs(files: DataFrame, stem: str = "stem") -> DataFrame:
 
 
 def prompts(spark: SparkSession, path: str) -> dict[str, str]:
-    """Prompt texts by file stem; a handful of small files that are configuration."""
-    return {r["stem"]: r["text"] for r in _texts(spark, path).limit(100).collect()}
+    """Prompt texts by file stem. They are configuration, which the driver holds whole."""
+    return {r["stem"]: r["text"] for r in _texts(spark, path).collect()}

@@ -49,10 +49,10 @@ def write_agreement(regions: DataFrame, groups: DataFrame, cer: DataFrame, path:
 
 
 def agreement_report(totals: DataFrame, centrality: DataFrame, worst: DataFrame, low: DataFrame, high: DataFrame) -> str:
-    """Markdown of a few bounded tables (at most 15 regions and 37 sample lines)."""
+    """Markdown of a few tables, all their rows: totals, a row an engine, and the samples that the caller has chosen."""
 
     def rows(df, columns):
-        body = [f"| {' | '.join(_shown(r[c]) for c in columns)} |" for r in df.select(*columns).limit(100).collect()]
+        body = [f"| {' | '.join(_shown(r[c]) for c in columns)} |" for r in df.select(*columns).toLocalIterator()]
         return "\n".join([f"| {' | '.join(columns)} |", "|" + "---|" * len(columns), *body])
 
     return "\n\n".join(
@@ -70,7 +70,7 @@ def _shown(v) -> str:
 
 def leaderboard_markdown(board: DataFrame) -> str:
     columns = ["rank", "engine", "n", "score", "cer", "comma_f1", "comma_recall", "dash_recall", "digit_recall", "field_count_ratio"]
-    rows = board.orderBy("rank").select(*columns).limit(1000).collect()
+    rows = board.orderBy("rank").select(*columns).toLocalIterator()
     return "\n".join(["| " + " | ".join(columns) + " |", "|" + "---|" * len(columns), *["| " + " | ".join(_shown(v) for v in r) + " |" for r in rows]])
 
 
@@ -89,30 +89,40 @@ def upsert(new: DataFrame, path: str, keys: list[str]) -> None:
     """Rows of ``new`` replace those of the Parquet table at ``path`` that have the same key.
 
     The new version is written beside the old one and named by a pointer row only when it is whole, so readers and
-    runs that are repeated never see half a table.
+    runs that are repeated never see half a table. A table has one writer at a time: a writer that finds, when its version is
+    whole, that another one has moved the pointer since it began, leaves the pointer alone and says so.
     """
     import uuid
 
     spark = new.sparkSession
+    before = _pointed(spark, path)
     old = current(spark, path, new.schema)
     both = sampling.latest(old, new, keys) if old is not None else sampling.latest(new.limit(0), new, keys)
     version = uuid.uuid4().hex
     both.write.mode("errorifexists").parquet(f"{path}/v-{version}")
+    if _pointed(spark, path) != before:
+        raise RuntimeError(f"another writer has replaced {path} since; run this one again")
     spark.createDataFrame([(version,)], "version string").withColumn("at", F.current_timestamp()).coalesce(1).write.mode("append").parquet(f"{path}/pointer")
 
 
-def current(spark, path: str, schema=None) -> DataFrame | None:
-    """The table that ``upsert`` wrote last; None if there is none."""
+def _pointed(spark, path: str) -> str | None:
+    """The version that the pointer names; None if there is none."""
     from pyspark.errors import AnalysisException
 
     try:
         last = spark.read.schema("version string, at timestamp").parquet(f"{path}/pointer").orderBy(F.desc("at")).limit(1).collect()
     except AnalysisException:
         return None
-    if not last:
+    return last[0]["version"] if last else None
+
+
+def current(spark, path: str, schema=None) -> DataFrame | None:
+    """The table that ``upsert`` wrote last; None if there is none."""
+    version = _pointed(spark, path)
+    if version is None:
         return None
     reader = spark.read.schema(schema) if schema is not None else spark.read
-    return reader.parquet(f"{path}/v-{last[0]['version']}")
+    return reader.parquet(f"{path}/v-{version}")
 
 
 def failures(split: DataFrame) -> DataFrame:
@@ -122,18 +132,21 @@ def failures(split: DataFrame) -> DataFrame:
 
 
 def write_images(df: DataFrame, name: str, content: str, folder: str) -> None:
-    """Bytes of ``content`` as files ``folder/name``. Every file is written whole under another name first."""
+    """Bytes of ``content`` as files ``folder/name``; the folder may be a path or an address of a store that pyarrow knows. Every
+    file is written whole under another name first."""
 
     def put(rows) -> None:
-        import os
         import uuid
 
+        from pyarrow import fs
+
+        where, root = fs.FileSystem.from_uri(folder) if "://" in folder else (fs.LocalFileSystem(), folder)
         for r in rows:
-            target = os.path.join(folder, r[name])
-            os.makedirs(os.path.dirname(target), exist_ok=True)
+            target = f"{root.rstrip('/')}/{r[name]}"
+            where.create_dir(target.rpartition("/")[0], recursive=True)
             part = f"{target}.{uuid.uuid4().hex}"
-            with open(part, "wb") as f:
+            with where.open_output_stream(part) as f:
                 f.write(bytes(r[content]))
-            os.replace(part, target)
+            where.move(part, target)
 
     df.select(name, content).foreachPartition(put)
