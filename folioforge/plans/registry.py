@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from folioforge.plans import documents, sequences, tables
+from folioforge.plans import documents, files, sequences, tables
 
-QUERIES: dict = {**documents.QUERIES, **tables.QUERIES, **sequences.QUERIES}
-SQL: dict = {**documents.SQL, **tables.SQL}
+QUERIES: dict = {**documents.QUERIES, **tables.QUERIES, **sequences.QUERIES, **files.QUERIES}
+SQL: dict = {**documents.SQL, **tables.SQL, **files.SQL}

@@ -14,9 +14,11 @@ def write_pages(pages: DataFrame, path: str, fmt: str = "json") -> None:
 
 
 def write_csv(df: DataFrame, path: str, order: list[str] | None = None) -> None:
-    """CSV with a header; nested columns as JSON. Sorted within and across files if ``order`` is given."""
+    """CSV with a header, quotes doubled as ``csv_table`` reads them; nested columns as JSON. Sorted within and across files if ``order`` is given."""
     flat = df.select(*[F.to_json(c).alias(c) if k.startswith(("array", "map", "struct")) else F.col(c) for c, k in df.dtypes])
-    (flat.orderBy(*order) if order else flat).write.mode("overwrite").option("header", True).option("emptyValue", "").csv(path)
+    (flat.orderBy(*order) if order else flat).write.mode("overwrite").options(
+        header=True, emptyValue="", escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
+    ).csv(path)
 
 
 def write_summary(df: DataFrame, path: str) -> None:
