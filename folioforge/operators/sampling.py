@@ -84,3 +84,13 @@ def trainable_pairs(columns: DataFrame, minimum: int = 80) -> DataFrame:
     """Silver pairs: column texts of ``minimum`` characters, with the manifest's constant columns."""
     fixed = {"status": "silver", "source": "text layer", "license": "unknown", "verified": "no", "language": "sv", "notes": "", "content_bearing": "yes"}
     return columns.where(F.char_length("text") >= minimum).withColumns({k: F.lit(v) for k, v in fixed.items()})
+
+
+def silver_pairs(columns: DataFrame, crops: DataFrame, minimum: int = 80) -> DataFrame:
+    """Crops (page, region, content) with the text layer's reading of them (columns: page, region, text) as rows of the gold manifest, and the crop itself."""
+    both = trainable_pairs(columns, minimum).join(crops, ["page", "region"])
+    name = F.format_string("crops/%s_%s.jpg", F.col("page").cast("string"), "region")
+    return both.select(
+        F.col("page").cast("string").alias("page_id"), name.alias("image_path"), F.col("text").alias("reference"), F.col("region").alias("stratum"), F.lit("cer").alias("metric"),
+        name.alias("gold_path"), "status", "source", "license", "verified", "language", "region", "notes", "content_bearing", "content",
+    )

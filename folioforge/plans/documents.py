@@ -70,23 +70,6 @@ def line_tags(spark, sf):
     return tagged_lines(spark, sf).groupBy("volume", "tag").agg(F.count(F.lit(1)).alias("n"))
 
 
-# documents have few entries, so "body" is any page with a comma-separated tenth here
-BODY = "n_entry >= 1"
-
-
-def volume_summary(spark, sf):
-    s = stats(spark, sf)
-    return s.groupBy("volume").agg(
-        F.count_if(F.expr(BODY)).alias("body_pages"), F.sum("n_entry").alias("entries"), F.sum("n_ad").alias("ads"),
-        micro(F.sum("n_ad") / F.greatest(F.sum("n_lines"), F.lit(1))).alias("ad_rate"),
-    )
-
-
-def trainable_pages(spark, sf):
-    body = stats(spark, sf).where(BODY).select("page", "n_lines")
-    return sampling.even_stride(body, ["page"], 7)
-
-
 def systematic_sample(spark, sf):
     return sampling.systematic(stats(spark, sf).select("page", "n_lines"), ["page"], 10)
 
@@ -123,9 +106,11 @@ each_doc AS (
   SELECT doc_id, lang, source, list_filter(list_transform(string_split(text, chr(10)), lambda x: regexp_replace(x, '^\\s+|\\s+$', '', 'g')), lambda x: x <> '') AS l FROM documents),
 each_line AS (SELECT doc_id, lang, source, unnest(l) AS line, generate_subscripts(l, 1) - 1 AS line_no FROM each_doc)
 """
-READS = f"""
+def reads_sql(form: str = "line") -> str:
+    """Reads and the distances of their pairs; ``form``: what of a line is compared."""
+    return f"""
 {EACH_LINE},
-reads AS (SELECT doc_id - doc_id % 4 AS page, line_no AS region, 'e' || (doc_id % 4) AS engine, line AS text, {ONE_BYTE.format(t="line")} AS bytes FROM each_line),
+reads AS (SELECT doc_id - doc_id % 4 AS page, line_no AS region, 'e' || (doc_id % 4) AS engine, {form} AS text, {ONE_BYTE.format(t=form)} AS bytes FROM each_line),
 pairs AS (
   SELECT x.page, x.region, x.engine AS a, y.engine AS b,
          CASE WHEN greatest(length(x.text), length(y.text)) = 0 THEN 0.0
@@ -135,6 +120,9 @@ both_ways AS (SELECT page, region, a, b, 1 - ned AS sim FROM pairs UNION ALL SEL
 """
 
 
+READS = reads_sql()
+
+
 def read_pairs(spark, sf):
     return consensus.pair_similarity(reads(spark, sf)).select("page", "region", "a", "b", micro(F.col("ned")).alias("ned"))
 
@@ -168,10 +156,6 @@ def agreement_bands(spark, sf):
     return region.groupBy(consensus.band(F.col("mean_sim")).alias("band")).agg(F.count(F.lit(1)).alias("n"))
 
 
-def consensus_pick(spark, sf):
-    return consensus.pick_read(reads(spark, sf)).select("page", "region", "engine")
-
-
 def aligned_regions(spark, sf):
     regions, _ = consensus.analyze_regions(blocks(spark, sf))
     return regions.select("page", "region", "n_engines", "n_lines", "n_high_conf_lines", "n_low_conf_lines", micro(F.col("mean_line_agreement")).alias("mean_line_agreement"))
@@ -262,8 +246,8 @@ def light_forms(spark, sf):
 QUERIES = {
     f.__name__: f
     for f in (
-        page_quality, line_tags, volume_summary, trainable_pages, systematic_sample, todo_antijoin, read_manifest, read_pairs, pairwise_cer, engine_centrality,
-        consensus_entropy, consensus_weights, cluster_fraction, agreement_bands, consensus_pick, aligned_regions, fused_lines, flagged_lines, punct_score, leaderboard,
+        page_quality, line_tags, systematic_sample, todo_antijoin, read_manifest, read_pairs, pairwise_cer, engine_centrality,
+        consensus_entropy, consensus_weights, cluster_fraction, agreement_bands, aligned_regions, fused_lines, flagged_lines, punct_score, leaderboard,
         accepted_corrections, clean_markup, protected_tokens, monotone_documents, light_forms,
     )
 }
@@ -287,10 +271,6 @@ region AS (
 SQL = {
     "page_quality": f"WITH {LINES} SELECT *, CAST(n_entry >= 20 AND n_entry >= n_lines * 0.45 AS BIGINT) AS is_body FROM stats",
     "line_tags": f"WITH {LINES} SELECT volume, tag, count(*) AS n FROM tagged GROUP BY volume, tag",
-    "volume_summary": f"""WITH {LINES} SELECT volume, count(*) FILTER (WHERE {BODY}) AS body_pages, CAST(sum(n_entry) AS BIGINT) AS entries, CAST(sum(n_ad) AS BIGINT) AS ads,
-        CAST(round(sum(n_ad)::DOUBLE / greatest(sum(n_lines), 1) * 1000000) AS BIGINT) AS ad_rate FROM stats GROUP BY volume""",
-    "trainable_pages": f"""WITH {LINES}, body AS (SELECT page, n_lines, row_number() OVER (ORDER BY page) - 1 AS i, count(*) OVER () AS n FROM stats WHERE {BODY})
-        SELECT page, n_lines FROM body WHERE n <= 7 OR i IN (SELECT CAST(floor(k * (SELECT count(*) FROM body) / 7.0) AS BIGINT) FROM range(7) r(k))""",
     "systematic_sample": f"""WITH {LINES}, s AS (SELECT page, n_lines, row_number() OVER (ORDER BY page) - 1 AS i, greatest(1, count(*) OVER () // 10) AS step FROM stats)
         SELECT page, n_lines FROM s WHERE i % step = 0 AND i < step * 10""",
     "todo_antijoin": "SELECT doc_id, source FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels WHERE doc_id IS NOT NULL)",

@@ -10,28 +10,11 @@ from folioforge.operators import consensus, geometry, images, models, sampling
 from folioforge.plans.documents import blocks, document_lines, hyp_ref, micro, table
 
 
-def words_of_lineitem(spark, sf):
-    """Order lines as words of a page: quantity is the top, the line number the left."""
-    li = table(spark, sf, "lineitem")
-    top, left = F.col("l_quantity").cast("double") * 3, F.col("l_linenumber").cast("double") * 10 + F.col("l_partkey") % 10
-    return li.select(F.expr("l_orderkey div 20").alias("page"), left.alias("x0"), top.alias("y0"), (left + 8).alias("x1"), (top + 6 + F.col("l_suppkey") % 5).alias("y1"), F.col("l_partkey").cast("string").alias("t"))
-
-
-def line_clusters(spark, sf):
-    got = geometry.cluster_lines(words_of_lineitem(spark, sf), ["page"])
-    return got.select("page", "line_no", "text")
-
-
 def matcher_ratios(spark, sf):
     h = hyp_ref(spark, sf)
     return h.select("doc_id", "line_no", micro(S.matcher_ratio(F.col("ref"), F.col("hyp"))).alias("ratio"))
 
 
-def compared_forms(spark, sf):
-    docs = table(spark, sf, "documents")
-    return docs.select("doc_id", F.md5(X.compare_form(F.col("text"))).alias("form"))
-
-
 def corrected_lines(spark, sf):
     """Lines through a stand-in model that changes letters and digits; protected data must come out as it was."""
     lines = document_lines(spark, sf).select("page", "line_no", "text")
@@ -75,5 +58,5 @@ def drawn_sample(spark, sf):
 
 QUERIES = {
     f.__name__: f
-    for f in (line_clusters, matcher_ratios, compared_forms, corrected_lines, free_alignment, ordered_alignment, image_splits, drawn_sample)
+    for f in (matcher_ratios, corrected_lines, free_alignment, ordered_alignment, image_splits, drawn_sample)
 }

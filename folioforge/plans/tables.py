@@ -45,11 +45,6 @@ def directory_records(spark, sf):
     return got.select("line_no", "surname", "given_names", "title", "location", "municipal_income", "state_income", *[F.col(f).cast("long").alias(f) for f in flags])
 
 
-def directory_records_1912(spark, sf):
-    got = records.parse_records(directory(spark, sf), "1912")
-    return got.select("line_no", "surname", "given_names", "title", "location", "municipal_income", "state_income", F.col("is_wife").cast("long").alias("is_wife"))
-
-
 def record_qa(spark, sf):
     qa = records.record_qa(records.parse_records(directory(spark, sf)))
     return qa.select(
@@ -88,12 +83,6 @@ def line_merge(spark, sf):
     return records.merge_lines_1936(lines, keys=("page",)).select("page", "line_no", "text")
 
 
-def bump_merge_1912(spark, sf):
-    lines = bump_lines(spark, sf)
-    cols = lines.groupBy("page").agg(F.transform(F.array_sort(F.collect_list(F.struct("line_no", "text"))), lambda x: x["text"]).alias("l"))
-    return cols.select("page", F.posexplode(records.merge_bumps_1912(F.col("l"))).alias("line", "text"))
-
-
 def monotonicity(spark, sf):
     got = records.monotonicity(table(spark, sf, "part"), "p_name", ["p_brand"], ["p_partkey"])
     return got.select("p_brand", micro(F.col("monotonicity")).alias("monotonicity"), "n_names")
@@ -229,21 +218,6 @@ def image_quality(spark, sf):
     return p.select("p_partkey", F.round(images.quality_score(lap, std, ink) * 10).cast("long").alias("score"), images.is_faded(lap, std, ink).alias("faded"), images.gutter_class((k % 10) / 10).alias("gutter"))
 
 
-def moving_average(spark, sf):
-    """Zero-padded average over five rows: the edges are divided by the full window as well."""
-    w = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_quantity").rowsBetween(-2, 2)
-    return table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", F.sum(F.col("l_quantity").cast("long")).over(w).alias("sum_5"))
-
-
-def text_bands(spark, sf):
-    """Runs of a user's error events, small gaps allowed."""
-    e = table(spark, sf, "events").where("event_type = 'error'").select("user_id", "event_id")
-    w = Window.partitionBy("user_id").orderBy("event_id")
-    new = F.when(F.col("event_id") - F.lag("event_id").over(w) <= 50, 0).otherwise(1)
-    band = e.withColumn("n", new).withColumn("band", F.sum("n").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    return band.groupBy("user_id", "band").agg(F.min("event_id").alias("first"), F.max("event_id").alias("last")).drop("band")
-
-
 def engine_names(spark, sf):
     c = table(spark, sf, "customer")
     token = F.element_at(F.array(*[F.lit(t) for t in ("Dots.OCR", "surya_text", "quality", "olmOCR-2-7b", "New")]), (F.col("c_custkey") % 5 + 1).cast("int"))
@@ -273,9 +247,9 @@ def word_chunks(spark, sf):
 QUERIES = {
     f.__name__: f
     for f in (
-        carry_forward, directory_records, directory_records_1912, record_qa, record_ids, dash_counts, income_fields, line_merge, bump_merge_1912, monotonicity, gutter, column_sides,
+        carry_forward, directory_records, record_qa, record_ids, dash_counts, income_fields, line_merge, monotonicity, gutter, column_sides,
         interval_overlap, region_assign, layout_order, polygon_boxes, split_pixels, page_numbers, city_carry, top_groups, mode_by_group, percentiles, having_topk, class_buckets,
-        marked_shares, completeness, extrapolation, upsert_latest, seeded_split, selected_pages, image_quality, moving_average, text_bands, engine_names, file_stems, page_assembly,
+        marked_shares, completeness, extrapolation, upsert_latest, seeded_split, selected_pages, image_quality, engine_names, file_stems, page_assembly,
         word_chunks,
     )
 }
@@ -378,9 +352,8 @@ SQL = {
     "image_quality": """WITH k AS (SELECT p_partkey, CAST(p_partkey % 200 AS DOUBLE) AS lap, CAST(p_partkey % 40 AS DOUBLE) AS std, (p_partkey % 12)::DOUBLE / 100 AS ink, (p_partkey % 10)::DOUBLE / 10 AS r FROM part)
         SELECT p_partkey, CAST(round(round((least(lap / 130.0::DOUBLE, 1.0::DOUBLE) * 0.45::DOUBLE + least(std / 28.0::DOUBLE, 1.0::DOUBLE) * 0.35::DOUBLE + least(ink / 0.1::DOUBLE, 1.0::DOUBLE) * 0.2::DOUBLE) * 100, 1) * 10) AS BIGINT) AS score,
         lap < 80 OR std < 19 OR ink < 0.055 AS faded, CASE WHEN r < 0.25 THEN 'ok' WHEN r < 0.55 THEN 'weak' ELSE 'poor' END AS gutter FROM k""",
-    "moving_average": "SELECT l_orderkey, l_linenumber, CAST(sum(CAST(l_quantity AS BIGINT)) OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_quantity ROWS BETWEEN 2 PRECEDING AND 2 FOLLOWING) AS BIGINT) AS sum_5 FROM lineitem",
-    "text_bands": """WITH e AS (SELECT user_id, event_id, CASE WHEN event_id - lag(event_id) OVER (PARTITION BY user_id ORDER BY event_id) <= 50 THEN 0 ELSE 1 END AS n FROM events WHERE event_type = 'error'),
-        b AS (SELECT user_id, event_id, sum(n) OVER (PARTITION BY user_id ORDER BY event_id) AS band FROM e) SELECT user_id, min(event_id) AS first, max(event_id) AS last FROM b GROUP BY user_id, band""",
+
+
     "engine_names": "SELECT c_custkey, CASE c_custkey % 5 WHEN 0 THEN 'dots' WHEN 1 THEN 'surya' WHEN 2 THEN NULL WHEN 3 THEN 'olmocr' ELSE 'new' END AS engine FROM customer",
     "file_stems": "SELECT s_suppkey, 'SSA_' || s_suppkey AS page, CASE WHEN s_suppkey % 2 = 0 THEN 'colL' ELSE 'header' END AS region, CAST(s_suppkey AS VARCHAR) AS year FROM supplier",
     "page_assembly": """WITH k AS (SELECT c_custkey, c_name, c_mktsegment, CASE WHEN c_custkey % 2 <> 0 THEN (c_custkey % 100)::DOUBLE / 100 END AS a, CASE WHEN c_custkey % 3 <> 0 THEN (c_custkey % 100)::DOUBLE / 100 END AS b,

@@ -152,3 +152,9 @@ def write_images(df: DataFrame, name: str, content: str, folder: str) -> None:
             where.move(part, target)
 
     df.select(name, content).foreachPartition(put)
+
+
+def write_pairs(pairs: DataFrame, path: str) -> None:
+    """Crops as files and their manifest as CSV, of ``sampling.silver_pairs``."""
+    write_images(pairs, "image_path", "content", path)
+    write_csv(pairs.drop("content"), f"{path}/manifest", ["page_id", "region"])

@@ -11,7 +11,7 @@ import unicodedata
 import pytest
 from folioforge.functions import patterns
 from folioforge.operators import models
-from folioforge.plans import documents, sequences, tables
+from folioforge.plans import documents, pages, registry, sequences, tables
 
 from . import oracle
 
@@ -19,12 +19,12 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(oracle.SF), reason="the driver
 
 
 def run(spark, name):
-    return sequences.QUERIES[name](spark, oracle.SF).collect()
+    return registry.QUERIES[name](spark, oracle.SF).collect()
 
 
 def test_line_clusters(spark):
     pages = collections.defaultdict(list)
-    for r in sequences.words_of_lineitem(spark, oracle.SF).collect():
+    for r in pages.words_of_lineitem(spark, oracle.SF).collect():
         pages[r["page"]].append((r["y0"], r["x0"], r["y1"], r["x1"], r["t"]))
     expect = {}
     for page, words in pages.items():
