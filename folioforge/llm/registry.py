@@ -19,4 +19,5 @@ QUERIES = {
 SQL = {
     "op1_license_scan": license_scan.SQL,
     "op5_line_dedup": line_dedup.SQL,
+    "op10_secret_scan": secret_scan.SQL,
 }

@@ -182,3 +182,37 @@ def op10_secret_scan(spark, sf_dir: str) -> DataFrame:
         "doc_id", count("assign"), count("access"), count("hex"), F.sha2(said(base), 256).alias("base_sha256"),
         said(F.col("secrets")).alias("spans"), live,
     )
+
+
+def _sql() -> str:
+    quoted = lambda p: "'" + p.replace("'", "''") + "'"
+    assign = quoted(ASSIGN)
+    each = " UNION ALL ".join(
+        f"SELECT doc_id, source, {k} AS ord, string_split_regex(t, {quoted(p)}) AS gaps, regexp_extract_all(t, {quoted(p)}) AS hits FROM d WHERE regexp_matches(t, {quoted(p)})"
+        for k, p in enumerate((ASSIGN, ACCESS, HEX, TOKEN))
+    )
+    return f"""
+WITH d AS (SELECT doc_id, source, coalesce(text, '') AS t FROM documents),
+runs AS ({each}),
+hits AS (SELECT doc_id, source, ord, unnest(hits) AS hit, unnest(gaps[1:len(hits)]) AS gap, generate_subscripts(hits, 1) AS i FROM runs),
+placed AS (SELECT *, CAST(sum(length(gap) + length(hit)) OVER (PARTITION BY doc_id, ord ORDER BY i) AS BIGINT) AS e FROM hits),
+valued AS (SELECT doc_id, source, ord, e - length(hit) AS s, e, CASE WHEN ord = 0 THEN regexp_extract(hit, {assign}, 2) ELSE hit END AS v FROM placed),
+good AS (
+  SELECT * FROM valued WHERE CASE ord WHEN 0 THEN length(v) >= 8 WHEN 1 THEN length(v) >= 16 WHEN 2 THEN TRUE
+    ELSE length(regexp_replace(v, '[^0-9]', '', 'g')) >= 3 AND NOT regexp_matches(v, '[A-Za-z]{{13,}}')
+         AND ((regexp_matches(v, '[a-z]') AND regexp_matches(v, '[A-Z]')) OR regexp_matches(v, '^[0-9A-F]{{32,}}$')) END),
+found AS (
+  SELECT * FROM good WHERE ord < 3 UNION ALL
+  SELECT * FROM good t WHERE ord = 3 AND NOT EXISTS (FROM good b WHERE b.ord < 3 AND b.doc_id = t.doc_id AND b.s < t.e AND t.s < b.e)),
+counted AS (SELECT v, count(DISTINCT coalesce(source, chr(0))) AS owners, count(DISTINCT (coalesce(source, chr(0)), doc_id)) AS repos FROM found GROUP BY v),
+judged AS (SELECT f.*, owners <= 1 AND repos <= 8 AS live, ['assign', 'access', 'hex', 'token'][ord + 1] || ':' || s || ':' || e AS said FROM found f JOIN counted c ON f.v = c.v),
+per_doc AS (
+  SELECT doc_id, count(*) FILTER (WHERE ord = 0) AS n_assign, count(*) FILTER (WHERE ord = 1) AS n_access, count(*) FILTER (WHERE ord = 2) AS n_hex,
+         string_agg(said, ',' ORDER BY s, ord) FILTER (WHERE ord < 3) AS base, string_agg(said, ',' ORDER BY s, ord) AS spans, count(*) FILTER (WHERE live) AS n_live
+  FROM judged WHERE ord < 3 OR live GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256,
+       coalesce(spans, '') AS spans, coalesce(n_live, 0) AS n_live FROM d LEFT JOIN per_doc p ON d.doc_id = p.doc_id
+"""
+
+
+SQL = _sql()

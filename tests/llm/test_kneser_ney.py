@@ -2,6 +2,7 @@ import collections
 import math
 import re
 
+import numpy as np
 import pytest
 from folioforge.llm import kneser_ney as kn
 
@@ -66,3 +67,13 @@ def test_against_definition(spark, size):
         assert (r["n_tokens"], r["n_known"], r["train_tokens"]) == e[:3]
         assert r["base_score"] == pytest.approx(e[3], rel=1e-9, abs=1e-9)
         assert r["score"] == pytest.approx(e[4], rel=1e-9, abs=1e-9)
+
+
+def test_counts_past_32_bits(tmp_path):
+    """Counts and continuation counts are not clipped, and too many words are an error."""
+    folder, big = f"file://{tmp_path}", np.array([5, 2**40, 2**63], dtype=np.uint64)
+    kn._store.put(f"{folder}/count-0", big)
+    voc = kn.Vocabulary(folder, [3])
+    assert voc.gather("count", np.uint64, np.arange(3, dtype=np.uint64)).tolist() == big.tolist()
+    with pytest.raises(ValueError):
+        kn.Vocabulary(folder, [2**31, 2**31])

@@ -84,6 +84,19 @@ def test_license_scan(spark):
     assert mine[50][0] == "MIT" and mine[11][0] == "MIT" and mine[10] == (None, 1, "MIT")
 
 
+def test_license_wrapped_anywhere(spark):
+    """A text's digest is the same however its lines are wrapped."""
+    import textwrap
+
+    data, want = [], {}
+    for key in ("MIT", "ISC", "0BSD", "Zlib"):
+        for width in (30, 50, *range(60, 100), 120):
+            want[len(data)] = key
+            data.append((len(data), "\n".join("\n".join(textwrap.wrap(p, width)) for p in license_scan.TEXTS[key].split("\n")), "en", "s"))
+    got = {r["doc_id"]: r["license_id"] for r in license_scan.license_scan(cases.table(spark, data)).collect()}
+    assert {k: v for k, v in got.items() if v != want[k]} == {}
+
+
 def test_entire_licenses(spark):
     """Whole texts under usual titles, with notices, and with lines that begin with 'copyright' wherever they are wrapped."""
     mit = license_scan.TEXTS["MIT"][12:]
@@ -134,6 +147,45 @@ def test_secret_scan(spark):
     assert [(s["kind"], s["n_repos"], s["n_owners"], s["live"]) for s in by_id[950]] == [("token", 4, 1, True)]
 
 
+def test_secret_in_many_repositories(spark):
+    """One owner's value is live in few repositories and an example in many; the verdict decides whether a token is a span."""
+    few, many = "Qw7eRt91YuIo22PaSd44FgZ9", "Xk3PzLm81VbNq55TyUi20OpAs"
+    data = [(k, f"see {many}", "en", "one") for k in range(9)] + [(50 + k, f"see {few} and {many[::-1]}", "en", "one") for k in range(8)] + [(90, "9233A8ECF7C5B09FE5949719B6B82BC439E9329B", "en", "b")]
+    got = {r["doc_id"]: [(s["kind"], s["n_repos"], s["live"]) for s in r["secrets"]] for r in secret_scan.secret_scan(cases.table(spark, data)).collect()}
+    assert got[0] == [] and got[50] == [("token", 8, True)] * 2 and got[90] == [("token", 1, True)]
+
+
+def test_secret_scan_of_many_matches(spark):
+    """Places are right over many runs of matches, and the SQL says the same of every case."""
+    text = " ".join(f"é{k} token={k:08x}zz AKIA{k:016d}" for k in range(700))
+    data = [r for r in cases.rows() if r[0] is not None]
+    data = list({r[0]: r for r in data}.values()) + [(8000, text, "en", "a"), (8001, "Zk93JdLm27QpWx81RtYv55Ab", "en", None)]
+    got = secret_scan.secret_scan(cases.table(spark, data)).collect()
+    by_id = {r["doc_id"]: [f"{s['kind']}:{s['start']}:{s['end']}" for s in r["secrets"]] for r in got}
+    assert [s for s in by_id[8000] if not s.startswith("token")] == base_secrets(text)
+    frame = pd.DataFrame({"doc_id": [r[0] for r in data], "text": [r[1] for r in data], "source": [r[3] for r in data]})
+    assert {r[0]: r[5] for r in sql(secret_scan.SQL, documents=frame)} == {i: ",".join(s) for i, s in by_id.items()}
+
+
+def test_fertility_measures():
+    """Characters per token, byte share and entropy by their definitions."""
+    import math
+
+    import sentencepiece
+
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    sp = sentencepiece.SentencePieceProcessor(model_file=path)
+    texts = [r[1] for r in cases.rows(20)] + ["", None, "\U0001f9ff\u0f00 ཀ" * 40, "a" * 5000]
+    got = fertility.fertility(path)(texts)
+    for k, t in enumerate(texts):
+        pieces = sp.encode(t or "", out_type=str)
+        count = collections.Counter(pieces)
+        back = sum(n for p, n in count.items() if re.fullmatch("<0x[89A-F].>", p))
+        n = len(pieces)
+        want = (n, len(t) / n, back / n, -sum(c / n * math.log2(c / n) for c in count.values())) if n else (0, 0.0, 0.0, 0.0)
+        assert (got["n_tokens"][k], got["chars_per_token"][k], got["byte_share"][k], got["entropy"][k]) == pytest.approx(want, abs=1e-9)
+
+
 def test_quality_rules(spark):
     got = fertility.quality_rules(cases.table(spark), public_tokenizers.path("piece_bpe_32k.model")).collect()
     data = cases.rows()
@@ -175,6 +227,63 @@ def test_language_id(spark):
     assert [by_id[k] for k in (1000, 1001, 1002, 1003)] == ["und", "und", "und", "de"]
 
 
+def test_language_of_letters_of_every_plane():
+    model = language_id.Model(["en", "zh"], np.zeros((1 << 16, 2)), np.zeros(2), 1.0, 16)
+    got = model.predict(["\U00030000\U00031000", "\U0002ffff 12 !", "\U0001f600", None])
+    assert [p for p in got["lang_pred"]] == ["en", "und", "und", "und"]
+
+
+def test_language_fit_is_ftrl():
+    """The weights against a plain loop over features, one at a time."""
+    import math
+
+    r = np.random.default_rng(4)
+    words = {"en": ["the", "and", "house"], "de": ["der", "und", "haus"], "fr": ["le", "et", "maison"]}
+    rows = [(" ".join(r.choice(words[l], 6)), l, k % 4 == 0) for k, l in enumerate(["en", "de", "fr"] * 8)]
+    bits, alpha, beta, l1, l2, scale = 8, 0.3, 1.0, 2e-4, 1e-3, 20.0
+    model = language_id.fit(rows, bits=bits, epochs=2)
+    labels = sorted(words)
+    grams = []
+    for t, *_ in rows:
+        slots, firsts, _ = language_id.features([t], bits)
+        flat = [int(x) for k, s in enumerate(slots) for x in s[firsts[k][0] : max(firsts[k][1] - k, firsts[k][0])]]
+        grams.append({i: flat.count(i) / len(flat) for i in sorted(set(flat))})
+    df = collections.Counter(i for g in grams for i in g)
+    idf = {i: math.log((1 + len(rows)) / (1 + n)) + 1 for i, n in df.items()}
+    z, n = collections.defaultdict(float), collections.defaultdict(float)
+
+    def weight(i, c):
+        v = z[i, c]
+        return 0.0 if abs(v) <= l1 else -(v - math.copysign(l1, v)) / ((beta + math.sqrt(n[i, c])) / alpha + l2)
+
+    train = [k for k, row in enumerate(rows) if not row[2]]
+    order = np.random.default_rng(0)
+    for _ in range(2):
+        for k in order.permutation(len(train)):
+            g, y = grams[train[k]], labels.index(rows[train[k]][1])
+            x = {i: scale * v * idf[i] for i, v in g.items()}
+            w = {(i, c): weight(i, c) for i in x for c in range(3)}
+            e = [math.exp(sum(x[i] * w[i, c] for i in x)) for c in range(3)]
+            for c in range(3):
+                off = e[c] / sum(e) - (c == y)
+                for i, v in x.items():
+                    d = v * off
+                    z[i, c] += d - (math.sqrt(n[i, c] + d * d) - math.sqrt(n[i, c])) / alpha * w[i, c]
+                    n[i, c] += d * d
+    for i in idf:
+        assert model.table[i].tolist() == pytest.approx([weight(i, c) * scale * idf[i] for c in range(3)], rel=1e-6, abs=1e-9)
+    # the temperature is the best one for the rows kept back, with one row of smoothing for each label
+    back = [row for row in rows if row[2]]
+    logits, _ = model.logits([t for t, *_ in back])
+    right = [labels.index(row[1]) for row in back]
+
+    def loss(t):
+        q = np.log(np.maximum(language_id.softmax(logits / t), 1e-12))
+        return -q[np.arange(len(back)), right].mean() - q.mean() / (len(back) + 1)
+
+    assert all(loss(model.temperature) <= loss(t) + 1e-9 for t in (0.05, 0.3, 1.0, 1.5, 2.5, 8.0))
+
+
 def test_language_id_without_labels(spark):
     got = language_id.language_id(cases.table(spark, [(1, "text", None, "s")])).collect()
     assert got[0]["lang_pred"] == "und" and got[0]["score"] == 0
@@ -211,13 +320,38 @@ def test_decontamination(spark):
     assert cleaned[1] == "x  y" and cleaned[3] == "A  here" and cleaned[4] is None and cleaned[7].startswith("one\n!two")
 
 
+def test_one_shard_at_a_time():
+    """Ten shards, and never two of them in use."""
+    import weakref
+
+    items = [(k, " ".join(f"i{k}w{j}" for j in range(20))) for k in range(10)] + [(3, "i3w0 short"), (7, "i3w0 short")]
+    built = [decontam.build([x]) for x in items]
+    alive, most = weakref.WeakSet(), []
+
+    def matchers():
+        for a in built:
+            m = decontam.Matcher(a.__getitem__)
+            alive.add(m)
+            most.append(len(alive))
+            yield m
+            del m
+
+    texts = [f"x {items[4][1]} y {items[9][1]}", "i3w0 short", None, items[2][1][:-6]]
+    got = decontam.mark(texts, matchers())
+    assert max(most) <= 2 and len(most) == len(items)  # the one before goes as the next one comes
+    expect = decontam.brute_force(list(enumerate(texts)), items)
+    for k, (n, ranges, found) in enumerate(got):
+        hit = sum(b - a for a, b in decontam.merged(ranges))
+        assert (n, hit, len(found)) == expect[k][:3]
+
+
 def test_packing(spark):
     from tokenizers import Tokenizer
 
     path = public_tokenizers.path("byte_bpe_50k.json")
-    exact = Tokenizer.from_file(path)
-    exact.encode_special_tokens = True
-    data = cases.rows()
+    exact = Tokenizer.from_file(path)  # with its own settings
+    data = cases.rows() + [(7000, "a <|endoftext|> b", "en", "a"), (7001, "日本 <|endoftext|>", "en", "a")]
+    assert exact.encode(data[-2][1], add_special_tokens=False).ids == [64, 220, 50256, 275]
     got = packing.pack(cases.table(spark, data), path, with_ids=True).collect()
     pieces, seqs = collections.defaultdict(list), collections.defaultdict(list)
     for r in got:
@@ -265,6 +399,25 @@ def test_ngram_join(spark):
     assert sum(k != v[1] for k, v in expect.items()) > 20
 
 
+def test_ngram_join_with_clashing_digests(spark, monkeypatch):
+    """Sets that share a first digest are told apart by the second one, and all is done again with another seed."""
+    plain_digest = ngram_join.digest
+    monkeypatch.setattr(ngram_join, "members", _clashing(ngram_join.members))
+    data = [(k, " ".join(f"w{k}x{j}" for j in range(9)), "", "") for k in range(6)]
+    got = {r["doc_id"]: r["component_id"] for r in ngram_join.ngram_join(cases.table(spark, data)).collect()}
+    assert got == {k: k for k in range(6)} and plain_digest(np.arange(3, dtype=np.uint64), 1) != plain_digest(np.arange(3, dtype=np.uint64))
+
+
+def _clashing(members):
+    def made(docs, text_col, size, drop_text=True, seed=0):
+        from pyspark.sql import functions as F
+
+        got = members(docs, text_col, size, drop_text, seed)
+        return got.withColumn("cls", F.lit(7).cast("long")) if seed == 0 else got
+
+    return made
+
+
 @pytest.mark.parametrize("hot", [2, 64])
 def test_ngram_join_hot_passages(spark, hot, monkeypatch):
     """One group of near copies, and a passage in every document; chains of links."""

@@ -63,6 +63,34 @@ def test_pipeline_against_definitions(spark, tmp_path):
     assert got == {i: len(exact.encode(lined[i], add_special_tokens=False).ids) + 1 for i in clean}
 
 
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
+SHAPES = {
+    "empty": ([], ""),
+    "nulls": ([(None, None, None, None, None)] * 3 + [(1, "one text", "en", "s", 8)], ""),
+    "repeated rows": ([(1, "a text of some words that stands here twice", "en", "s", 43)] * 2 + [(2, "quite another text with letters", "en", "s", 31)], ""),
+    "clashing columns": ([(1, "a first text", "en", "s", 12, "kept", 5), (2, "and a second one", "de", "s", 16, "kept", 6)], ", CLS string, n_words int"),
+}
+
+
+@pytest.mark.parametrize("shape", SHAPES)
+def test_stages_on_tables_of_any_shape(spark, tmp_path, shape):
+    """Every stage gives the columns of its input; repeated rows of an id stay repeated; rows without a text or letter go in the first."""
+    import corpus_pipeline as cp
+
+    rows, more = SHAPES[shape]
+    docs = spark.createDataFrame(rows, SCHEMA + more)
+    spark.createDataFrame(BENCH, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    columns = docs.columns
+    for k, (name, stage) in enumerate(cp.STAGES):
+        stage(spark, docs, str(tmp_path)).write.parquet(f"{tmp_path}/{k}-{name}")
+        docs = spark.read.parquet(f"{tmp_path}/{k}-{name}")
+        if name != "packing":
+            assert docs.columns == columns
+            assert sorted(r["doc_id"] for r in docs.collect()) == sorted(r[0] for r in rows if r[1])
+    got = collections.Counter(r["doc_id"] for r in docs.where("start = 0").collect())
+    assert got == collections.Counter(r[0] for r in rows if r[1])
+
+
 @needs_data
 @pytest.mark.parametrize("name", sorted(registry.SQL))
 def test_agrees_with_sql(spark, name):
