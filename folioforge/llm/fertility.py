@@ -1,8 +1,8 @@
 """Quality rules from tokeniser fertility.
 
-A public vocabulary with byte fallback encodes each whole text. Three measures follow: characters per token
-(fertility), the share of tokens that are fallback bytes of non-ASCII characters, and the entropy of the
-token distribution. Each language, or else script, has a band for each measure; a text outside a band
+Public vocabularies (one with byte fallback, one of bytes) encode each whole text. Three measures follow for each: characters
+per token (fertility), the share of tokens that are single bytes of non-ASCII characters, and the entropy of the
+token distribution. Each language, or else script, has a band for each measure of each vocabulary; a text outside a band
 is rejected. Short texts are noisy, so bands hold from ``min_tokens`` tokens on.
 
 Beside them stand the plain rules: number of words, characters in words, symbols, repeated lines, and words
@@ -10,7 +10,8 @@ in repeated three-word windows.
 
 Everything is a function of one row: no shuffle, no collected statistics. Defined cases: a null or empty
 text has no words and fails the plain rules; an empty table gives an empty table; a null or unknown
-language takes the band of its script; repeated rows are judged each; extra columns stay.
+language takes the band of its script; repeated rows are judged each; very long texts are encoded whole; a measure that equals
+an end of its band is inside; extra columns stay, but for those of the names made here, which are replaced.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from folioforge.llm import _arrow, _words
+from folioforge.llm import _arrow, _words, packing
 
 SYMBOLS = b"#*$%&|<>"
 U64 = np.uint64
@@ -38,6 +39,18 @@ BANDS = {
     "cjk": {"chars_per_token": (0.3, 2.0), "byte_share": (0.0, 0.90), "entropy": (3.5, None)},
     "other": {"chars_per_token": (0.25, 6.5), "byte_share": (0.0, 1.0), "entropy": (3.0, None)},
 }
+# the same for a vocabulary of bytes, which has fewer letters of other languages than English in its tokens
+BYTE_BANDS = {
+    "en": {"chars_per_token": (1.9, 7.0), "byte_share": (0.0, 0.05), "entropy": (4.8, None)},
+    "de": {"chars_per_token": (1.6, 7.0), "byte_share": (0.0, 0.15), "entropy": (4.8, None)},
+    "fr": {"chars_per_token": (1.5, 7.0), "byte_share": (0.0, 0.15), "entropy": (4.7, None)},
+    "es": {"chars_per_token": (1.5, 7.0), "byte_share": (0.0, 0.15), "entropy": (4.7, None)},
+    "latin": {"chars_per_token": (1.1, 7.0), "byte_share": (0.0, 0.40), "entropy": (4.5, None)},
+    "greek": {"chars_per_token": (0.4, 4.0), "byte_share": (0.0, 1.0), "entropy": (3.0, None)},
+    "cyrillic": {"chars_per_token": (0.4, 5.0), "byte_share": (0.0, 1.0), "entropy": (3.0, None)},
+    "cjk": {"chars_per_token": (0.2, 2.5), "byte_share": (0.0, 1.0), "entropy": (3.0, None)},
+    "other": {"chars_per_token": (0.2, 7.0), "byte_share": (0.0, 1.0), "entropy": (3.0, None)},
+}
 MIN_TOKENS = 120
 
 MEASURES = T.StructType(
@@ -125,19 +138,30 @@ def plain_rules(texts: list) -> dict:
     }
 
 
-def fertility(model_path: str):
-    """Function from texts to the three measures under a sentencepiece vocabulary."""
-    import sentencepiece
+def _pieces(path: str):
+    """Function from texts to ids, and which ids are single bytes from 0x80 on: of a sentencepiece model, or of a tokenizers file of bytes."""
+    if path.endswith(".model"):
+        import sentencepiece
+
+        sp = sentencepiece.SentencePieceProcessor(model_file=path)
+        fallback = [sp.is_byte(k) and int(sp.id_to_piece(k)[3:5], 16) >= 0x80 for k in range(sp.get_piece_size())]
+        return lambda texts: sp.encode(texts, num_threads=1), np.array([*fallback, False])
+    from tokenizers import Tokenizer
+
+    # bytes stand as letters there: 0xA1 to 0xAC and 0xAE to 0xFF as themselves, 0x80 to 0xA0 and 0xAD from U+0122 on
+    exact = Tokenizer.from_file(path)
+    letters = {*range(0xA1, 0xAD), *range(0xAE, 0x100), *range(0x122, 0x144)}
+    tokens = (exact.id_to_token(k) or "" for k in range(exact.get_vocab_size()))
+    return packing.tokenizer(path), np.array([len(t) == 1 and ord(t) in letters for t in tokens] + [False])
 
-    sp = sentencepiece.SentencePieceProcessor(model_file=model_path)
-    fallback = np.zeros(sp.get_piece_size() + 1, dtype=bool)
-    for k in range(sp.get_piece_size()):
-        if sp.is_byte(k):
-            fallback[k] = int(sp.id_to_piece(k)[3:5], 16) >= 0x80
+
+def fertility(model_path: str, suffix: str = ""):
+    """Function from texts to the measures under a public vocabulary."""
+    encode, fallback = _pieces(model_path)
 
     def fn(texts):
         n, chars, share, entropy = [], [], [], []
-        for t, ids in zip(texts, sp.encode([t or "" for t in texts], num_threads=1), strict=True):
+        for t, ids in zip(texts, encode([t or "" for t in texts]), strict=True):
             ids = np.asarray(ids, dtype=np.int32)
             n.append(len(ids))
             if not len(ids):
@@ -148,11 +172,24 @@ def fertility(model_path: str):
             chars.append(len(t) / len(ids))
             share.append(float(fallback[ids].mean()))
             entropy.append(float(-(p * np.log2(p)).sum()) + 0.0)
-        return {"n_tokens": n, "chars_per_token": chars, "byte_share": share, "entropy": entropy}
+        return {f"{k}{suffix}": v for k, v in (("n_tokens", n), ("chars_per_token", chars), ("byte_share", share), ("entropy", entropy))}
 
     return fn
 
 
+def _inside(band, bands: dict, suffix: str, min_tokens: int):
+    out = F.lit(True)
+    for name, limits in bands.items():
+        ok = F.lit(True)
+        for measure, (least, most) in limits.items():
+            if least is not None:
+                ok = ok & (F.col(f"{measure}{suffix}") >= least)
+            if most is not None:
+                ok = ok & (F.col(f"{measure}{suffix}") <= most)
+        out = F.when(band == name, ok).otherwise(out)
+    return out | (F.col(f"n_tokens{suffix}") < min_tokens)
+
+
 def quality_rules(
     docs: DataFrame,
     model_path: str,
@@ -160,30 +197,34 @@ def quality_rules(
     lang_col: str | None = "lang",
     bands: dict | None = None,
     min_tokens: int = MIN_TOKENS,
+    byte_path: str | None = None,
+    byte_bands: dict | None = None,
 ) -> DataFrame:
-    """``docs`` with the counts and measures, base_failed, in_band and kept."""
-    bands = bands or BANDS
+    """``docs`` with the counts and measures, base_failed, in_band and kept. With ``byte_path`` the measures of that vocabulary
+    stand beside, their names ending in _bytes, and its bands must hold as well."""
+    bands, kinds = bands or BANDS, [("", model_path)] + ([("_bytes", byte_path)] if byte_path else [])
 
     def make():
-        measure = fertility(model_path)
-        return lambda texts: plain_rules(texts) | measure(texts)
+        measures = [fertility(path, suffix) for suffix, path in kinds]
+
+        def fn(texts):
+            out = plain_rules(texts)
+            for m in measures:
+                out |= m(texts)
+            return out
+
+        return fn
 
     extra = ["base_failed", "in_band", "kept"]
     src = docs.select(*[F.col(f"`{c}`") for c in _arrow.free_of(docs, extra, keep=[text_col])])
-    got = _arrow.map_texts(src, text_col, MEASURES, make, drop_text=False)
+    more = [T.StructField(f"{n}_bytes", MEASURES[n].dataType) for n in ("n_tokens", "chars_per_token", "byte_share", "entropy")] if byte_path else []
+    got = _arrow.map_texts(src, text_col, T.StructType([*MEASURES, *more]), make, drop_text=False)
     names = {c.lower(): c for c in got.columns}
     lang = F.col(f"`{names[lang_col.lower()]}`") if lang_col and lang_col.lower() in names else F.lit(None).cast("string")
     band = F.when(lang.isin(*bands), lang).otherwise(F.col("script"))
-    inside = F.lit(True)
-    for name, limits in bands.items():
-        ok = F.lit(True)
-        for measure, (least, most) in limits.items():
-            if least is not None:
-                ok = ok & (F.col(measure) >= least)
-            if most is not None:
-                ok = ok & (F.col(measure) <= most)
-        inside = F.when(band == name, ok).otherwise(inside)
-    inside = inside | (F.col("n_tokens") < min_tokens)
+    inside = _inside(band, bands, "", min_tokens)
+    if byte_path:
+        inside = inside & _inside(band, byte_bands or BYTE_BANDS, "_bytes", min_tokens)
     failed = (F.col("n_words") < 50) | (F.col("n_repeat_words") * 100 > F.col("n_words") * 50)
     return got.withColumns({"base_failed": failed, "in_band": inside, "kept": ~failed & inside})
 
@@ -192,8 +233,8 @@ def op7_quality_rules(spark, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     docs = _arrow.documents(spark, sf_dir).select("doc_id", "lang", "text")
-    got = quality_rules(docs, public_tokenizers.path("piece_bpe_32k.model"))
+    got = quality_rules(docs, public_tokenizers.path("piece_bpe_32k.model"), byte_path=public_tokenizers.path("byte_bpe_50k.json"))
     return got.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
-        "chars_per_token", "byte_share", "entropy",
+        "chars_per_token", "byte_share", "entropy", "chars_per_token_bytes", "byte_share_bytes", "entropy_bytes",
     )

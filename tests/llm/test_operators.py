@@ -186,6 +186,22 @@ def test_fertility_measures():
         assert (got["n_tokens"][k], got["chars_per_token"][k], got["byte_share"][k], got["entropy"][k]) == pytest.approx(want, abs=1e-9)
 
 
+def test_byte_vocabulary_measures():
+    """Single bytes from 0x80 on, found by what the vocabulary's own library decodes."""
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    exact = Tokenizer.from_file(path)
+    texts = ["plain words", "\U0001f9ff\u0f00 ཀ ཁ " * 30, "für naïve café " * 20, "", None]
+    got = fertility.fertility(path, "_bytes")(texts)
+    for k, t in enumerate(texts):
+        e = exact.encode(t or "", add_special_tokens=False)
+        # a token that covers no whole character of the text and is one letter of the byte alphabet
+        lone = sum(len(x) == 1 and len(exact.decode([i]).encode()) != 1 and exact.decode([i]) == "\ufffd" for i, x in zip(e.ids, e.tokens, strict=True))
+        assert got["n_tokens_bytes"][k] == len(e.ids) and got["byte_share_bytes"][k] * max(len(e.ids), 1) == pytest.approx(lone)
+    assert got["byte_share_bytes"][1] > 0.3 and got["byte_share_bytes"][2] == 0
+
+
 def test_quality_rules(spark):
     got = fertility.quality_rules(cases.table(spark), public_tokenizers.path("piece_bpe_32k.model")).collect()
     data = cases.rows()
