@@ -156,15 +156,6 @@ def agreement_bands(spark, sf):
     return region.groupBy(consensus.band(F.col("mean_sim")).alias("band")).agg(F.count(F.lit(1)).alias("n"))
 
 
-def aligned_regions(spark, sf):
-    regions, _ = consensus.analyze_regions(blocks(spark, sf))
-    return regions.select("page", "region", "n_engines", "n_lines", "n_high_conf_lines", "n_low_conf_lines", micro(F.col("mean_line_agreement")).alias("mean_line_agreement"))
-
-
-def fused_lines(spark, sf):
-    return consensus.fuse_regions(blocks(spark, sf)).select("page", "region", "line_idx", "text", "n_votes")
-
-
 def flagged_lines(spark, sf):
     return consensus.flagged(consensus.anchored_agreement(blocks(spark, sf), "e0")).select("page", "region", "line_idx", "agreement", "n_corrob", "text")
 
@@ -247,7 +238,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         page_quality, line_tags, systematic_sample, todo_antijoin, read_manifest, read_pairs, pairwise_cer, engine_centrality,
-        consensus_entropy, consensus_weights, cluster_fraction, agreement_bands, aligned_regions, fused_lines, flagged_lines, punct_score, leaderboard,
+        consensus_entropy, consensus_weights, cluster_fraction, agreement_bands, flagged_lines, punct_score, leaderboard,
         accepted_corrections, clean_markup, protected_tokens, monotone_documents, light_forms,
     )
 }

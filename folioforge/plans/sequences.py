@@ -6,8 +6,8 @@ from pyspark.sql import functions as F
 
 from folioforge.functions import similarity as S
 from folioforge.functions import text as X
-from folioforge.operators import consensus, geometry, images, models, sampling
-from folioforge.plans.documents import blocks, document_lines, hyp_ref, micro, table
+from folioforge.operators import images, models, sampling
+from folioforge.plans.documents import document_lines, hyp_ref, micro, table
 
 
 def matcher_ratios(spark, sf):
@@ -22,16 +22,6 @@ def corrected_lines(spark, sf):
     return fixed.select("page", "line_no", F.md5("corrected").alias("corrected"))
 
 
-def free_alignment(spark, sf):
-    got = consensus.aligned_lines(blocks(spark, sf))
-    return got.groupBy("page", "region").agg(F.count_distinct("slot").alias("slots"), F.count(F.lit(1)).alias("lines"))
-
-
-def ordered_alignment(spark, sf):
-    got = consensus.aligned_lines(blocks(spark, sf), ordered=True)
-    return got.groupBy("page", "region").agg(F.count_distinct("slot").alias("slots"), F.count(F.lit(1)).alias("lines"))
-
-
 def image_splits(spark, sf):
     """Pages drawn from the numbers of suppliers: a header bar and two columns of bars."""
     import numpy as np
@@ -58,5 +48,5 @@ def drawn_sample(spark, sf):
 
 QUERIES = {
     f.__name__: f
-    for f in (matcher_ratios, corrected_lines, free_alignment, ordered_alignment, image_splits, drawn_sample)
+    for f in (matcher_ratios, corrected_lines, image_splits, drawn_sample)
 }
