@@ -11,7 +11,8 @@ import unicodedata
 import pytest
 from folioforge.functions import patterns
 from folioforge.operators import models
-from folioforge.plans import documents, pages, registry, sequences, tables
+from folioforge.plans import documents, registry, sequences, tables
+from folioforge.plans import pages as page_plans
 
 from . import oracle
 
@@ -24,7 +25,7 @@ def run(spark, name):
 
 def test_line_clusters(spark):
     pages = collections.defaultdict(list)
-    for r in pages.words_of_lineitem(spark, oracle.SF).collect():
+    for r in page_plans.words_of_lineitem(spark, oracle.SF).collect():
         pages[r["page"]].append((r["y0"], r["x0"], r["y1"], r["x1"], r["t"]))
     expect = {}
     for page, words in pages.items():
