@@ -104,29 +104,15 @@ def merge_bumps_1912(lines: Column) -> Column:
     return F.aggregate(kept, start, add, lambda a: F.when(a["cur"].isNull(), a["done"]).otherwise(F.array_append(a["done"], a["cur"])))
 
 
-def _carried(df: DataFrame, values: dict[str, tuple[Column, bool]], volume: str) -> DataFrame:
-    """``df`` with the last value that is not null up to each row (inclusive or not), for several columns at once.
-
-    A struct around a value keeps the empty string apart from null.
-    """
-    page = Window.partitionBy(volume, "page").orderBy("region", "line_no")
-    own = df.withColumns({f"_v_{n}": v for n, (v, _) in values.items()})
-    ends = {n: page.rowsBetween(Window.unboundedPreceding, 0 if here else -1) for n, (_, here) in values.items()}
-    own = own.withColumns({f"_i_{n}": F.last(f"_v_{n}", ignorenulls=True).over(w) for n, w in ends.items()})
-    last = lambda n: F.max_by(f"_v_{n}", F.when(F.col(f"_v_{n}").isNotNull(), F.struct("region", "line_no")))
-    pages = own.groupBy(volume, "page").agg(*[last(n).alias(f"_l_{n}") for n in values])
-    before = Window.partitionBy(volume).orderBy("page").rowsBetween(Window.unboundedPreceding, -1)
-    pages = pages.select(volume, "page", *[F.last(f"_l_{n}", ignorenulls=True).over(before).alias(f"_b_{n}") for n in values])
-    got = own.join(pages, [volume, "page"], "left")
-    got = got.withColumns({n: F.coalesce(f"_i_{n}", f"_b_{n}") for n in values})
-    return got.drop(*[f"_{k}_{n}" for k in "vib" for n in values])
-
-
 def parse_records(lines: DataFrame, dialect: str = "1936", volume: str = "volume", split_spaces: bool = False) -> DataFrame:
     """Records of lines (volume, page, region, line_no, text; colL before colR by name).
 
     Adds surname, given_names, title, location, incomes and flags. In the 1912 dialect records without a
     surname, given name and income are dropped after they had their effect on what is carried.
+
+    Lines meet the other lines of their page in one exchange. What a page leaves open is two answers about the pages before: is the
+    surname that comes in an institution's, and is the title that comes in a wife's. So each page is read for every answer,
+    a table of one row a page settles what comes in, volume by volume, and each line takes the reading that fits.
     """
     old = dialect == "1912"
     df = lines.withColumn("raw", X.strip(F.col("text"))).where("raw <> ''")
@@ -134,40 +120,74 @@ def parse_records(lines: DataFrame, dialect: str = "1936", volume: str = "volume
     last = F.element_at("_f", -1)
     income = income_1912(last, split_spaces) if old else income_1936(last)
     df = df.withColumns({"_is_income": income["is_income"], "municipal_income": income["municipal"], "state_income": income["state"]})
-    df = df.withColumn("_f", F.when(F.col("_is_income"), F.slice("_f", 1, F.greatest(F.size("_f") - 1, F.lit(0)))).otherwise(F.col("_f")))
+    less = lambda c: F.slice(c, 1, F.greatest(F.size(c) - 1, F.lit(0)))
+    rest = lambda c: F.slice(c, 2, F.greatest(F.size(c) - 1, F.lit(0)))
+    df = df.withColumn("_f", F.when(F.col("_is_income"), less("_f")).otherwise(F.col("_f")))
     head = F.coalesce(F.get("_f", F.lit(0)), F.lit(""))
     ditto = F.col("n_dash") >= 1
     if old:
         ditto = ditto | (F.regexp_like(head, F.lit(P.TITLE_FIRST)) & (F.size("_f") > 0))
     df = df.withColumns({"_ditto": ditto, "_same": F.col("n_dash") >= 2})
-    df = _carried(df, {"_surname": (F.when(~F.col("_ditto"), F.struct(head.alias("v"))), True)}, volume)
-    df = df.withColumn("surname", F.coalesce(F.col("_surname")["v"], F.lit("")))
-    df = df.withColumn("_rest", F.when(F.col("_ditto"), F.col("_f")).otherwise(F.slice("_f", 2, F.greatest(F.size("_f") - 1, F.lit(0)))))
+
+    page = Window.partitionBy(volume, "page").orderBy("region", "line_no")
+    so_far, before = page.rowsBetween(Window.unboundedPreceding, 0), page.rowsBetween(Window.unboundedPreceding, -1)
+    carried = lambda c, w: F.last(c, ignorenulls=True).over(w)
+    # structs keep an empty value apart from none
+    df = df.withColumns({"_own": F.when(~F.col("_ditto"), F.struct(head.alias("v"))), "_rest": F.when(F.col("_ditto"), F.col("_f")).otherwise(rest("_f"))})
+    df = df.withColumn("_surname", carried("_own", so_far))
     first = F.coalesce(F.get("_rest", F.lit(0)), F.lit(""))
-    institution = (
-        F.lit(False) if old else (F.size("_rest") > 0) & (first.isin(*P.PARISHES) | F.regexp_like("surname", F.lit(P.INSTITUTION)))
-    )
-    df = df.withColumn("_inst", institution)
-    given = F.when(~F.col("_same"), F.struct(F.when(F.col("_inst"), F.lit("")).otherwise(first).alias("v")))
-    tail = F.slice("_rest", 2, F.greatest(F.size("_rest") - 1, F.lit(0)))
-    df = df.withColumns({"_given": given, "_loc": F.when(F.col("_same") | F.col("_inst"), F.col("_rest")).otherwise(tail)})
-    place = F.coalesce(F.try_element_at("_loc", F.lit(-1)), F.lit(""))
-    middle = F.filter(F.slice("_loc", 1, F.greatest(F.size("_loc") - 1, F.lit(0))), lambda x: x != "")
-    df = df.withColumns({"_title": F.array_join(middle, ", "), "_place": F.regexp_replace(place, r"\.+$", "") if old else place})
-    # a row of the same person shows the carried title; only other rows' own titles are carried
-    own_title = F.when(~F.col("_same") & (F.col("_title") != ""), F.col("_title"))
-    df = _carried(df, {"_given_c": (F.col("_given"), True), **({} if old else {"_title_c": (own_title, False)})}, volume)
-    df = df.withColumn("given_names", F.coalesce(F.col("_given_c")["v"], F.lit("")))
-    if old:
-        df = df.withColumn("title", F.col("_title"))
-        wife = F.regexp_like(F.regexp_replace("raw", P.DASH_RUN, ""), F.lit(P.WIFE))
-    else:
-        df = df.withColumn("title", F.when(F.col("_same"), F.coalesce("_title_c", F.lit(""))).otherwise(F.col("_title")))
-        wife = F.regexp_like(F.concat_ws(" ", F.col("title"), F.array_join("_loc", " ")), F.lit(P.WIFE))
-    df = df.withColumn("_wife", wife)
-    df = _carried(df, {"_settled": (F.when(~F.col("_wife") & (F.col("_place") != ""), F.col("_place")), False)}, volume)
-    df = df.withColumn("location", F.when(F.col("_wife"), F.coalesce("_settled", "_place")).otherwise(F.col("_place")))
+    answers = (0,) if old else (0, 1)
+    both = [(i, w) for i in answers for w in answers]
+    for i in answers:
+        known = F.coalesce(F.regexp_like(F.col("_surname")["v"], F.lit(P.INSTITUTION)), F.lit(bool(i)))
+        institution = F.lit(False) if old else (F.size("_rest") > 0) & (first.isin(*P.PARISHES) | known)
+        loc = F.when(F.col("_same") | institution, F.col("_rest")).otherwise(rest("_rest"))
+        df = df.withColumns({f"_given{i}": F.when(~F.col("_same"), F.struct(F.when(institution, "").otherwise(first).alias("v"))), f"_loc{i}": loc})
+        place = F.coalesce(F.try_element_at(f"_loc{i}", F.lit(-1)), F.lit(""))
+        df = df.withColumns({
+            f"_place{i}": F.regexp_replace(place, r"\.+$", "") if old else place, f"_title{i}": F.array_join(F.filter(less(f"_loc{i}"), lambda x: x != ""), ", "),
+        })
+        # a row of the same person shows the carried title; only other rows' own titles are carried
+        df = df.withColumn(f"_said{i}", F.when(~F.col("_same") & (F.col(f"_title{i}") != ""), F.col(f"_title{i}")))
+        df = df.withColumns({f"_given_c{i}": carried(f"_given{i}", so_far), f"_title_c{i}": carried(f"_said{i}", before)})
+    for i, w in both:
+        if old:
+            wife = F.regexp_like(F.regexp_replace("raw", P.DASH_RUN, ""), F.lit(P.WIFE))
+        else:
+            shown = F.when(F.col("_same"), F.col(f"_title_c{i}")).otherwise(F.col(f"_title{i}"))
+            wife = F.regexp_like(F.concat_ws(" ", shown, F.array_join(f"_loc{i}", " ")), F.lit(P.WIFE)) | (F.col("_same") & F.col(f"_title_c{i}").isNull() & F.lit(bool(w)))
+        df = df.withColumn(f"_wife{i}{w}", wife)
+        df = df.withColumn(f"_settled{i}{w}", F.when(~F.col(f"_wife{i}{w}") & (F.col(f"_place{i}") != ""), F.col(f"_place{i}")))
+        df = df.withColumn(f"_settled_c{i}{w}", carried(f"_settled{i}{w}", before))
+
+    # what each page passes on, and what comes into it
+    passed = ["_own", *[f"_{n}{i}" for i in answers for n in ("given", "said")], *[f"_settled{i}{w}" for i, w in both]]
+    latest = lambda c: F.max_by(c, F.when(F.col(c).isNotNull(), F.struct("region", "line_no")))
+    pages = df.groupBy(volume, "page").agg(*[latest(c).alias(c) for c in passed])
+    earlier = Window.partitionBy(volume).orderBy("page").rowsBetween(Window.unboundedPreceding, -1)
+    yes = lambda c, pattern: F.coalesce(F.regexp_like(c, F.lit(pattern)), F.lit(False)).cast("int")
+    pick = lambda names, at: F.get(F.array(*[F.col(n) for n in names]), at)
+    pages = pages.withColumn("_surname_in", carried("_own", earlier))
+    pages = pages.withColumn("_i", F.lit(0) if old else yes(F.col("_surname_in")["v"], P.INSTITUTION))
+    pages = pages.withColumns({"_given_in": carried(pick([f"_given{i}" for i in answers], F.col("_i")), earlier), "_title_in": carried(pick([f"_said{i}" for i in answers], F.col("_i")), earlier)})
+    pages = pages.withColumn("_w", F.lit(0) if old else yes(F.col("_title_in"), P.WIFE))
+    pages = pages.withColumn("_settled_in", carried(pick([f"_settled{i}{w}" for i, w in both], F.col("_i") * len(answers) + F.col("_w")), earlier))
+    df = df.join(pages.select(volume, "page", "_surname_in", "_i", "_given_in", "_title_in", "_w", "_settled_in"), [volume, "page"], "left")
+    i, w = F.coalesce("_i", F.lit(0)), F.coalesce("_w", F.lit(0))
+    mine = lambda n: pick([f"_{n}{k}" for k in answers], i)
+    ours = lambda n: pick([f"_{n}{a}{b}" for a, b in both], i * len(answers) + w)
+
+    df = df.withColumns({"_place": mine("place"), "_wife": ours("wife")})
+    own_title = mine("title")
     out = df.withColumns(
+        {
+            "surname": F.coalesce(F.col("_surname")["v"], F.col("_surname_in")["v"], F.lit("")),
+            "given_names": F.coalesce(mine("given_c")["v"], F.col("_given_in")["v"], F.lit("")),
+            "title": own_title if old else F.when(F.col("_same"), F.coalesce(mine("title_c"), "_title_in", F.lit(""))).otherwise(own_title),
+            "location": F.when(F.col("_wife"), F.coalesce(ours("settled_c"), "_settled_in", "_place")).otherwise(F.col("_place")),
+        }
+    )
+    out = out.withColumns(
         {
             "is_continuation_surname": F.col("_ditto").cast("int"),
             "is_same_person_2nd_loc": F.col("_same").cast("int"),

@@ -61,3 +61,20 @@ def test_ids_and_city(spark):
     pages = spark.createDataFrame([("v", 1, ""), ("v", 2, "G Ö T E B  O R G 1912"), ("v", 3, "x"), ("v", 4, "Lundin")], "volume string, page int, top string")
     got = R.carry_city(pages.select("volume", "page", R.city_of_page(F.col("top")).alias("city"))).orderBy("page")
     assert [r["city"] for r in got.collect()] == ["", "Göteborg", "Göteborg", "Lund"]
+
+
+@pytest.mark.parametrize("dialect", ["1936", "1912"])
+def test_pages_do_not_matter(spark, dialect):
+    """Records are the same whether all lines are on one page, each is on its own, or pages hold a few."""
+    import random
+
+    r = random.Random(11)
+    heads = ["Berg", "Nordiska Fonden", "Ek A.-B.", "hustru", "–", "– –", "– Greta", "Lind", "", "Stiftelsen X"]
+    parts = ["A", "Mt", "köpman", "hustru", "änkefru", "Karl", "Farsta", "", "O.", "fru hustru"]
+    texts = [", ".join([r.choice(heads), *(r.choice(parts) for _ in range(r.randint(0, 4))), r.choice(["100–200", "–300", "", "7"])]) for _ in range(400)]
+    seen = []
+    for size in (400, 1, 7):
+        rows = [("v", k // size, "colL", k, t) for k, t in enumerate(texts)]
+        got = R.parse_records(spark.createDataFrame(rows, "volume string, page int, region string, line_no int, text string"), dialect)
+        seen.append(sorted(tuple(x) for x in got.drop("page").collect()))
+    assert seen[0] == seen[1] == seen[2] and len(seen[0]) > 300
