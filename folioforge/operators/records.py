@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from folioforge.functions import patterns as P
 from folioforge.functions import text as X
+from folioforge.operators import sampling
 
 ORDER = ("page", "region", "line_no")
 
@@ -212,12 +213,39 @@ def with_record_ids(records: DataFrame, prefix: str, volume: str = "volume") ->
 
 
 def monotonicity(df: DataFrame, name: str, keys: list, order: list, minimum: float | None = None) -> DataFrame:
-    """Share of neighbours in code-point order, case folded. ``minimum`` stands in where there is one row only."""
-    folded = X.casefold(F.col(name))
-    w = Window.partitionBy(*keys).orderBy(*order)
-    step = df.withColumn("_a", F.lag(folded).over(w)).withColumn("_b", folded)
-    ok = F.sum(F.when(F.col("_a") <= F.col("_b"), 1).otherwise(0))
-    return step.groupBy(*keys).agg((ok / F.greatest(F.count(F.lit(1)) - 1, F.lit(1))).alias("monotonicity"), F.count(F.lit(1)).alias("n_names"))
+    """Share of neighbours in code-point order, case folded. ``minimum`` stands in where there is one row only.
+
+    Neighbours are compared inside ranges of the order, then the last name of a range with the first of the next, so a key that holds
+    most of the rows is spread over many tasks.
+    """
+    rows = sampling.ranged(df.select(*keys, *order, X.casefold(F.col(name)).alias("_b")), [*keys, *order])
+    inside = Window.partitionBy("_p", *keys).orderBy(*order)
+    step = rows.withColumn("_a", F.lag("_b").over(inside))
+    at = F.struct(*order)
+    ends = step.groupBy("_p", *keys).agg(
+        F.count_if(F.col("_a") <= F.col("_b")).alias("_ok"), F.count(F.lit(1)).alias("_n"), F.min_by(F.struct("_b"), at)["_b"].alias("_first"), F.max_by(F.struct("_b"), at)["_b"].alias("_last")
+    )
+    joint = F.lag("_last").over(Window.partitionBy(*keys).orderBy("_p")) <= F.col("_first")
+    ok, n = F.sum(F.col("_ok") + F.coalesce(F.col("_joint").cast("int"), F.lit(0))), F.sum("_n")
+    share = ok / F.greatest(n - 1, F.lit(1))
+    if minimum is not None:
+        share = F.when(n == 1, F.lit(minimum)).otherwise(share)
+    return ends.withColumn("_joint", joint).groupBy(*keys).agg(share.alias("monotonicity"), n.alias("n_names"))
+
+
+def carry_last(df: DataFrame, value: Column, keys: list[str], order: list[str], name: str) -> DataFrame:
+    """``df`` with the last value that is not null up to each row, by key: inside ranges of the order, else from the ranges before."""
+    rows = sampling.ranged(df.withColumn("_v", value), [*keys, *order])
+    inside = Window.partitionBy("_p", *keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    rows = rows.withColumn("_i", F.last("_v", ignorenulls=True).over(inside))
+    ends = rows.groupBy("_p", *keys).agg(F.max_by("_v", F.when(F.col("_v").isNotNull(), F.struct(*order))).alias("_l"))
+    earlier = Window.partitionBy(*keys).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+    ends = ends.select(F.col("_p").alias("_q"), *[F.col(k).alias(f"_k{n}") for n, k in enumerate(keys)], F.last("_l", ignorenulls=True).over(earlier).alias("_before")).where("_before IS NOT NULL")
+    on = F.col("_p") == F.col("_q")
+    for n, k in enumerate(keys):
+        on = on & F.col(k).eqNullSafe(F.col(f"_k{n}"))
+    got = rows.join(ends, on, "left").withColumn(name, F.coalesce("_i", "_before"))
+    return got.drop("_v", "_p", "_i", "_q", "_before", *[f"_k{n}" for n in range(len(keys))])
 
 
 def record_qa(records: DataFrame, volume: str = "volume") -> DataFrame:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from folioforge.functions import patterns as P
@@ -15,10 +14,8 @@ D = P.DASHES
 
 def carry_forward(spark, sf):
     """Each event with its user's last purchase value so far; errors inherit it."""
-    e = table(spark, sf, "events")
-    w = Window.partitionBy("user_id").orderBy("ts", "event_id").rowsBetween(Window.unboundedPreceding, 0)
-    cents = F.round(F.col("value") * 100).cast("long")
-    return e.select("event_id", F.last(F.when(F.col("event_type") == "purchase", cents), ignorenulls=True).over(w).alias("carried"))
+    cents = F.when(F.col("event_type") == "purchase", F.round(F.col("value") * 100).cast("long"))
+    return records.carry_last(table(spark, sf, "events"), cents, ["user_id"], ["ts", "event_id"], "carried").select("event_id", "carried")
 
 
 # Directory lines made from customers: a key stands for each kind of line
