@@ -12,11 +12,11 @@ Skew: words that make up more than ``1 / HOT`` of the tokens (so at most HOT of
 buckets by the pair, and their statistics are summed afterwards. Map tasks add up equal words and
 pairs before anything is shuffled.
 
-Unknown words share one extra word's probability. The order is two: a third order's distinct
-trigrams alone take more shared disk than the whole model may (see README).
+Unknown words share one extra word's probability. The order is two: what a third one takes is in the README.
 
 Defined cases: a null text is empty and consists of its end; a null id is not learned from and counts as held
-out; repeated rows count each; without training rows every word is unknown and has probability 1; an empty table gives
+out; repeated rows count each; a very long text is scored whole, in a batch of its own; words of one count and context are equal in
+every sum, so ties need no order; extra columns stay, but for those of the names that are made here, which are replaced; without training rows every word is unknown and has probability 1; an empty table gives
 an empty table.
 """
 

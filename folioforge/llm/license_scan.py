@@ -10,7 +10,7 @@ broadcast only while it has at most ``BROADCAST_ROWS`` rows; a larger registry i
 
 Defined cases: a null text has no licence and no lines; a text that is empty once normalised matches nothing; an empty
 table gives an empty table; several registry texts with one digest give the first id by name; repeated rows are
-scanned each; extra columns stay.
+scanned each; a very long text is normalised whole, in one row; extra columns stay, but for those of the names that are made here, which are replaced.
 """
 
 from __future__ import annotations

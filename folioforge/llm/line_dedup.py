@@ -10,7 +10,8 @@ because the table of frequent hashes has one row for each of them.
 
 Defined cases: a null text is one empty line and stays null; an empty table gives an empty
 table; a null document id counts as one more document, smaller than all others; repeated rows of one
-id count as one document and are each cut alike; extra columns stay.
+id count as one document and are each cut alike; a very long text is split whole, and its lines travel as hashes; the
+largest id keeps a line however often it holds it; extra columns stay, but for those of the names that are made here, which are replaced.
 """
 
 from __future__ import annotations

@@ -21,7 +21,8 @@ documents first. Steps:
 
 Defined cases: null, empty and blank texts have an empty set and link with nothing; texts of fewer words are one
 shingle; the least id among copies names a class; a null id is never the least id, so it is its own (null) component only
-where no other id is reached; repeated rows are copies; extra columns stay; an empty table gives an empty table.
+where no other id is reached; repeated rows are copies; a very long text is one set, whole; of equal ones the least id and class
+count, in every choice of hubs and prefixes; extra columns stay, but for those of the names that are made here, which are replaced; an empty table gives an empty table.
 """
 
 from __future__ import annotations
@@ -42,7 +43,7 @@ CUTS = (2, 4, 16)
 #: members of a bucket that are compared with the rest of it, in rounds after the first; None: every member
 HUBS = (8, None)
 #: members of a bucket's main component, and as many others, that one group of round two and later takes
-SPLIT = 512
+SPLIT = 2048
 #: bits of the bitmap by which pairs are ruled out
 BITS = 2048
 FLUSH = 1_200_000

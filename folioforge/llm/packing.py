@@ -14,7 +14,8 @@ the worker's end. A sequence is numbered by its partition and its place in it, s
 after a lost executor gives the same rows.
 
 Defined cases: a null or empty text is the end token alone; an empty table gives an empty table; a very long text
-is cut into full sequences; repeated rows are packed each; extra columns are not returned.
+is cut into full sequences; repeated rows are packed each; pieces of one length are put into bins in the order of their rows;
+extra columns are not returned.
 """
 
 from __future__ import annotations

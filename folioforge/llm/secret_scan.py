@@ -11,7 +11,8 @@ Skew: owners and repositories of a value are counted after a partial aggregation
 repository), so a value that a third of the corpus holds is no single task's work.
 
 Defined cases: a null text is empty and has no spans; an empty table gives an empty table; a null owner
-or repository is one more owner or repository; repeated rows are scanned each; extra columns stay.
+or repository is one more owner or repository; repeated rows are scanned each but are one repository; a very long text is scanned
+whole; spans that start at one place are in the order of the kinds; extra columns stay, but for those of the names that are made here, which are replaced.
 """
 
 from __future__ import annotations

@@ -17,7 +17,8 @@ Skew: anchors of ``HOT_DOCS`` documents or more are not gathered: each of their
 dealt by its content. Contexts that one task sees often are spread over several buckets of step 4.
 
 Defined cases: a null text is empty; a text under LENGTH bytes loses nothing; a null id is larger than every other; rows of one
-id never cut each other; an empty table gives an empty table; extra columns are not returned.
+id never cut each other; a very long text is read whole, in a batch of its own; of several documents that a string starts in
+the least id keeps it; an empty table gives an empty table; extra columns are not returned.
 """
 
 from __future__ import annotations

@@ -1,6 +1,7 @@
 import collections
 import hashlib
 import os
+import pickle
 import re
 import zlib
 
@@ -256,7 +257,7 @@ def test_language_fit_is_ftrl():
     r = np.random.default_rng(4)
     words = {"en": ["the", "and", "house"], "de": ["der", "und", "haus"], "fr": ["le", "et", "maison"]}
     rows = [(" ".join(r.choice(words[l], 6)), l, k % 4 == 0) for k, l in enumerate(["en", "de", "fr"] * 8)]
-    bits, alpha, beta, l1, l2, scale = 8, 0.3, 1.0, 2e-4, 1e-3, 20.0
+    bits, alpha, beta, l1, l2, scale = 8, 0.3, 1.0, 5e-2, 1e-3, 20.0
     model = language_id.fit(rows, bits=bits, epochs=2)
     labels = sorted(words)
     grams = []
@@ -268,7 +269,7 @@ def test_language_fit_is_ftrl():
     idf = {i: math.log((1 + len(rows)) / (1 + n)) + 1 for i, n in df.items()}
     z, n = collections.defaultdict(float), collections.defaultdict(float)
 
-    def weight(i, c):
+    def weight(i, c, l1=l1):
         v = z[i, c]
         return 0.0 if abs(v) <= l1 else -(v - math.copysign(l1, v)) / ((beta + math.sqrt(n[i, c])) / alpha + l2)
 
@@ -279,15 +280,21 @@ def test_language_fit_is_ftrl():
             g, y = grams[train[k]], labels.index(rows[train[k]][1])
             x = {i: scale * v * idf[i] for i, v in g.items()}
             w = {(i, c): weight(i, c) for i in x for c in range(3)}
-            e = [math.exp(sum(x[i] * w[i, c] for i in x)) for c in range(3)]
+            base = [weight("intercept", c, 0.0) for c in range(3)]
+            e = [math.exp(sum(x[i] * w[i, c] for i in x) + base[c]) for c in range(3)]
             for c in range(3):
                 off = e[c] / sum(e) - (c == y)
+                z["intercept", c] += off - (math.sqrt(n["intercept", c] + off * off) - math.sqrt(n["intercept", c])) / alpha * base[c]
+                n["intercept", c] += off * off
                 for i, v in x.items():
                     d = v * off
                     z[i, c] += d - (math.sqrt(n[i, c] + d * d) - math.sqrt(n[i, c])) / alpha * w[i, c]
                     n[i, c] += d * d
     for i in idf:
         assert model.table[i].tolist() == pytest.approx([weight(i, c) * scale * idf[i] for c in range(3)], rel=1e-6, abs=1e-9)
+    assert model.bias.tolist() == pytest.approx([weight("intercept", c, 0.0) for c in range(3)], rel=1e-6)
+    again = pickle.loads(pickle.dumps(model))
+    assert (again.table == model.table).all() and (model.table == 0).any(axis=1).sum() > 0
     # the temperature is the best one for the rows kept back, with one row of smoothing for each label
     back = [row for row in rows if row[2]]
     logits, _ = model.logits([t for t, *_ in back])
