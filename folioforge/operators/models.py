@@ -107,6 +107,8 @@ def restore_protected(source: str, corrected: str) -> str:
     from difflib import SequenceMatcher
 
     old, new = source.split(), corrected.split()
+    if old == new:
+        return " ".join(new)
     swap: dict[int, str] = {}
     back: list[tuple[int, str]] = []
     for kind, i1, i2, j1, j2 in SequenceMatcher(a=old, b=new, autojunk=False).get_opcodes():
@@ -137,8 +139,8 @@ def correct_line(line: str, generate: Callable[[str], str], max_bytes: int = P.C
             got = generate(text) or text
         except Exception:
             return text
-        far = D.ned(text.strip(), got.strip()) > P.ACCEPT_NED
-        drifted = far and (len(got) > len(text) * P.ACCEPT_GROWTH + P.ACCEPT_EXTRA or len(text.strip()) < P.ACCEPT_SHORT)
+        odd = len(got) > len(text) * P.ACCEPT_GROWTH + P.ACCEPT_EXTRA or len(text.strip()) < P.ACCEPT_SHORT
+        drifted = odd and D.ned(text.strip(), got.strip()) > P.ACCEPT_NED  # few are odd, so few are measured
         return text if drifted else got
 
     chunks, size = [[]], 0
