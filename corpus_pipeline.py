@@ -35,7 +35,7 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def join_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of linked documents the one with the least id stays."""
+    """Of each group of linked documents the one with the least id stays, with all its rows; rows without an id stay."""
     slim = ngram_join.ngram_join(docs.select("doc_id", "text"), drop_text=True)
     gone = slim.where("doc_id <> component_id").select("doc_id").distinct()
     return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
