@@ -65,4 +65,4 @@ def correction_verdict(scored: DataFrame) -> DataFrame:
 
 def training_cer(ref: Column, hyp: Column) -> Column:
     r, h = X.nfc_collapsed(ref), X.nfc_collapsed(hyp)
-    return F.when(r == "", F.when(h == "", 0.0).otherwise(1.0)).otherwise(F.levenshtein(r, h) / F.greatest(F.char_length(r), F.lit(1)))
+    return F.when(r == "", F.when(h == "", 0.0).otherwise(1.0)).otherwise(S.long_distance(r, h) / F.greatest(F.char_length(r), F.lit(1)))

@@ -164,6 +164,12 @@ def page_stats(gutter: DataFrame, lines: DataFrame, keys: list[str] | None = Non
     ).drop("_s", "split_x")
 
 
+def body_lines(lines: DataFrame, stats: DataFrame, keys: list[str] | None = None) -> DataFrame:
+    """Entries and dittos of body pages."""
+    keys = keys or ["volume", "page"]
+    return lines.join(stats.where("is_body = 1").select(*keys), keys, "left_semi").where(F.col("tag").isin("entry", "ditto"))
+
+
 def volume_summary(stats: DataFrame, volume: str = "volume") -> DataFrame:
     """Over body pages only; 0 where there are none."""
     body = stats.where("is_body = 1")

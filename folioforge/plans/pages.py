@@ -10,7 +10,7 @@ from folioforge.functions import patterns as P
 from folioforge.functions import text as X
 from folioforge.operators import analytics, consensus, evaluation, geometry, images, records, sampling
 from folioforge.plans import files
-from folioforge.plans.documents import EACH_LINE, ENTROPY, LETTERS, micro, reads, reads_sql, table
+from folioforge.plans.documents import COUNTED, ENTROPY, HYP, hyp_ref, micro, reads, reads_sql, table
 from folioforge.plans.tables import BUMPS, DIRECTORY, PARSED, bump_lines, directory
 from folioforge.sources import readers, sinks
 
@@ -52,6 +52,18 @@ def trainable_pages(spark, sf):
     return sampling.even_stride(s.where(good).select("page", "n_entry"), ["page"], 7).select("page", F.col("n_entry").cast("long").alias("n_entry"))
 
 
+def body_lines(spark, sf):
+    """Entries and dittos of body pages: of the pages, those that half of the lines were taken from are no body."""
+    lines = directory_lines(spark, sf).where("page % 4 < 3 OR line_no % 2 = 0").withColumn("tag", F.when(F.col("page") % 4 == 3, F.lit("other")).otherwise(F.col("tag")))
+    gutter = lines.select("volume", "page").distinct().withColumns({"split_x": F.lit(0.0), "gutter_conf": F.lit(1.0), "n_words": F.lit(0)})
+    return geometry.body_lines(lines, geometry.page_stats(gutter, lines)).select("line_no", "tag")
+
+
+def training_cer(spark, sf):
+    got = hyp_ref(spark, sf)
+    return got.select("doc_id", "line_no", micro(evaluation.training_cer(F.col("ref"), F.col("hyp"))).alias("cer"))
+
+
 def directory_records_1912(spark, sf):
     got = records.parse_records(directory(spark, sf), "1912")
     flags = ["is_continuation_surname", "is_same_person_2nd_loc", "is_wife", "is_company"]
@@ -226,7 +238,7 @@ def flagged_file(spark, sf):
 QUERIES = {
     f.__name__: f
     for f in (
-        directory_pages, volume_summary, trainable_pages, directory_records_1912, bump_merge_1912, line_clusters, top_texts, compared_forms, line_groups, consensus_pick, report_totals, worst_regions,
+        directory_pages, volume_summary, trainable_pages, body_lines, training_cer, directory_records_1912, bump_merge_1912, line_clusters, top_texts, compared_forms, line_groups, consensus_pick, report_totals, worst_regions,
         disagreements, agreements, correction_verdict, median_ratios, moving_average, text_bands, silver_pairs, board_lines, report_lines, agreement_files, flagged_file,
     )
 }
@@ -288,6 +300,8 @@ SQL = {
     + " FROM a LEFT JOIN b ON a.volume = b.volume LEFT JOIN m ON a.volume = m.volume",
     "trainable_pages": f"""WITH {TAGGED}, good AS (SELECT page, n_entry, row_number() OVER (ORDER BY page) - 1 AS i, count(*) OVER () AS n FROM s WHERE is_body = 1 AND gutter_conf >= 0.7 AND n_entry >= 45 AND n_ad <= 4 AND entry_ratio >= 0.6)
         SELECT page, n_entry FROM good WHERE n <= 7 OR i IN (SELECT CAST(floor(k * (SELECT count(*) FROM good) / 7.0) AS BIGINT) FROM range(7) r(k))""",
+    "body_lines": f"WITH {TAGGED}, body AS (SELECT page FROM s WHERE is_body = 1 AND page % 4 < 3) SELECT line_no, tag FROM tagged WHERE tag IN ('entry', 'ditto') AND page IN (FROM body)",
+    "training_cer": f"WITH {HYP}, compared AS (FROM both_), {COUNTED} SELECT doc_id, line_no, CAST(round(cer * 1000000) AS BIGINT) AS cer FROM scored",
     "directory_records_1912": f"""WITH {PARSED_1912} SELECT line_no, surname, given_names, title, CASE WHEN wife THEN coalesce(settled, place) ELSE place END AS location, municipal_income, state_income,
         CAST(ditto AS BIGINT) AS is_continuation_surname, CAST(same AS BIGINT) AS is_same_person_2nd_loc, CAST(wife AS BIGINT) AS is_wife, CAST(regexp_matches(raw, '{P.COMPANY}') AS BIGINT) AS is_company
         FROM l WHERE surname <> '' OR given_names <> '' OR coalesce(municipal_income, 0) <> 0 OR coalesce(state_income, 0) <> 0""",

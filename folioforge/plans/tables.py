@@ -238,7 +238,7 @@ def page_assembly(spark, sf):
 
 def word_chunks(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", F.col("text").alias("t"))
-    return docs.select("doc_id", F.explode(X.byte_chunks(F.col("t"))).alias("c")).groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"), F.max(F.octet_length("c")).alias("most"))
+    return docs.select("doc_id", F.explode(X.byte_chunks(F.col("t"))).alias("c")).groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"), F.max(F.octet_length("c")).cast("long").alias("most"))
 
 
 QUERIES = {
@@ -284,6 +284,13 @@ rec AS (SELECT volume, page, region, line_no, surname, given_names, title, locat
 WORDS = """words AS (SELECT l_orderkey // 100 AS page, l_orderkey, l_linenumber, CAST(l_quantity AS DOUBLE) AS x0, CAST(l_quantity AS DOUBLE) + 1 + l_linenumber AS x1 FROM lineitem)"""
 
 SQL = {
+    # a chunk ends before the first word that would bring it over the budget; a longer word is a chunk of its own
+    "word_chunks": f"""WITH RECURSIVE w AS (SELECT doc_id, strlen(x) + 1 AS size, rn FROM (SELECT doc_id, unnest(string_split(text, ' ')) AS x, generate_subscripts(string_split(text, ' '), 1) AS rn FROM documents)),
+        c AS (SELECT doc_id, rn, CAST(sum(size) OVER (PARTITION BY doc_id ORDER BY rn) AS BIGINT) AS cum, CAST(sum(size) OVER (PARTITION BY doc_id ORDER BY rn) - size AS BIGINT) AS before FROM w),
+        n AS (SELECT a.doc_id, a.rn, CASE WHEN b.rn IS NOT NULL THEN greatest(b.rn, a.rn + 1) END AS nxt, a.before FROM (SELECT *, before + {P.CHUNK_BYTES} AS full_ FROM c) a ASOF LEFT JOIN c b ON a.doc_id = b.doc_id AND a.full_ < b.cum),
+        e AS (SELECT n.doc_id, n.rn, n.nxt, coalesce(c.before, t.total) - n.before - 1 AS bytes FROM n LEFT JOIN c ON c.doc_id = n.doc_id AND c.rn = n.nxt JOIN (SELECT doc_id, max(cum) AS total FROM c GROUP BY 1) t ON t.doc_id = n.doc_id),
+        f(doc_id, nxt, bytes) AS (SELECT doc_id, nxt, bytes FROM e WHERE rn = 1 UNION ALL SELECT e.doc_id, e.nxt, e.bytes FROM f JOIN e ON e.doc_id = f.doc_id AND e.rn = f.nxt)
+        SELECT doc_id, count(*) AS n, CAST(max(bytes) AS BIGINT) AS most FROM f GROUP BY doc_id""",
     "carry_forward": """SELECT event_id, last_value(CASE WHEN event_type = 'purchase' THEN CAST(round(value * 100) AS BIGINT) END IGNORE NULLS)
         OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS carried FROM events""",
     "directory_records": f"WITH {RECORDS} SELECT * EXCLUDE (volume, page, region) FROM rec",

@@ -42,7 +42,7 @@ def run_text_layer(spark: SparkSession, row: dict, source: str, out: str, open_p
     spans = pages.select(*KEYS, F.explode("spans").alias("s")).select(*KEYS, "s.*")
     tops = geometry.top_text(spans, pages.select(*KEYS, F.get("rect", F.lit(1)).alias("height")), KEYS)
     cities = records.carry_city(body.join(tops, KEYS, "left").select(*KEYS, records.city_of_page(F.col("top_text")).alias("city")))
-    kept = lines.join(body, KEYS, "left_semi").where(F.col("tag").isin("entry", "ditto")).withColumn("text", X.nfkc(F.col("text")))
+    kept = geometry.body_lines(lines, stats).withColumn("text", X.nfkc(F.col("text")))
     parsed = records.parse_records(merged_columns(kept, dialect), dialect).join(cities, KEYS)
     numbered = records.with_record_ids(parsed.withColumn("year", F.lit(row["year"])), f"K{row['year']}")
     qa = records.record_qa(numbered)
