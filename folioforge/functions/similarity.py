@@ -85,3 +85,41 @@ def matcher_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     from difflib import SequenceMatcher
 
     return pd.Series([SequenceMatcher(None, x or "", y or "").ratio() for x, y in zip(a, b, strict=True)])
+
+
+# white space as the patterns of the text functions have it
+_BLANK = "[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+"
+
+
+def best_in_band(mine: list[str], theirs: list[str], radius: int = P.BAND_RADIUS) -> list[float]:
+    """For each line of one read the best Ratcliff-Obershelp ratio to the other's lines around the same relative place.
+
+    Candidates are tried in order of what their lengths allow at most, until that is no more than the best ratio so far; where
+    that is high already, those whose letters allow no more are left out too.
+    """
+    import re
+    import unicodedata
+    from difflib import SequenceMatcher
+
+    form = lambda t: re.sub(_BLANK, " ", unicodedata.normalize("NFKC", t)).strip(" ").casefold()
+    matchers = [SequenceMatcher(None, "", form(t)) for t in theirs]
+    out = []
+    for i, line in enumerate(map(form, mine)):
+        lo = max(0, int(i / max(1, len(mine)) * len(theirs)) - radius)
+        near = matchers[lo : lo + 2 * radius + 1]
+        for m in near:
+            m.set_seq1(line)
+        best = 0.0
+        for most, k in sorted(((m.real_quick_ratio(), -k) for k, m in enumerate(near)), reverse=True):
+            if most <= best:
+                break
+            if best < 0.6 or near[-k].quick_ratio() > best:
+                best = max(best, near[-k].ratio())
+        out.append(best)
+    return out
+
+
+@F.pandas_udf(T.ArrayType(T.DoubleType()))
+def best_ratios(mine: pd.Series, theirs: pd.Series) -> pd.Series:
+    """``best_in_band`` of two arrays of lines."""
+    return pd.Series([best_in_band(list(a), list(b)) for a, b in zip(mine, theirs, strict=True)])

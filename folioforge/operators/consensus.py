@@ -18,11 +18,18 @@ from folioforge.functions import text as X
 KEYS = ["page", "region"]
 
 
+def spread(reads: DataFrame, keys: list[str]) -> DataFrame:
+    """Reads by region over all shuffle partitions. Their texts are small and their comparison is long, so partitions must not be
+    put together by size, as adaptive execution does with a shuffle of its own."""
+    n = int(reads.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return reads.repartition(n, *keys)
+
+
 def pair_similarity(reads: DataFrame, keys: list[str] | None = None, text: str = "text", name: str = "engine") -> DataFrame:
     """Unordered pairs of reads of one region: keys, a, b, ned, sim."""
     keys = keys or KEYS
-    left = reads.select(*keys, F.col(name).alias("a"), F.col(text).alias("_ta"))
-    right = reads.select(*keys, F.col(name).alias("b"), F.col(text).alias("_tb"))
+    left = spread(reads.select(*keys, F.col(name).alias("a"), F.col(text).alias("_ta")), keys)
+    right = spread(reads.select(*keys, F.col(name).alias("b"), F.col(text).alias("_tb")), keys)
     pairs = left.join(right, keys).where("a < b")
     return pairs.withColumn("ned", S.long_ned(F.col("_ta"), F.col("_tb"))).withColumn("sim", 1 - F.col("ned")).drop("_ta", "_tb")
 
@@ -56,7 +63,7 @@ def _region_table(reads: DataFrame, keys: list[str], text: str, name: str, thres
     entropies over ln n. Labels of single-linkage clusters spread over links by repeated minima.
     """
     item = F.struct(F.col(name).alias("e"), F.col(text).alias("t"), *[F.col(c) for c in extra])
-    df = reads.groupBy(*keys).agg(F.array_sort(F.collect_list(item)).alias("_m"))
+    df = spread(reads.select(*keys, name, text, *extra), keys).groupBy(*keys).agg(F.array_sort(F.collect_list(item)).alias("_m"))
     df = df.withColumn("n", F.size("_m"))
     df = df.withColumn("_s", S.similarity_matrix(F.transform("_m", lambda x: x["t"])))
     others = lambda row, i: F.aggregate(F.transform(row, lambda v, k: F.when(k == i, 0.0).otherwise(v)), F.lit(0.0), lambda a, v: a + v)
@@ -73,11 +80,11 @@ def _region_table(reads: DataFrame, keys: list[str], text: str, name: str, thres
     total = lambda c: F.aggregate(c, F.lit(0.0), lambda a, v: a + v)
     df = df.withColumn("_wsum", total("_w")).withColumn("weight", F.transform("_w", lambda w: w / F.col("_wsum")))
     df = df.withColumn("_mean", total("entropy") / F.col("n"))
-    spread = F.sqrt(total(F.transform("entropy", lambda h: (h - F.col("_mean")) * (h - F.col("_mean")))) / F.col("n"))
+    deviation = F.sqrt(total(F.transform("entropy", lambda h: (h - F.col("_mean")) * (h - F.col("_mean")))) / F.col("n"))
     pairs = (F.col("n") * (F.col("n") - 1)).cast("double")
     df = df.withColumns(
         {
-            "delta": F.when(F.col("n") > 1, F.greatest(F.lit(0.0), F.least(F.lit(1.0), spread / F.log(F.col("n"))))).otherwise(0.0),
+            "delta": F.when(F.col("n") > 1, F.greatest(F.lit(0.0), F.least(F.lit(1.0), deviation / F.log(F.col("n"))))).otherwise(0.0),
             "mean_sim": F.when(F.col("n") > 1, F.round(total("_sum") / F.greatest(pairs, F.lit(1.0)), 12)).otherwise(1.0),
             "label": F.aggregate(
                 F.sequence(F.lit(1), F.col("n")),
@@ -262,7 +269,7 @@ def aligned_lines(reads: DataFrame, keys: list[str] | None = None, ordered: bool
     keys = keys or KEYS
     limit = threshold if threshold is not None else (P.SPINE_SIM if ordered else P.ALIGN_SIM)
     split = X.lines(F.col("text")) if ordered else X.engine_lines(X.nfkc(F.col("text")), F.col("engine"))
-    src = reads.select(*keys, "engine", split.alias("lines")).groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("engine", "lines"))).alias("_r"))
+    src = spread(reads.select(*keys, "engine", split.alias("lines")), keys).groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("engine", "lines"))).alias("_r"))
     schema = T.StructType([*(src.schema[k] for k in keys), T.StructField("slot", T.IntegerType()), T.StructField("engine", T.StringType()), T.StructField("text", T.StringType())])
 
     def run(batches):
@@ -362,23 +369,17 @@ def anchored_agreement(reads: DataFrame, anchor: str, keys: list[str] | None = N
     keys, line_idx, text, agreement (mean of the best ratios, null without others), n_corrob, sims (by engine).
     """
     keys = keys or KEYS
-    lines = reads.select(*keys, "engine", F.posexplode(F.transform(X.lines(F.col("text")), lambda x: x)).alias("i", "line")).withColumn(
-        "n", F.count(F.lit(1)).over(Window.partitionBy(*keys, "engine"))
-    )
-    mine = lines.where(F.col("engine") == anchor).select(*keys, F.col("i").alias("line_idx"), F.col("line").alias("text"), F.col("n").alias("_n"))
-    sizes = lines.where(F.col("engine") != anchor).groupBy(*keys, "engine").agg(F.first("n").alias("_m"))
-    lo = F.greatest(F.lit(0), F.floor(F.col("line_idx") / F.greatest(F.col("_n"), F.lit(1)) * F.col("_m")).cast("int") - P.BAND_RADIUS)
-    hi = F.least(F.col("_m"), lo + 2 * P.BAND_RADIUS + 1)
-    want = mine.join(sizes, keys).withColumn("_j", F.explode(F.when(hi > lo, F.sequence(lo, (hi - 1).cast("int"))).otherwise(F.array(F.lit(-1)))))
-    others = lines.where(F.col("engine") != anchor).select(*keys, "engine", F.col("i").alias("_j"), F.col("line").alias("_other"))
-    form = lambda c: X.casefold(X.collapse(X.nfkc(c)))
-    found = want.join(others, [*keys, "engine", "_j"], "left").withColumn("_r", F.when(F.col("_other").isNull(), 0.0).otherwise(S.matcher_ratio(form(F.col("text")), form(F.col("_other")))))
-    best = found.groupBy(*keys, "line_idx", "engine").agg(F.max("_r").alias("_r"))
+    lines = spread(reads.select(*keys, "engine", X.lines(F.col("text")).alias("_l")).where(F.size("_l") > 0), keys)
+    mine = lines.where(F.col("engine") == anchor).select(*keys, F.col("_l").alias("_mine"))
+    # a row for each read of another engine, which holds its lines: no line is paired with lines as rows
+    others = mine.join(lines.where(F.col("engine") != anchor), keys).select(*keys, "engine", S.best_ratios(F.col("_mine"), F.col("_l")).alias("_b"))
+    best = others.select(*keys, "engine", F.posexplode("_b").alias("line_idx", "_r"))
     per_line = best.groupBy(*keys, "line_idx").agg(
         F.round(F.avg(F.round("_r", 3)), 4).alias("agreement"), F.count_if(F.col("_r") >= P.CORROBORATED).alias("n_corrob"),
         F.map_from_entries(F.collect_list(F.struct("engine", F.round("_r", 3)))).alias("sims"),
     )
-    return mine.drop("_n").join(per_line, [*keys, "line_idx"], "left").fillna(0, ["n_corrob"])
+    shown = mine.select(*keys, F.posexplode("_mine").alias("line_idx", "text"))
+    return shown.join(per_line, [*keys, "line_idx"], "left").fillna(0, ["n_corrob"])
 
 
 def flagged(lines: DataFrame) -> DataFrame:

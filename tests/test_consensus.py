@@ -62,3 +62,23 @@ def test_regions_and_fusion(spark):
     anchored = {(x["page"], x["line_idx"]): x for x in C.anchored_agreement(reads, "a").collect()}
     assert anchored[1, 0]["n_corrob"] == 2 and anchored[2, 0]["agreement"] is None and set(anchored[1, 1]["sims"]) == {"b", "c"}
     assert C.pick_read(reads).collect()[0]["engine"] in {"a", "b"}
+
+
+def test_best_in_band():
+    """The best of all ratios in the band, though not all are computed."""
+    import random
+    from difflib import SequenceMatcher
+
+    from folioforge.functions import similarity as S
+
+    r = random.Random(8)
+    line = lambda: " ".join(r.choice(["Ek", "Berg", "köpman", "hustru", "O", "12500", "Åsa\u00a0B"]) for _ in range(r.randint(1, 60)))
+    for n, m in ((1, 1), (30, 40), (40, 7)):
+        mine = [line() for _ in range(n)]
+        theirs = [r.choice(mine)[: r.randint(1, 300)] + r.choice(["", "x"]) if r.random() < 0.5 else line() for _ in range(m)]
+        form = lambda t: " ".join(t.replace("\u00a0", " ").split()).casefold()
+        want = []
+        for i, t in enumerate(mine):
+            lo = max(0, int(i / n * m) - 10)
+            want.append(max(SequenceMatcher(None, form(t), form(o)).ratio() for o in theirs[lo : lo + 21]))
+        assert S.best_in_band(mine, theirs) == want
