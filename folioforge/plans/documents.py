@@ -99,8 +99,8 @@ def blocks(spark, sf) -> DataFrame:
 
 
 # DuckDB's levenshtein counts bytes: letters of more than one byte stand as one control character each there
-LETTERS = "éóèñüçäöêßíÉÈÑÓÇÊÜÖÄÍ"
-ONE_BYTE = "regexp_replace(translate({t}, '" + LETTERS + "', " + " || ".join(f"chr({k})" for k in (*range(1, 9), *range(14, 27))) + "), '[^\\x00-\\x7F]', chr(31), 'g')"
+LETTERS = "éóèñüçäöêßíÉÈÑÓÇÊÜÖÄÍáúâî"
+ONE_BYTE = "regexp_replace(translate({t}, '" + LETTERS + "', " + " || ".join(f"chr({k})" for k in (*range(1, 9), *range(14, 31))) + "), '[^\\x00-\\x7F]', chr(31), 'g')"
 EACH_LINE = """
 each_doc AS (
   SELECT doc_id, lang, source, list_filter(list_transform(string_split(text, chr(10)), lambda x: regexp_replace(x, '^\\s+|\\s+$', '', 'g')), lambda x: x <> '') AS l FROM documents),
