@@ -12,6 +12,7 @@ partition sizes are set for any other shuffle.
 from __future__ import annotations
 
 import struct
+import threading
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -22,6 +23,18 @@ from pyspark.sql import types as T
 BLOCK = T.StructType([T.StructField("bucket", T.IntegerType()), T.StructField("payload", T.BinaryType())])
 ARROW = pa.schema([("bucket", pa.int32()), ("payload", pa.binary())])
 U64 = np.uint64
+_OWN = threading.local()
+
+
+def _coder(kind: str, **options):
+    """This thread's compressor or decompressor: making one costs more than a small payload."""
+    import zstandard
+
+    made = _OWN.__dict__
+    name = (kind, *options.values())
+    if name not in made:
+        made[name] = getattr(zstandard, kind)(**options)
+    return made[name]
 
 
 def buckets(spark: SparkSession) -> int:
@@ -30,21 +43,17 @@ def buckets(spark: SparkSession) -> int:
 
 def encode(*arrays: np.ndarray, level: int = 1) -> bytes:
     """Pack arrays; a leading sorted integer array is kept as differences."""
-    import zstandard
-
     head, body = [struct.pack("<I", len(arrays))], []
     for a in arrays:
         kind = a.dtype.str[1:].encode()
         planes = a.view(np.uint8).reshape(len(a), a.dtype.itemsize).T if len(a) else np.zeros((a.dtype.itemsize, 0), np.uint8)
         head.append(struct.pack("<2sQ", kind, len(a)))
         body.append(np.ascontiguousarray(planes).tobytes())
-    return zstandard.ZstdCompressor(level=level).compress(b"".join(head + body))
+    return _coder("ZstdCompressor", level=level).compress(b"".join(head + body))
 
 
 def decode(payload: bytes) -> list[np.ndarray]:
-    import zstandard
-
-    raw = zstandard.ZstdDecompressor().decompress(payload)
+    raw = _coder("ZstdDecompressor").decompress(payload)
     n, at, kinds, out = struct.unpack_from("<I", raw)[0], 4, [], []
     for _ in range(n):
         kinds.append(struct.unpack_from("<2sQ", raw, at))

@@ -7,14 +7,15 @@
    Equal contexts of a task are sent once, with their least document.
 3. For each anchor, a suffix array of its different contexts (the anchor standing as one symbol) is built by
    linear grouping construction (``gsaca``). Windows that are equal are neighbours in it; each window gets the least
-   document in which it starts. An anchor with one context needs no sorting: all its windows are equal.
+   document in which it starts. An anchor with one context needs no sorting: all its windows are equal. Of other contexts only the
+   windows are sorted whose bytes before and after the anchor another context can have (``_meeting``).
 4. Occurrences meet the results of their context; the byte ranges they lose meet the texts, which are cut.
 
 Memory: a bucket is cut into sub-buckets of about ``SUB_SIZE`` contexts, as many as the counts of step 1 ask for, and a reduce
 task decodes one of them at a time; what it holds of the others is compressed.
 
-Skew: anchors of ``HOT_DOCS`` documents or more are not gathered: each of their windows is a context of its own,
-dealt by its content. Contexts that one task sees often are spread over several buckets of step 4.
+Skew: anchors of ``HOT_DOCS`` documents or more that would make more than 1 / ``HOT_PART`` of their bucket are not gathered: each of
+their windows is a context of its own, dealt by its content. (A bound by documents alone makes more anchors hot as the corpus grows.) Contexts that one task sees often are spread over several buckets of step 4.
 
 Defined cases: a null text is empty; a text under LENGTH bytes loses nothing; a null id is larger than every other; rows of one
 id never cut each other; a very long text is read whole, in a batch of its own; of several documents that a string starts in
@@ -36,12 +37,14 @@ from folioforge.llm.gsaca import suffix_array
 
 U64, U32, I64 = np.uint64, np.uint32, np.int64
 LENGTH, K = 50, 26
-HOT_DOCS, WIDE, SALTS = 4096, 64, 16
-FLUSH_ANCHORS, FLUSH_BYTES, FLUSH_TEXT = 1_000_000, 10 << 20, 12 << 20
+HOT_DOCS, HOT_PART, WIDE, SALTS = 4096, 16, 64, 16
+#: a flush makes a payload for each bucket: the more buckets, the smaller they get, so flushes are as large as memory allows
+FLUSH_ANCHORS, FLUSH_BYTES, FLUSH_TEXT = 3_000_000, 32 << 20, 32 << 20
+ROWS_BYTES = 1 << 20
 BATCH, LEVEL = 1 << 20, 3
 SA_SYMBOLS = 60_000
 #: contexts of a sub-bucket, about; and the sub-buckets of a bucket of anchors while they are counted
-SUB_SIZE, COUNT_SUBS = 250_000, 4
+SUB_SIZE, COUNT_SUBS = 600_000, 2
 PLACE_BITS = 26
 #: bits of an anchor's hash by which it is counted; a clash only makes an anchor a candidate that it need not be
 COUNT_BITS = 48
@@ -176,10 +179,10 @@ def shared_anchors(src: DataFrame, hot_docs: int = HOT_DOCS) -> Shared:
                 h, c = _sum_sorted(np.concatenate([np.cumsum(p[0], dtype=U64) for p in parts]), np.concatenate([p[1].astype(I64) for p in parts]))
                 found.append((h[c > 1] << U64(64 - COUNT_BITS), c[c > 1]))
         h, c = (np.concatenate([f[j] for f in found]) for j in range(2))
-        hot = c >= hot_docs
+        hot = c >= max(hot_docs, int(c[c < hot_docs].sum()) // HOT_PART)
         _store.put(f"{folder}/anchor-{bucket}", h)
         _store.put(f"{folder}/hot-{bucket}", hot.astype(np.uint8))
-        spread = int(c[hot].sum()) * (LENGTH - K + 1)
+        spread = int(c[hot].sum()) * (LENGTH - K + 1) // 2  # windows of a stretch, on average
         return pa.table({"bucket": [bucket], "size": [len(h)], "contexts": [int(c[~hot].sum())], "spread": [spread]}, schema=kinds)
 
     sizes, most, spread = [0] * n, 0, 0
@@ -189,11 +192,20 @@ def shared_anchors(src: DataFrame, hot_docs: int = HOT_DOCS) -> Shared:
     return Shared(folder, sizes, -(-(most + spread // n) // SUB_SIZE) or 1)
 
 
-def _sealed(at, n: int, subs: int, arrays):
-    """Rows of the buckets, of values whose sub-bucket f of all n * subs starts at ``at[f]``; ``arrays(slice)`` is what is sent of it."""
+def _sealed(at, n: int, subs: int, arrays, first: int = 0, mark: bytes = b""):
+    """Rows of the buckets, of values whose sub-bucket f of all n * subs starts at ``at[f]``; ``arrays(slice)`` is what is sent of it.
+    Bucket numbers begin at ``first``, payloads with ``mark``. One batch holds the rows of many buckets."""
+    pairs, size = [], 0
     for b in np.unique(np.flatnonzero(np.diff(at)) // subs).tolist():
-        spans = [slice(at[f], at[f + 1]) for f in range(b * subs, (b + 1) * subs)]
-        yield _exchange.rows([(b, _exchange.seal([_exchange.encode(*arrays(x), level=LEVEL) if x.start < x.stop else b"" for x in spans]))])
+        ends = at[b * subs : (b + 1) * subs + 1].tolist()
+        parts = [_exchange.encode(*arrays(slice(lo, hi)), level=LEVEL) if lo < hi else b"" for lo, hi in zip(ends[:-1], ends[1:], strict=True)]
+        pairs.append((first + b, mark + _exchange.seal(parts)))
+        size += len(pairs[-1][1])
+        if size >= ROWS_BYTES:
+            yield _exchange.rows(pairs)
+            pairs, size = [], 0
+    if pairs:
+        yield _exchange.rows(pairs)
 
 
 def _slices(start: np.ndarray, length: np.ndarray) -> np.ndarray:
@@ -267,8 +279,7 @@ def _contexts(src: DataFrame, shared: Shared) -> DataFrame:
                 ids[small] = id_[own]
                 return _exchange.deltas(key[own]), small.astype(U32), lo[own].astype(U32), rows, ids
 
-            for batch in _sealed(places, n, m, occurrences):
-                yield _exchange.rows([(n + batch.column(0)[0].as_py(), b"o" + batch.column(1)[0].as_py())])
+            yield from _sealed(places, n, m, occurrences, n, b"o")
 
         for ids, texts in _exchange.in_batches(it, limit=BATCH):
             buf, starts = _words.pack(texts, lower=False)
@@ -336,6 +347,41 @@ def least_starts(contexts: list[tuple[int, int, bytes, int]]) -> list[np.ndarray
     return [out[b : b + c] for b, c in zip(base, count, strict=True)]
 
 
+def _meeting(raw, offset, left, length, groups, some) -> tuple[np.ndarray, np.ndarray]:
+    """First and last window of each context of ``some`` that can start in another context of its anchor (none if first > last).
+
+    A window goes as far to the left and to the right of the anchor as its place says, and another context has it only if it has
+    both sides; so the longest side that any other context shares bounds the windows that need sorting.
+    """
+    width = LENGTH - K
+    low, high = np.zeros(len(left), dtype=I64), np.full(len(left), -1, dtype=I64)
+    group = np.repeat(np.arange(len(groups) - 1), np.diff(groups))
+    step = np.arange(width)
+    for part in _whole(some, group) if len(some) else ():
+        before, at = left[part].astype(I64), offset[part]
+        after = length[part] - K - before
+        shared = []
+        for side, start, sign in ((before, at + before - 1, -1), (after, at + before, 1)):
+            there = step < side[:, None]
+            near = np.where(there, raw[np.where(there, start[:, None] + sign * step, 0)], 0).astype(np.uint8)
+            order = np.lexsort((*near.view(">u8").T[::-1], group[part]))
+            near, own = near[order], group[part][order]
+            same = np.where(own[1:] == own[:-1], np.cumprod(near[1:] == near[:-1], axis=1, dtype=np.uint8).sum(1), 0)
+            longest = np.empty(len(part), dtype=I64)
+            longest[order] = np.maximum(np.append(0, same), np.append(same, 0))
+            shared.append(np.minimum(longest, side))
+        low[part] = np.maximum(before - shared[0], 0)
+        high[part] = np.minimum(before - width + shared[1], length[part] - LENGTH)
+    return low, high
+
+
+def _whole(some: np.ndarray, group: np.ndarray, size: int = 50_000):
+    """Parts of ``some`` of about ``size`` that cut no group."""
+    ends = _exchange.firsts(group[some])
+    ends = np.append(ends[np.append(True, ends[1:] // size != ends[:-1] // size)], len(some))
+    return [some[lo:hi] for lo, hi in zip(ends[:-1], ends[1:], strict=True)]
+
+
 def _solve(parts: list[list[np.ndarray]]) -> tuple[np.ndarray, ...]:
     """Results of the contexts of one sub-bucket: key, first and last window, least document, whether wide."""
     anchor, least, most, left, length, wide = (np.concatenate([p[k] for p in parts]) for k in (0, 2, 3, 4, 5, 6))
@@ -354,25 +400,35 @@ def _solve(parts: list[list[np.ndarray]]) -> tuple[np.ndarray, ...]:
     groups = np.append(_exchange.firsts(anchor), len(anchor))
     single = np.zeros(len(anchor), dtype=bool)
     single[groups[:-1][np.diff(groups) == 1]] = True
+    low, high = _meeting(raw, offset, left, length, groups, np.flatnonzero(~single))
+    single |= low > high
     out = [np.stack([np.flatnonzero(single), 0 * length[single], length[single] - LENGTH, least[single]])]
     data = raw.tobytes()
 
     def solve(batch):
-        got = least_starts([(int(anchor[c]), int(left[c]), data[offset[c] : offset[c] + length[c] - K], int(least[c])) for c in batch])
-        n = np.array([len(g) for g in got], dtype=I64)
-        values, which = np.concatenate(got), np.repeat(np.arange(len(batch)), n)
+        own = np.array(batch, dtype=I64)
+        lo, size = low[own], high[own] - low[own] + LENGTH
+        begin = offset[own] + lo
+        parts = zip(anchor[own].tolist(), (left[own] - lo).tolist(), begin.tolist(), (begin + size - K).tolist(), least[own].tolist(), strict=True)
+        got = least_starts([(a, k, data[x:y], i) for a, k, x, y, i in parts])
+        n = length[own] - LENGTH + 1
+        values, which = np.repeat(least[own], n), np.repeat(np.arange(len(batch)), n)
+        values[_slices(np.cumsum(n) - n + lo, size - LENGTH + 1)] = np.concatenate(got)
         place = np.arange(len(values)) - np.repeat(np.cumsum(n) - n, n)
         new = np.ones(len(values), dtype=bool)
         new[1:] = (values[1:] != values[:-1]) | (which[1:] != which[:-1])
         first = np.flatnonzero(new)
         last = np.append(first[1:], len(values)) - 1
-        out.append(np.stack([np.array(batch, dtype=I64)[which[first]], place[first], place[last], values[first]]))
+        out.append(np.stack([own[which[first]], place[first], place[last], values[first]]))
 
+    rest = np.flatnonzero(~single)
+    symbols = np.append(0, np.cumsum(high[rest] - low[rest] + LENGTH - K + 2))
+    ends = np.searchsorted(rest, groups).tolist()
     batch, size = [], 0
-    for lo, hi in zip(groups[:-1].tolist(), groups[1:].tolist(), strict=True):
-        if hi - lo > 1:
-            batch.extend(range(lo, hi))
-            size += int(length[lo:hi].sum()) - (K - 2) * (hi - lo)
+    for lo, hi in zip(ends[:-1], ends[1:], strict=True):
+        if hi > lo:
+            batch.extend(rest[lo:hi].tolist())
+            size += int(symbols[hi] - symbols[lo])
             if size > SA_SYMBOLS:
                 solve(batch)
                 batch, size = [], 0
@@ -387,7 +443,7 @@ def _solve(parts: list[list[np.ndarray]]) -> tuple[np.ndarray, ...]:
 def _results(blocks: DataFrame, n: int, m: int) -> DataFrame:
     def run(bucket, payloads):
         if bucket >= n:
-            return _table([(bucket, p) for p in payloads])
+            return _table([_exchange.rows([(bucket, p) for p in payloads])])
         solved = [_solve(parts) for k in range(m) if (parts := list(_exchange.unseal(payloads, k)))]
         key, first, last, value, wide = (np.concatenate([r[j] for r in solved]) for j in range(5))
         salts = min(n, SALTS)
@@ -401,13 +457,13 @@ def _results(blocks: DataFrame, n: int, m: int) -> DataFrame:
             own = which[own]
             return key[own], first[own].astype(np.uint8), last[own].astype(np.uint8), value[own]
 
-        return _table([(n + r.column(0)[0].as_py(), b"r" + r.column(1)[0].as_py()) for r in _sealed(places, n, m, found)])
+        return _table(_sealed(places, n, m, found, n, b"r"))
 
     return _exchange.gather(blocks, _exchange.BLOCK, run)
 
 
-def _table(pairs) -> pa.Table:
-    return pa.Table.from_batches([_exchange.rows(pairs)], schema=_exchange.ARROW)
+def _table(batches) -> pa.Table:
+    return pa.Table.from_batches(batches, schema=_exchange.ARROW)
 
 
 def _ranges(blocks: DataFrame, n: int, m: int) -> DataFrame:
@@ -439,8 +495,7 @@ def _ranges(blocks: DataFrame, n: int, m: int) -> DataFrame:
         held.clear()
         order = np.lexsort((start, row))
         row, start, length = row[order], start[order], length[order]
-        cut = _sealed(_exchange.cut(row, n * m), n, m, lambda own: (_exchange.deltas(row[own]), start[own], length[own]))
-        return _table([(r.column(0)[0].as_py(), b"x" + r.column(1)[0].as_py()) for r in cut])
+        return _table(_sealed(_exchange.cut(row, n * m), n, m, lambda own: (_exchange.deltas(row[own]), start[own], length[own]), 0, b"x"))
 
     return _exchange.gather(blocks, _exchange.BLOCK, run)
 
@@ -461,8 +516,7 @@ def _texts(src: DataFrame, n: int, m: int) -> DataFrame:
                 data = b"".join(raw[k] for k in own)
                 return row[own], id_[own], np.array([len(raw[k]) for k in own], dtype=I64), np.frombuffer(data, dtype=np.uint8)
 
-            for batch in _sealed(_exchange.cut(row[order], n * m), n, m, texts):
-                yield _exchange.rows([(batch.column(0)[0].as_py(), b"t" + batch.column(1)[0].as_py())])
+            yield from _sealed(_exchange.cut(row[order], n * m), n, m, texts, 0, b"t")
 
         for ids, texts in _exchange.in_batches(it):
             id_, row = _row_keys(ids, texts)

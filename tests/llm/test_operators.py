@@ -479,6 +479,42 @@ def test_substring_dedup(spark, hot, size, monkeypatch):
     assert sum(v[1] > 0 for v in expect.values()) > 20
 
 
+def test_substring_dedup_hot_anchors_do_not_grow_with_the_corpus(spark):
+    r = np.random.default_rng(5)
+    passage = lambda: "".join(r.choice(list("abcdefghij "), 90))
+    once, often = [passage() for _ in range(400)], passage()
+    data = [(2 * i + k, t, "en", "s") for i, t in enumerate(once) for k in range(2)] + [(10_000 + i, often, "en", "s") for i in range(5)]
+    shared = substring_dedup.shared_anchors(cases.table(spark, data).select("doc_id", "text"), 4)
+    hot = [substring_dedup._store.mapped(f"{shared.folder}/hot-{b}", np.uint8) for b in range(len(shared.sizes))]
+    assert sum(len(h) for h in hot) >= 401 and not any(h.any() for h in hot)
+
+
+def test_substring_dedup_sorts_only_windows_that_can_meet(monkeypatch):
+    def part(sides):  # contexts of one anchor: what is before and after it
+        raw = np.frombuffer(b"".join(a + b for a, b in sides), dtype=np.uint8)
+        n = len(sides)
+        return [
+            np.full(n, 9, np.uint64), np.diff(np.arange(1, n + 1, dtype=np.uint64), prepend=np.uint64(0)), np.arange(n), np.full(n, 90),
+            np.array([len(a) for a, _ in sides], np.uint8), np.array([len(a) + len(b) + substring_dedup.K for a, b in sides], np.uint8), np.zeros(n, np.uint8), raw,
+        ]
+
+    sorted_, true = [], substring_dedup.suffix_array
+    monkeypatch.setattr(substring_dedup, "suffix_array", lambda t: sorted_.append(len(t)) or true(t))
+    # ten bytes to the left and ten to the right are shared: not enough for a window
+    near = [(b"A" * 14 + b"b" * 10, b"c" * 10 + b"D" * 14), (b"E" * 14 + b"b" * 10, b"c" * 10 + b"F" * 14)]
+    key, first, last, value, _ = substring_dedup._solve([part(near)])
+    assert not sorted_ and list(zip(key, first, last, value, strict=True)) == [(1, 0, 24, 0), (2, 0, 24, 1)]
+    # ten to the left and fourteen to the right make one window
+    near = [(b"A" * 14 + b"b" * 10, b"c" * 14 + b"D" * 10), (b"E" * 14 + b"b" * 10, b"c" * 14 + b"F" * 10)]
+    got = sorted(zip(*(x.tolist() for x in substring_dedup._solve([part(near)])[:4]), strict=True))
+    assert len(sorted_) == 1 and sorted_[0] <= 2 * (10 + 1 + 14 + 1) and [g for g in got if g[0] == 2] == [(2, 0, 13, 1), (2, 14, 14, 0), (2, 15, 24, 1)]
+
+
+def test_substring_dedup_sends_many_buckets_in_one_batch():
+    at = np.arange(0, 3 * 600 + 1, 3)
+    assert len(list(substring_dedup._sealed(at, 600, 1, lambda own: (np.arange(own.start, own.stop),)))) == 1
+
+
 def test_substring_dedup_null_and_repeated_ids(spark):
     text = "this passage is quite a bit longer than fifty bytes, so that it counts as a repeat"
     data = [(5, text, "", ""), (5, text, "", ""), (None, text, "", ""), (7, "x" + text, "", "")]
