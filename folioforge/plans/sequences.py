@@ -27,7 +27,8 @@ def image_splits(spark, sf):
     import numpy as np
 
     pages = table(spark, sf, "supplier").select(F.col("s_suppkey").cast("string").alias("page"), F.col("s_suppkey").cast("string").cast("binary").alias("content"))
-    pages = pages.repartition("page")  # a small file is one partition, and a page takes a tenth of a second
+    # a small file is one partition, and a page takes some hundredths of a second; without a number, adaptive execution would make few large tasks of these short rows
+    pages = pages.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "page")
 
     def decode(raw):
         k = int(raw)

@@ -8,9 +8,10 @@ import re
 import statistics
 import unicodedata
 
+import numpy as np
 import pytest
 from folioforge.functions import patterns
-from folioforge.operators import models
+from folioforge.operators import images, models
 from folioforge.plans import documents, registry, sequences, tables
 from folioforge.plans import pages as page_plans
 
@@ -109,3 +110,37 @@ def test_others_run(spark):
     assert len(run(spark, "corrected_lines")) > 100
     assert {r["gutter_conf"] for r in run(spark, "image_splits")} == {"ok"}
     assert len(run(spark, "drawn_sample")) == 25
+
+
+def test_image_splits_deals_pages_to_all_partitions(spark, tmp_path):
+    spark.range(1, 2001).withColumnRenamed("id", "s_suppkey").coalesce(1).write.parquet(f"{tmp_path}/supplier.parquet")
+    df = sequences.image_splits(spark, str(tmp_path))
+    assert df.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions")) > 1
+
+
+def test_skew_and_rotation_pixel_by_pixel():
+    def skew(gray):
+        y, x = np.nonzero(gray <= images.otsu_threshold(gray))
+
+        def sharp(angle):
+            a = np.radians(angle)
+            at = np.rint(np.cos(a) * (y - 65) - np.sin(a) * (x - 85) + 65).astype(int)
+            return np.bincount(at[(at >= 0) & (at < 130)], minlength=130).var()
+
+        best = max(np.arange(-4, 4 + 1e-9, 0.5), key=sharp)
+        return max(np.arange(best - 0.5, best + 0.5 + 1e-9, 0.1), key=sharp)
+
+    r = np.random.default_rng(4)
+    page = np.full((130, 170), 230, np.uint8)
+    page[20:110:9, 15:150] = 20
+    page = np.minimum(page, r.integers(60, 256, page.shape).astype(np.uint8))
+    for degrees in (-3.5, -0.1, 0.5, 2.0):
+        y, x = np.mgrid[:130, :170].astype(float)
+        a, dx, dy = np.radians(degrees), x - 85, y - 65
+        sx, sy = np.rint(np.cos(a) * dx - np.sin(a) * dy + 85).astype(int), np.rint(np.sin(a) * dx + np.cos(a) * dy + 65).astype(int)
+        near = page[np.clip(sy, 0, 129), np.clip(sx, 0, 169)]
+        assert (images.rotate(page, degrees) == near).all()
+        assert (images.rotate(page, degrees, 7) == np.where((sx < 0) | (sx > 169) | (sy < 0) | (sy > 129), 7, near)).all()
+        assert images.skew_by_projection(near) == skew(near)
+    p = np.pad(page.astype(float), 1, mode="reflect")
+    assert images.laplacian_variance(page) == (p[:-2, 1:-1] + p[2:, 1:-1] + p[1:-1, :-2] + p[1:-1, 2:] - 4 * p[1:-1, 1:-1]).var()
